@@ -6,11 +6,15 @@ from .mixing import op6_mix_sources
 from .packing import op4_best_fit_packing
 from .secrets import op5_secret_scan
 from .simhash import op1_simhash_near_dedup
+from .suffix_dedup import op9_suffix_array_dedup
+from .suffix_tree_lm import op2_suffix_tree_lm
 
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_suffix_tree_lm": op2_suffix_tree_lm,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_secret_scan": op5_secret_scan,
     "op6_mix_sources": op6_mix_sources,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
 }
 SQL: dict[str, str] = {}
