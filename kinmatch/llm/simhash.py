@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,10 +16,10 @@ from .store import materialize, table
 from .text import Words, ragged, runs, utf8
 
 RADIUS = 2
-#: Fingerprints that a leaf of the tree is to hold.
-LEAF = 100
-#: Levels of the tree at most: further ones cost more probes than they save.
+#: Levels of the tree at most.
 MOST_LEVELS = 7
+#: Cost of a probe, in comparisons of two fingerprints: it is shuffled and sorted.
+PROBE_COST = 150
 
 
 def shingle_hashes(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +93,18 @@ def ring_steps(levels: int, radius: int) -> list[tuple[int, ...]]:
     return sorted(s for s in steps if s >= tuple(-x for x in s))
 
 
-def near_pairs(points: DataFrame, radius: int = RADIUS, leaf: int = LEAF) -> DataFrame:
+def tree_levels(n: int, radius: int = RADIUS) -> int:
+    """The depth at which n points cost least: more levels mean more probes of smaller leaves. The first level's
+    rings hold about 1/14 of spread-out points each; further ones have half as many rings that differ in parity."""
+
+    def cost(levels: int) -> float:
+        probes = len(ring_steps(levels, radius))
+        return probes * (PROBE_COST + n / (14 * 7 ** (levels - 1)))
+
+    return min(range(2, MOST_LEVELS + 1), key=cost)
+
+
+def near_pairs(points: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b): all pairs of different fingerprints of points (fp long, distinct) that differ in at most `radius` bits.
 
     A vantage-point tree in which all nodes of a level share their vantage point, and a node has a branch for each
@@ -102,8 +112,7 @@ def near_pairs(points: DataFrame, radius: int = RADIUS, leaf: int = LEAF) -> Dat
     that the triangle bound leaves: its own, and the neighbours whose rings reach over a boundary. Shards are
     met by a sort-merge join, so their size isn't bound by memory and hot ones can be split.
     """
-    n = points.count()
-    levels = min(MOST_LEVELS, max(2, round(math.log(max(n, 1) / leaf + 1, 7))))
+    levels = tree_levels(points.count(), radius)
     rings = [F.bit_count(F.col("fp").bitwiseXOR(F.lit(p))).cast("int") for p in vantage_points(levels)]
     steps = ring_steps(levels, radius)
     shard = lambda ds: sum((d * F.lit(1 << (8 * k)).cast("long") for k, d in enumerate(ds)), F.lit(0).cast("long"))
