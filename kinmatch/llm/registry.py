@@ -6,6 +6,7 @@ from .curves import op7_hilbert_neighbours
 from .minhash import op3_document_fingerprints
 from .mixing import op6_mix_sources
 from .packing import op4_best_fit_packing
+from .passages import op10_compact_windows
 from .secrets import op5_secret_scan
 from .simhash import op1_simhash_near_dedup
 from .suffix_dedup import op9_suffix_array_dedup
@@ -22,5 +23,6 @@ QUERIES = {
     "op7_hilbert_neighbours": op7_hilbert_neighbours,
     "op8_toxicity_chain": op8_toxicity_chain,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
+    "op10_compact_windows": op10_compact_windows,
 }
 SQL: dict[str, str] = {}
