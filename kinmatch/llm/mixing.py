@@ -102,17 +102,17 @@ def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
     return taken + subset_sum(lengths, counts - taken, min(left, EXACT_WORDS))
 
 
-def mix_sources(docs: DataFrame, seed: int = SEED, weights: tuple[float, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
+def mix_sources(docs: DataFrame, seed: int = SEED, weights: tuple[float, ...] = WEIGHTS, most: int = MOST_REPEATS, carry: list[str] | None = None) -> DataFrame:
     """doc_id, size, source_size, target and taken (words of the mix) for each document.
 
     Sources are ordered by code point with null last, and weigh `weights` in turn. Each document is taken whole,
     floor(target / source_size) times or once more; documents of one length are ordered by a seeded hash. Null text
     has no words and is taken 0 words of. Repeated rows count as documents of their own. A source's state is its
-    histogram of lengths; the driver sees one row for each source.
+    histogram of lengths; the driver sees one row for each source. carry: further columns of docs to return.
     """
     spark = docs.sparkSession
     sized = materialize(
-        docs.select("doc_id", F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("draw")).withColumn("salt", F.pmod("draw", F.lit(SALTS)).cast("int")),
+        docs.select("doc_id", *(carry or []), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("draw")).withColumn("salt", F.pmod("draw", F.lit(SALTS)).cast("int")),
         "sizes",
     )
     by_bucket = sized.groupBy("source", "size", "salt").agg(F.count("*").alias("n"))
@@ -143,7 +143,23 @@ def mix_sources(docs: DataFrame, seed: int = SEED, weights: tuple[float, ...] =
     ranked = sized.withColumn("number", F.row_number().over(order))
     named = [*(c.alias(n) for c, n in zip(key, ("k_source", "k_null"), strict=True))]
     joined = ranked.select("*", *named).join(planned.select(*named, "size", "salt", "source_size", "target", "whole", "chosen"), ["k_source", "k_null", "size", "salt"])
-    return joined.select("doc_id", "size", "source_size", "target", (F.col("size") * (F.col("whole") + F.when(F.col("number") <= F.col("chosen"), 1).otherwise(0))).cast("long").alias("taken"))
+    return joined.select("doc_id", *(carry or []), "size", "source_size", "target", (F.col("size") * (F.col("whole") + F.when(F.col("number") <= F.col("chosen"), 1).otherwise(0))).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, seed: int = SEED, weights: tuple[float, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
+    """documents as often as mix_sources() takes them, all columns kept; documents without words, which cost
+    nothing, stay once. Equal rows share evenly what is taken of them."""
+    kinds = [c for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))]
+    key = ["_mix_k1", "_mix_k2"]
+    hashed = docs.withColumn(key[0], F.xxhash64(*kinds)).withColumn(key[1], F.hash(*kinds))
+    taken = mix_sources(hashed, seed, weights, most, carry=key)
+    each = F.when(F.col("size") > 0, (F.col("taken") / F.col("size")).cast("int")).otherwise(1)
+    times = taken.groupBy(*key).agg(F.sum(each).cast("int").alias("_mix_times"), F.count("*").cast("int").alias("_mix_rows"))
+    number = F.row_number().over(Window.partitionBy(*key).orderBy(key[0])) - 1
+    joined = hashed.join(times.filter("_mix_times > 0"), key).withColumn("_mix_number", number)
+    own = F.floor(F.col("_mix_times") / F.col("_mix_rows")) + F.when(F.col("_mix_number") < F.col("_mix_times") % F.col("_mix_rows"), 1).otherwise(0)
+    copies = joined.filter(own > 0).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), own.cast("int"))))
+    return copies.select(*docs.columns)
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,3 +26,12 @@ QUERIES = {
     "op10_compact_windows": op10_compact_windows,
 }
 SQL: dict[str, str] = {}
+
+
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline

@@ -13,7 +13,7 @@ from xxhash import xxh64_intdigest
 
 from .graph import components
 from .store import materialize, table
-from .text import Words, ragged, runs, utf8
+from .text import Words, mix, ragged, runs, utf8
 
 RADIUS = 2
 #: Levels of the tree at most.
@@ -143,11 +143,136 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = RADIUS) -> Da
     return fps.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, width: int = 5, radius: int = RADIUS) -> DataFrame:
-    """documents without those whose component has a smaller doc_id; all columns kept. Of rows that share the
-    smallest doc_id all stay, as do rows with null doc_id."""
-    keys = near_duplicates(docs, width, radius).filter("doc_id > component_id").select("doc_id").distinct()
-    return docs.join(keys, "doc_id", "left_anti").select(*docs.columns)
+#: Words of 64 bits in the fingerprints of near_groups().
+WIDE = 8
+#: Share of bits by which texts of a similarity may differ beyond the expected one.
+SLACK = 0.014
+#: Fingerprints in a block that are compared at once, about.
+BLOCK = 16_384
+#: Of the first word, bits that near texts differ in at most, but for one in several hundred.
+FIRST_RADIUS = 18
+
+
+def wide_fingerprints(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, n (shingles), fps (WIDE fingerprints of 64 bits, each by another mix of the shingle hashes)."""
+    seeds = np.arange(1, WIDE, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, at = utf8(batch.column(1))
+            out, counts = [np.zeros((0, WIDE), np.uint64)], [np.zeros(0, np.int64)]
+            for i, j in runs(at):
+                hashes, n = shingle_hashes(data[at[i] : at[j]], at[i : j + 1] - at[i], width)
+                out.append(np.column_stack([majority(hashes, n), *(majority(mix(hashes ^ seed), n) for seed in seeds)]))
+                counts.append(n)
+            fps = pa.array(np.concatenate(out).view(np.int64).ravel())
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * WIDE), fps)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(counts)), lists], names=["doc_id", "n", "fps"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n long, fps array<long>")
+
+
+def spanning(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The least node reachable from each of n nodes over edges a-b."""
+    root = np.arange(n)
+    while len(a):
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        new = new[new]
+        while (new != new[new]).any():
+            new = new[new]
+        if (new == root).all():
+            break
+        root = new[root]
+        keep = root[a] != root[b]
+        a, b = a[keep], b[keep]
+    return root
+
+
+def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """doc_id and component_id, as near_duplicates() has them, for texts whose shingles have about `similarity` or more.
+
+    Of two texts with Jaccard similarity J, a bit of their fingerprints differs with probability acos(2J / (1 + J)) / pi,
+    taken over 64 x WIDE bits. At that radius a vantage point's rings prune little; what parts the points as well is
+    their number of shingles, which can't differ by more than the similarity. Shards are bands of sizes and rings
+    around a vantage point; shards that reach over each other's boundaries are compared in blocks. A block pair
+    returns a spanning forest of its links, not the links.
+    """
+    spark = docs.sparkSession
+    fps = materialize(wide_fingerprints(docs, width).withColumn("node", F.xxhash64("fps")), "wide")
+    nodes = fps.groupBy("node").agg(F.first("fps").alias("fps"), F.min("n").alias("n"), F.min("doc_id").alias("least"))
+    step = float(np.log(1 / similarity))
+    band = F.when(F.col("n") > 0, F.floor(F.log(F.col("n").cast("double")) / step)).otherwise(-2).cast("int")
+    ring = F.floor(F.bit_count(F.col("fps")[0].bitwiseXOR(F.lit(vantage_points(1)[0]))) / FIRST_RADIUS).cast("int")
+    nodes = materialize(nodes.withColumn("band", band).withColumn("ring", ring), "nodes")
+    sizes = {(r.band, r.ring): r.n for r in nodes.groupBy("band", "ring").agg(F.count("*").alias("n")).collect()}
+    blocks = {shard: -(-n // BLOCK) for shard, n in sizes.items()}
+    number = {key: k for k, key in enumerate((shard, s) for shard in sorted(blocks) for s in range(blocks[shard]))}
+    total = len(number)
+    meets: dict[tuple[int, int], list[tuple[tuple[int, int], int]]] = {
+        x: [(y, blocks[y]) for db in (-1, 0, 1) for dr in (-1, 0, 1) if (y := (x[0] + db, x[1] + dr)) in blocks] for x in blocks
+    }
+    limit = int((np.arccos(2 * similarity / (1 + similarity)) / np.pi + SLACK) * 64 * WIDE)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, lists = batch.column(0).to_numpy(), batch.column(1)
+            rows, pairs = [], []
+            for k, (v, x) in enumerate(zip(node.tolist(), zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True), strict=True)):
+                own = number[x, v % blocks[x]]
+                for y, count in meets[x]:
+                    first = number[y, 0]
+                    for other in range(first, first + count):
+                        rows.append(k)
+                        pairs.append(min(own, other) * total + max(own, other))
+            take = pa.array(rows, pa.int64())
+            side = np.array(pairs, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(side), batch.column(0).take(take), lists.take(take), batch.column(2).take(take), pa.array(np.array([number[x, v % blocks[x]] for v, x in zip(node.tolist(), zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True), strict=True)], np.int64)).take(take)], names=["pair", "node", "fps", "n", "block"])
+
+    dealt = nodes.select("node", "fps", "n", "band", "ring").mapInArrow(deal, "pair long, node long, fps array<long>, n long, block long")
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        node = group["node"].to_numpy()
+        words = group["fps"].combine_chunks().flatten().to_numpy().reshape(-1, WIDE).view(np.uint64)
+        n, block = group["n"].to_numpy(), group["block"].to_numpy()
+        one = block == block.min()
+        left = np.flatnonzero(one)
+        right = left if one.all() else np.flatnonzero(~one)
+        if group["pair"][0].as_py() // total != group["pair"][0].as_py() % total and one.all():
+            left = left[:0]  # the other block is empty
+        found = [np.zeros((0, 2), np.int64)]
+        root = np.arange(len(node))
+        for a in range(0, len(left), 64):
+            part = left[a : a + 64]
+            i, j = np.nonzero(np.bitwise_count(words[part, 0][:, None] ^ words[right, 0][None, :]) <= FIRST_RADIUS)
+            i, j = part[i], right[j]
+            ok = (i != j) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j])) & (root[i] != root[j])
+            i, j = i[ok], j[ok]
+            ok = np.bitwise_count(words[i] ^ words[j]).sum(axis=1, dtype=np.int64) <= limit
+            if ok.any():
+                found.append(np.column_stack([i[ok], j[ok]]))
+                edges = np.concatenate(found)
+                root = spanning(edges[:, 0], edges[:, 1], len(node))
+                found = [np.column_stack([np.flatnonzero(root != np.arange(len(node))), root[root != np.arange(len(node))]])]
+        linked = np.flatnonzero(root != np.arange(len(node)))
+        return pa.table({"a": pa.array(node[linked]), "b": pa.array(node[root[linked]])})
+
+    edges = dealt.groupBy("pair").applyInArrow(compare, "a long, b long")
+    linked = materialize(components(edges), "components")
+    roots = nodes.select("node", "least").join(linked, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")
+    named = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    classes = materialize(roots.join(named, "root").select("node", "component_id"), "classes")
+    return fps.join(classes, "node").select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """documents without those whose near_groups() component has a smaller doc_id; all columns kept. Of rows that
+    share the smallest doc_id all stay, as do rows with null doc_id."""
+    losers = near_groups(docs, width, similarity).filter("doc_id > component_id").select("doc_id").distinct()
+    return docs.join(losers, "doc_id", "left_anti").select(*docs.columns)
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
