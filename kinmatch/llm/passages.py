@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .graph import components
@@ -111,6 +111,15 @@ def compact_windows(ids: np.ndarray, first: np.ndarray, least: int, hashes: int
     return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (none,) * 6
 
 
+def pack_place(c: np.ndarray, k: np.ndarray, before: np.ndarray, after: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Place, hash number, and how far the window and the context reach from c (each below 256), in one long."""
+    return (((c.astype(np.int64) << 8 | k) << 8 | before) << 8 | after) << 8 | end
+
+
+def unpack_place(place: np.ndarray) -> tuple[np.ndarray, ...]:
+    return place >> 32, place >> 24 & 255, place >> 16 & 255, place >> 8 & 255, place & 255
+
+
 def around(ids: np.ndarray, c: int, least: int) -> np.ndarray:
     """Shingles that passages of `least` through c can hold, and before them how many stand before c."""
     a = max(0, c - least + 1)
@@ -149,11 +158,13 @@ def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, simil
     one, and other columns are not read.
     """
     least = words - width + 1
+    if not 0 < least <= 255:
+        raise ValueError("passages have from width to width + 254 words")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     # a row's key: equal rows share it
     keyed = plain.withColumn("d", F.xxhash64("doc_id", "text"))
-    window_columns = "d long, sig long, k int, c int, l int, r int, ctx long, e int"
+    window_columns = "d long, sig long, place long, ctx long"
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,18 +178,24 @@ def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, simil
                 a = np.maximum(first[t], first[t] + c - least + 1)
                 b = np.minimum(first[t + 1], first[t] + c + least)
                 ctx = mix((sums[b] - sums[a]) * _inverse_powers(len(ids))[a] + (first[t] + c - a).astype(np.uint64) * np.uint64(1 << 32) + (b - a).astype(np.uint64)) if len(t) else np.zeros(0, np.uint64)
-                yield pa.RecordBatch.from_arrays([pa.array(d[t + i]), pa.array(sig), *(pa.array(x.astype(np.int32)) for x in (k, c, l, r)), pa.array(ctx.view(np.int64)), pa.array((b - first[t]).astype(np.int32))], names=[x.split()[0] for x in window_columns.split(", ")])
+                # passages of least length don't reach further than that from c
+                place = pack_place(c, k, np.minimum(c - l, least - 1), np.minimum(r - c, least - 1), b - first[t] - c)
+                own = mix(sig.view(np.uint64) + k.astype(np.uint64)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(d[t + i]), pa.array(own), pa.array(place), pa.array(ctx.view(np.int64))], names=[x.split()[0] for x in window_columns.split(", ")])
 
-    found = materialize(keyed.select("d", "text").mapInArrow(find, window_columns), "windows")
-    often = found.groupBy("sig", "k").agg(F.min("d").alias("a"), F.max("d").alias("b")).filter("a <> b").select("sig", "k")
-    repeated = materialize(found.join(often, ["sig", "k"]).select("d", "sig", "k", "c", "l", "r", "ctx", "e"), "repeated")
-    drop(found)
+    # one exchange: a signature's first and last document come by window, and one document's own are dropped
+    same = Window.partitionBy("sig")
+    found = keyed.select("d", "text").mapInArrow(find, window_columns)
+    repeated = found.withColumn("a", F.min("d").over(same)).withColumn("b", F.max("d").over(same)).filter("a <> b").select("d", "sig", "place", "ctx")
+    repeated = materialize(repeated, "repeated")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def flush(rows: pa.Table) -> pa.RecordBatch:
-            d, sig, k, c, l, r, ctx, e = (rows.column(x).to_numpy() for x in range(8))
+            d, sig, place, ctx = (rows.column(x).to_numpy() for x in range(4))
+            c, k, before, after, e = unpack_place(place)
+            l, r, e = c - before, c + after, e + c
             out = []
             for step in range(1, len(d)):
                 i = np.arange(len(d) - step)
@@ -191,9 +208,9 @@ def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, simil
                 ok = (k[i] != k[j]) & (low <= c[i]) & (c[j] <= high) & (high - low + 1 >= least)
                 out.append((i[ok], j[ok]))
             i, j = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 2
-            own = mix(sig.view(np.uint64) + k.astype(np.uint64))
+            own = sig.view(np.uint64)
             pair = mix(np.minimum(own[i], own[j]) * np.uint64(3) + np.maximum(own[i], own[j]))
-            return pa.RecordBatch.from_arrays([pa.array(pair.view(np.int64)), pa.array(d[i]), pa.array(c[i]), pa.array(ctx[i]), pa.array(e[i])], names=["pair", "d", "c", "ctx", "e"])
+            return pa.RecordBatch.from_arrays([pa.array(pair.view(np.int64)), pa.array(d[i]), pa.array(c[i].astype(np.int32)), pa.array(ctx[i]), pa.array(e[i].astype(np.int32))], names=["pair", "d", "c", "ctx", "e"])
 
         # rows come sorted by document; a document isn't split
         for batch in batches:
@@ -208,8 +225,9 @@ def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, simil
         if held:
             yield flush(pa.Table.from_batches(held))
 
-    met = repeated.repartition("d").sortWithinPartitions("d", "c", "k").mapInArrow(meet, "pair long, d long, c int, ctx long, e int")
+    met = repeated.repartition("d").sortWithinPartitions("d", "place").mapInArrow(meet, "pair long, d long, c int, ctx long, e int")
     met = materialize(met, "met")
+    drop(repeated)
     variants = met.groupBy("pair", "ctx").agg(F.min(F.struct("d", "c")).alias("rep"), F.max("d").alias("last"))
     groups = variants.groupBy("pair").agg(F.min(F.struct("rep", "ctx")).alias("lead"), F.count("*").alias("kinds"), F.max("last").alias("top")).filter("kinds > 1 or lead.rep.d <> top")
     live = materialize(variants.join(groups, "pair").select("pair", "ctx", "rep", "lead", "kinds"), "variants")
