@@ -84,7 +84,7 @@ def read_lists(spark: SparkSession, path: str, header: list[str], report: Report
     if bad:
         report.errors.append(f"{path} has rows without a tab: {[r[0] for r in bad]}")
     parts = F.split("value", "\t", 2)
-    return numbered.filter(F.contains("value", F.lit("\t"))).select(F.trim(parts[0]).alias("source1_entity_id"), F.trim(parts[1]).alias("ids"))
+    return numbered.filter(F.contains("value", F.lit("\t"))).select(F.trim(F.get(parts, F.lit(0))).alias("source1_entity_id"), F.trim(F.get(parts, F.lit(1))).alias("ids"))
 
 
 def validate(spark: SparkSession, matches_path: str, required: DataFrame, candidates_path: str | None = None, valid: DataFrame | None = None) -> Report:

@@ -33,7 +33,7 @@ def read_truth(spark: SparkSession, path: str) -> DataFrame:
     """source1_entity_id and matched_ids, trimmed and without empties; a missing second column has none."""
     lines = spark.read.text(path).select(F.split("value", "\t").alias("f"))
     ids = F.split(F.coalesce(F.try_element_at("f", F.lit(2)), F.lit("")), ",")
-    out = lines.select(F.trim(F.col("f")[0]).alias("source1_entity_id"), F.filter(F.transform(ids, F.trim), lambda x: x != "").alias("matched_ids"))
+    out = lines.select(F.trim(F.col("f")[0]).alias("source1_entity_id"), F.filter(F.transform(ids, lambda x: F.trim(x)), lambda x: x != "").alias("matched_ids"))
     return out.filter("source1_entity_id not in ('', 'source1_entity_id')")
 
 
