@@ -135,7 +135,7 @@ def unseen_country_candidates(spark, sf_dir):
     return retrieval.retrieve(unseen, targets, CONF).select("source1_entity_id", "candidate_entity_id", "lexical_rank", F.round(F.col("rrf_score").cast("double"), 6).alias("rrf_score"))
 
 
-_FUSED = "source1_entity_id, candidate_entity_id, round(rrf, 6) AS rrf_score, lexical_rank::INTEGER AS lexical_rank, 1000 AS dense_rank, round(sim, 4) AS retrieval_similarity"
+_FUSED = "source1_entity_id, candidate_entity_id, round(rrf, 6) AS rrf_score, lexical_rank::INTEGER AS lexical_rank, 1000 AS dense_rank, round(sim::FLOAT::DOUBLE, 4) AS retrieval_similarity"
 
 
 @query(sql(f"SELECT {_FUSED} FROM fused"))
@@ -203,7 +203,7 @@ _EXPRESSIONS = """SELECT source1_entity_id, candidate_entity_id,
   CASE WHEN len(x1) > 0 AND len(x2) > 0 AND x1[1] <> x2[1] THEN 1.0 ELSE 0.0 END::DOUBLE AS lead_num_contradict,
   CASE WHEN len(x1) > 0 AND len(x2) > 0 AND xi = 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS num_contradiction,
   CASE WHEN pi > 0 THEN 1.0 WHEN len(p1) > 0 AND len(p2) > 0 THEN -1.0 ELSE 0.0 END::DOUBLE AS pin_code_match,
-  round(rrf, 4) AS rrf_score, lexical_rank::DOUBLE AS lexical_rank, 1000.0::DOUBLE AS dense_rank, round(sim, 4) AS retrieval_similarity, round(sim, 4) AS embedding_similarity,
+  round(rrf, 4) AS rrf_score, lexical_rank::DOUBLE AS lexical_rank, 1000.0::DOUBLE AS dense_rank, round(sim::FLOAT::DOUBLE, 4) AS retrieval_similarity, round(sim::FLOAT::DOUBLE, 4) AS embedding_similarity,
   CASE WHEN c1 = c2 AND c1 <> 'UNKNOWN' THEN 1.0 ELSE 0.0 END::DOUBLE AS same_country,
   CASE WHEN candidate_entity_id LIKE 'S2-%' THEN 1.0 ELSE 0.0 END::DOUBLE AS is_source2, CASE WHEN candidate_entity_id LIKE 'S3-%' THEN 1.0 ELSE 0.0 END::DOUBLE AS is_source3
 FROM counts"""
@@ -220,14 +220,14 @@ def expr_features(spark, sf_dir):
 def _jw(a: str, b: str) -> str:
     # one character for each that DuckDB would compare by its bytes
     x, y = (rf"regexp_replace({c}, '[^\x00-\x7F]', '~', 'g')" for c in (a, b))
-    return f"round(CASE WHEN {a} = '' AND {b} = '' THEN 1.0 ELSE jaro_winkler_similarity({x}, {y}) END, 4)"
+    return f"round(CASE WHEN {a} = '' AND {b} = '' THEN 1.0 ELSE jaro_winkler_similarity({x}, {y}) END, 6)"
 
 
 @query(sql(f"SELECT source1_entity_id, candidate_entity_id, {_jw('n1', 'n2')} AS name_jaro_winkler, {_jw('a1', 'a2')} AS addr_jaro_winkler FROM counts", _PAIRS))
 def jaro_winkler_features(spark, sf_dir):
     s1, targets, found = _candidates(spark, sf_dir)
     pairs = features.text_features(features.with_attributes(found, s1, targets), {"name_jaro_winkler", "addr_jaro_winkler"})
-    return pairs.select("source1_entity_id", "candidate_entity_id", *[F.round(c, 4).alias(c) for c in ("name_jaro_winkler", "addr_jaro_winkler")])
+    return pairs.select("source1_entity_id", "candidate_entity_id", *[F.round(c, 6).alias(c) for c in ("name_jaro_winkler", "addr_jaro_winkler")])
 
 
 @query()
