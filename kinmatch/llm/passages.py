@@ -24,7 +24,9 @@ SIMILARITY = 0.8
 #: Hash functions; a passage is compared if it agrees with another in two.
 HASHES = 3
 RESULT = "doc_id long, class_id long, n_links long, n_passages long, passages string"
-_FLUSH_BYTES = 8 << 20
+_FLUSH_ROWS = 20_000
+#: Contexts that one place compares with a group's first.
+MANY = 4096
 _SEEDS = np.random.default_rng(20240609).integers(1, 2**63, HASHES, dtype=np.uint64)
 _LAST = np.iinfo(np.uint64).max
 
@@ -121,28 +123,50 @@ def unpack_place(place: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def around(ids: np.ndarray, c: int, least: int) -> np.ndarray:
-    """Shingles that passages of `least` through c can hold, and before them how many stand before c."""
-    a = max(0, c - least + 1)
-    return np.concatenate([np.array([c - a], np.uint64), ids[a : c + least]])
-
-
-def near_passage(a: np.ndarray, b: np.ndarray, least: int, similarity: float) -> tuple[int, int] | None:
-    """Places before the shared shingle at which passages of `least` shingles of a and b (of around()) start with a
-    Jaccard similarity of at least `similarity`; those of most likeness, None if there are none. The passages keep the
-    shared shingle at one place."""
-    ca, cb, a, b = int(a[0]), int(b[0]), a[1:], b[1:]
-    low, high = max(-ca, -cb, 1 - least), min(len(a) - ca, len(b) - cb) - least
-    best, found = similarity, None
-    for s in range(low, min(0, high) + 1):
-        x, y = a[ca + s : ca + s + least], b[cb + s : cb + s + least]
-        if 2 * np.count_nonzero(x == y) >= least or s == low or s == min(0, high) or s % 8 == 0:
-            u, v = np.unique(x), np.unique(y)
-            common = len(np.intersect1d(u, v, assume_unique=True))
-            likeness = common / (len(u) + len(v) - common)
-            if likeness >= best - 1e-12:
-                best, found = likeness, (-s, -s)
-                if likeness == 1:
-                    break
+    """The shingles that passages of `least` through c can hold, c's in the middle, as 32 bits; 0 beyond the text."""
+    out = np.zeros(2 * least - 1, np.uint32)
+    a, b = max(0, c - least + 1), min(len(ids), c + least)
+    out[a - c + least - 1 : b - c + least - 1] = (ids[a:b] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    return out
+
+
+def set_similarity(a: np.ndarray, b: np.ndarray) -> float:
+    u, v = np.unique(a), np.unique(b)
+    common = len(np.intersect1d(u, v, assume_unique=True))
+    return common / (len(u) + len(v) - common)
+
+
+def near_passages(a: np.ndarray, b: np.ndarray, least: int, similarity: float) -> np.ndarray:
+    """For each row of two matrices of around(): where a passage of `least` shingles starts in which both have a
+    Jaccard similarity of at least `similarity`, keeping the shared shingle at one place; -1 for none.
+
+    The stretch with most equal places is tried first. It falls short where words were put in or left out; these rows
+    try every start, if they share enough shingles at all.
+    """
+    there = (a != 0) & (b != 0)
+    sums = lambda x: np.cumsum(np.pad(x, ((0, 0), (1, 0))), axis=1)
+    window = lambda x: (s := sums(x))[:, least:] - s[:, :-least]
+    whole = window(there) == least
+    equal = np.where(whole, window((a == b) & there), -1)
+    start = equal.argmax(axis=1)
+    most = equal[np.arange(len(a)), start]
+    found = np.full(len(a), -1)
+    found[most == least] = start[most == least]
+    for k in np.flatnonzero((most >= 0) & (most < least)):
+        s = start[k]
+        if most[k] >= similarity * least and set_similarity(a[k, s : s + least], b[k, s : s + least]) >= similarity - 1e-12:
+            found[k] = s
+            continue
+        shared = np.isin(a[k], b[k]) & (a[k] != 0)
+        # the common part can't be smaller than its share of a passage's own shingles, of which some may be repeated
+        own = a[k][a[k] != 0]
+        share = similarity if len(np.unique(own)) == len(own) else similarity * 0.4
+        n = window(shared[None, :])[0]
+        best = similarity - 1e-12
+        for t in np.flatnonzero(whole[k] & (n >= share * least)):
+            value = set_similarity(a[k, t : t + least], b[k, t : t + least])
+            if value >= best:
+                best, found[k] = value, t
     return found
 
 
@@ -238,45 +262,56 @@ def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, simil
     )
     checks = checks.groupBy("x", "y").agg(F.min(F.struct("xd", "xc", "yd", "yc")).alias("at")).select("x", "y", "at.*")
     checks = materialize(checks, "checks")
-    wanted = checks.select(F.col("x").alias("ctx"), F.col("xd").alias("d"), F.col("xc").alias("c")).union(checks.select("y", "yd", "yc"))
-    wanted = wanted.groupBy("ctx").agg(F.min(F.struct("d", "c")).alias("at")).groupBy("at.d").agg(F.collect_list(F.struct("ctx", F.col("at.c").alias("c"))).alias("cuts"))
+    # each context goes to the first one's place; a first one that meets many stands in several places
+    places = checks.groupBy("y").agg(F.ceil(F.count("*") / MANY).cast("int").alias("places"), F.min(F.struct("yd", "yc")).alias("at"))
+    members = checks.join(places.select("y", "places"), "y").select(F.col("xd").alias("d"), F.col("xc").alias("c"), F.col("x").alias("ctx"), "y", F.pmod("x", F.col("places")).cast("int").alias("place"))
+    leads = places.select(F.col("at.yd").alias("d"), F.col("at.yc").alias("c"), F.col("y").alias("ctx"), "y", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"))
+    wanted = members.unionByName(leads).groupBy("d").agg(F.collect_list(F.struct("ctx", "c", "y", "place")).alias("cuts"))
     sources = keyed.select("d", "text").join(wanted, "d").select("text", "cuts")
+    part_names = ["y", "place", "member", "ctx", "part"]
+    part_types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = utf8(batch.column(0))
             lists = batch.column(1)
-            ctxs: list[int] = []
-            parts: list[bytes] = []
-            size = 0
+            rows: list[tuple] = []
             for i, j in runs(at):
                 ids, first = shingle_ids(data[at[i] : at[j]], at[i : j + 1] - at[i], width)
                 for t in range(i, j):
                     own = ids[first[t - i] : first[t - i + 1]]
                     for cut in lists[t].as_py():
-                        ctxs.append(cut["ctx"])
-                        parts.append(around(own, cut["c"], least).tobytes())
-                        size += len(parts[-1])
-                if size > _FLUSH_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(ctxs, pa.int64()), pa.array(parts, pa.binary())], names=["ctx", "part"])
-                    ctxs, parts, size = [], [], 0
-            if ctxs:
-                yield pa.RecordBatch.from_arrays([pa.array(ctxs, pa.int64()), pa.array(parts, pa.binary())], names=["ctx", "part"])
+                        rows.append((cut["y"], cut["place"], int(cut["ctx"] != cut["y"]), cut["ctx"], around(own, cut["c"], least).tobytes()))
+                if len(rows) > _FLUSH_ROWS:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), part_types, strict=True)], names=part_names)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), part_types, strict=True)], names=part_names)
 
-    parts = materialize(sources.mapInArrow(cut_out, "ctx long, part binary").dropDuplicates(["ctx"]), "contexts")
+    parts = sources.mapInArrow(cut_out, "y long, place int, member int, ctx long, part binary")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead, lead_key = b"", None
         for batch in batches:
-            hits = []
-            for k, (a, b) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                got = near_passage(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), least, similarity)
-                if got:
-                    hits.append((k, got[0]))
-            rows = pa.array([k for k, _ in hits], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array([s for _, s in hits], pa.int32())], names=["x", "y", "shift"])
-
-    pairs = checks.select("x", "y").join(parts.select(F.col("ctx").alias("x"), F.col("part").alias("px")), "x").join(parts.select(F.col("ctx").alias("y"), F.col("part").alias("py")), "y")
-    near = materialize(pairs.select("x", "y", "px", "py").mapInArrow(verify, "x long, y long, shift int"), "near")
+            xs, ys, left, right = [], [], [], []
+            for y, place, member, ctx, part in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if not member:
+                    lead, lead_key = part, (y, place)
+                elif lead_key == (y, place):
+                    xs.append(ctx)
+                    ys.append(y)
+                    left.append(part)
+                    right.append(lead)
+            hit = np.zeros(0, np.int64)
+            if xs:
+                matrix = lambda parts: np.frombuffer(b"".join(parts), np.uint32).reshape(len(parts), -1)
+                hit = near_passages(matrix(left), matrix(right), least, similarity)
+            ok = np.flatnonzero(hit >= 0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(xs, np.int64)[ok]), pa.array(np.array(ys, np.int64)[ok]), pa.array((least - 1 - hit[ok]).astype(np.int32))], names=["x", "y", "shift"])
+
+    # the first one comes before those that it meets
+    near = parts.repartition("y", "place").sortWithinPartitions("y", "place", "member").mapInArrow(verify, "x long, y long, shift int")
+    near = materialize(near.dropDuplicates(["x", "y"]), "near")
     # contexts that are in any link: those of several documents, and those verified
     shared = live.groupBy("ctx").agg(F.min("rep").alias("rep"))
     counted = met.groupBy("ctx").agg(F.min("d").alias("a"), F.max("d").alias("b")).filter("a <> b").select("ctx", F.lit(0).alias("shift"), F.lit(True).alias("whole"))
