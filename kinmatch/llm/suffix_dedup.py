@@ -289,7 +289,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     marks = parts.select("u", "g", "c", "skip", "n", "part").repartition("u").sortWithinPartitions("u").mapInArrow(sort_parts, "g long, c long, from int, to int")
     marks = materialize(alone.union(marks), "marks")
     spans = found.join(marks, ["g", "c"]).select("doc_id", "th", (F.col("a") + F.col("from")).alias("from"), (F.col("a") + F.col("to")).alias("to"))
-    spans = materialize(spans.groupBy("doc_id", "th").agg(F.array_distinct(F.collect_list(F.struct("from", "to"))).alias("spans")), "spans")
+    spans = materialize(spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("from", "to")).alias("spans")), "spans")
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
