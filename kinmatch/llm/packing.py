@@ -8,6 +8,8 @@ themselves are sorted and ranked by Spark and look up their place by (length, ra
 from __future__ import annotations
 
 import bisect
+import itertools
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -24,7 +26,14 @@ SIZE = 4096
 END_ID = 1
 #: Parts that a length is split into for ranking, so that no single task ranks all documents of one length.
 SALTS = 64
-_CACHE_WORDS = 400_000
+#: Chunks and words that a worker remembers.
+_CACHE_CHUNKS, _CACHE_WORDS = 500_000, 500_000
+#: ASCII punctuation.
+_PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Byte-level BPE's characters for bytes: printable ones stand for themselves, the others follow from 256 on.
+_PLAIN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+_ENDS = frozenset(_PUNCTUATION.encode())
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLACED = PIECES + ", sequence_id long, offset long"
 
@@ -32,7 +41,7 @@ PLACED = PIECES + ", sequence_id long, offset long"
 class ChunkEncoder:
     """Ids of texts by chunk between ASCII white space: the tokenizer drops white space and never merges across it.
 
-    Chunks seen before are looked up; the table starts anew at _CACHE_WORDS chunks.
+    Chunks seen before are looked up; the table starts anew at _CACHE_CHUNKS chunks.
     """
 
     def __init__(self, path: str):
@@ -42,39 +51,101 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.reset()
 
     def reset(self) -> None:
+        #: Numbers of slices of the pool: of chunks, lower-case words, and what stands after words.
         self.known: dict[bytes, int] = {}
-        self.pool = np.zeros(1 << 16, np.uint32)
-        self.start, self.length, self.used = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), 0
+        self.words: dict[bytes, int] = {}
+        self.rests: dict[bytes, int] = {}
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.start, self.length, self.n = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64), 0
+
+    def shrink(self) -> None:
+        """Forgets chunks, and words too once they are many; words are fewer and come back more often."""
+        words, k = list(self.words), np.fromiter(self.words.values(), np.int64, len(self.words))
+        ids, counts = self.pool[ragged(self.start[k], self.length[k])], self.length[k]
+        self.reset()
+        if len(words) <= _CACHE_WORDS:
+            self.words = dict(zip(words, self._add(ids, counts), strict=True))
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        encoded = self.tokenizer.encode([c.decode("utf-8", "replace") for c in chunks], is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(encoded.ids, np.uint32)
-        counts = np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(chunks)) if len(ids) else np.zeros(len(chunks), np.int64)
-        n = len(self.known)
+    def _add(self, ids: np.ndarray, counts: np.ndarray) -> range:
+        """Puts slices of ids into the pool; their numbers."""
         while self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        while n + len(chunks) > len(self.start):
+        while self.n + len(counts) > len(self.start):
             self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
         self.pool[self.used : self.used + len(ids)] = ids
-        self.start[n : n + len(chunks)] = self.used + np.cumsum(counts) - counts
-        self.length[n : n + len(chunks)] = counts
+        self.start[self.n : self.n + len(counts)] = self.used + np.cumsum(counts) - counts
+        self.length[self.n : self.n + len(counts)] = counts
         self.used += len(ids)
-        self.known.update(zip(chunks, range(n, n + len(chunks)), strict=True))
+        self.n += len(counts)
+        return range(self.n - len(counts), self.n)
+
+    @staticmethod
+    def _split(chunk: bytes) -> tuple[bytes | None, bytes]:
+        """A lower-case word of letters and the punctuation after it; None and the chunk for any other."""
+        text = chunk.decode("utf-8", "replace")
+        word = text.lower()
+        if word.isalpha() and text.isalpha() and "\u03a3" not in text and unicodedata.is_normalized("NFC", text):
+            return word.encode(), b""
+        letters = text.rstrip(_PUNCTUATION)
+        word = letters.lower()
+        if word.isalpha() and letters.isalpha() and (letters.isascii() or "\u03a3" not in letters and unicodedata.is_normalized("NFC", letters)):
+            return word.encode(), text[len(letters) :].encode()
+        return None, chunk
+
+    def _plain(self, text: bytes) -> list[int]:
+        return self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
+
+    def _learn(self, chunks: list[bytes]) -> None:
+        lows: list[bytes | None] = []
+        rests: list[bytes] = []
+        for chunk in chunks:
+            low, rest = chunk.lower(), b""
+            if not low.isalpha():  # of bytes: ASCII letters
+                if low[-1] in _ENDS and low[:-1].isalpha():
+                    low, rest = low[:-1], low[-1:]
+                else:
+                    low, rest = self._split(chunk)
+            lows.append(low)
+            rests.append(rest)
+        word = [-2 if low is None else self.words.get(low, -1) for low in lows]
+        if -1 in word:
+            new = list(dict.fromkeys([low for low, k in zip(lows, word, strict=True) if k == -1]))
+            tokenize = self.model.tokenize  # a word of letters is one word to the model, whose bytes have characters
+            lists = [[t.id for t in tokenize(low.decode() if low.isascii() else low.decode("latin-1").translate(_BYTE_CHARS))] for low in new]
+            counts = np.fromiter(map(len, lists), np.int64, len(lists))
+            fresh = dict(zip(new, self._add(np.fromiter(itertools.chain.from_iterable(lists), np.uint32, int(counts.sum())), counts), strict=True))
+            self.words.update(fresh)
+            word = [fresh[low] if k == -1 else k for low, k in zip(lows, word, strict=True)]
+        for rest in set(rests).difference(self.rests):
+            ids = np.array(self._plain(rest) if rest else [], np.uint32)
+            self.rests[rest] = self._add(ids, np.array([len(ids)]))[0]
+        nothing = self.rests.setdefault(b"", -1)
+        if nothing < 0:
+            nothing = self.rests[b""] = self._add(np.zeros(0, np.uint32), np.zeros(1, np.int64))[0]
+        word = np.array(word, np.int64)
+        word[word == -2] = nothing
+        rest = np.fromiter([self.rests[r] for r in rests], np.int64, len(rests))
+        whole = rest == nothing  # the word's own slice will do
+        two = np.column_stack([word[~whole], rest[~whole]]).ravel()
+        word[~whole] = self._add(self.pool[ragged(self.start[two], self.length[two])], self.length[two].reshape(-1, 2).sum(axis=1))
+        self.known.update(zip(chunks, word.tolist(), strict=True))
 
     def ids(self, text: bytes) -> np.ndarray:
         chunks = text.split()
         if not chunks:
             return np.zeros(0, np.uint32)
-        if len(self.known) > _CACHE_WORDS:
-            self.reset()
-        found = list(map(self.known.get, chunks))
-        if None in found:
-            self._learn(list(dict.fromkeys(c for c, k in zip(chunks, found, strict=True) if k is None)))
-            found = list(map(self.known.get, chunks))
-        k = np.array(found, np.int64)
+        if len(self.known) > _CACHE_CHUNKS:
+            self.shrink()
+        k = np.fromiter(map(self.known.get, chunks, itertools.repeat(-1)), np.int64, len(chunks))
+        missing = np.flatnonzero(k < 0).tolist()
+        if missing:
+            new = [chunks[x] for x in missing]
+            self._learn(list(dict.fromkeys(new)))
+            k[missing] = [self.known[chunk] for chunk in new]
         return self.pool[ragged(self.start[k], self.length[k])]
 
 
@@ -95,10 +166,10 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE) -> D
         encoder = _encoders.get(path) or _encoders.setdefault(path, ChunkEncoder(path))
         for batch in batches:
             data, at = utf8(batch.column(1))
-            raw, doc_ids = data.tobytes(), batch.column(0).to_pylist()
+            raw, doc_ids = memoryview(data), batch.column(0).to_pylist()
             rows: list[tuple] = []
             for k, doc_id in enumerate(doc_ids):
-                ids = np.append(encoder.ids(raw[at[k] : at[k + 1]]), np.uint32(END_ID)).astype("<u4")
+                ids = np.append(encoder.ids(bytes(raw[at[k] : at[k + 1]])), np.uint32(END_ID)).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), size)):
                     part = ids[start : start + size]
                     rows.append((doc_id, piece, start, len(part), zlib.crc32(part.tobytes())))
