@@ -23,7 +23,7 @@ from .text import Words, ragged, runs, utf8
 FLOOR = 1e-4
 PAIR_FLOOR = 1e-6
 DISCOUNT = 0.5
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 _FLUSH = 2_000_000
 #: The end of a text as a word hash.
 END = np.int64(-0x6A09E667F3BCC909)
