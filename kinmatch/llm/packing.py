@@ -158,8 +158,9 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-def pieces(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE) -> DataFrame:
-    """A row for each piece of at most `size` ids of a document, whose ids end with END_ID. tokenizer: a path, on every executor."""
+def pieces(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, forget: bool = False) -> DataFrame:
+    """A row for each piece of at most `size` ids of a document, whose ids end with END_ID. tokenizer: a path, on every
+    executor. forget: workers drop their table of chunks after each task, for jobs whose other steps need the memory."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = tokenizer or tokenizer_path()
@@ -176,6 +177,8 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE) -> D
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             columns = list(zip(*rows, strict=True)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in PIECES.split(", ")])
+        if forget:
+            encoder.reset()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
 
@@ -258,13 +261,13 @@ def pack(parts: DataFrame, size: int = SIZE) -> DataFrame:
     return salted.withColumn("number", F.row_number().over(order).cast("long")).mapInArrow(place, PLACED)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, forget: bool = False) -> DataFrame:
     """Packs documents (doc_id, text) into sequences of at most `size` ids; only longer documents are cut.
 
     Null text is empty and holds the end id alone; null and repeated doc_id are kept as rows of their own; other
     columns are not read. Every sequence is filled from offset 0 without gaps.
     """
-    return pack(materialize(pieces(docs, tokenizer, size), "pieces"), size)
+    return pack(materialize(pieces(docs, tokenizer, size, forget), "pieces"), size)
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

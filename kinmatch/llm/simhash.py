@@ -161,7 +161,7 @@ def wide_fingerprints(docs: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             data, at = utf8(batch.column(1))
             out, counts = [np.zeros((0, WIDE), np.uint64)], [np.zeros(0, np.int64)]
-            for i, j in runs(at):
+            for i, j in runs(at, 1 << 18):
                 hashes, n = shingle_hashes(data[at[i] : at[j]], at[i : j + 1] - at[i], width)
                 out.append(np.column_stack([majority(hashes, n), *(majority(mix(hashes ^ seed), n) for seed in seeds)]))
                 counts.append(n)
@@ -270,7 +270,7 @@ def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
 
 def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """documents without those whose near_groups() component has a smaller doc_id; all columns kept. Of rows that
-    share the smallest doc_id all stay, as do rows with null doc_id."""
+    share the smallest doc_id all stay, as do rows with null doc_id. Texts without words are copies of each other."""
     losers = near_groups(docs, width, similarity).filter("doc_id > component_id").select("doc_id").distinct()
     return docs.join(losers, "doc_id", "left_anti").select(*docs.columns)
 

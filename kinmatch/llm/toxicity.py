@@ -239,7 +239,7 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
         for batch in batches:
             data, at = utf8(batch.column(k))
             out = [np.zeros((0, len(CATEGORIES)))]
-            for i, j in runs(at):
+            for i, j in runs(at, 1 << 18):
                 out.append(chain.probabilities(*features(data[at[i] : at[j]], at[i : j + 1] - at[i])))
             p = np.concatenate(out)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p[:, 0]), pa.array(p[:, 1]), pa.array(p[:, 1] >= chain.threshold)], names=[*names, "p_low_quality", "p_toxic", "is_toxic"])
