@@ -1,8 +1,8 @@
 """Near-duplicate passages by compact windows.
 
 For each of several hashes, a Cartesian tree over the hashed shingles of a document says for which stretch each
-shingle is the least: all passages in that stretch share it as their signature. Windows of two hashes that hold one
-passage of full length are joined on their intervals; documents that meet in both signatures are compared there.
+shingle is the least: all passages in that stretch share it as their signature. Documents meet in equal signatures of
+windows that hold a passage of full length, and what stands around those is compared there.
 """
 
 from __future__ import annotations
@@ -15,18 +15,21 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .graph import components
-from .store import drop, materialize, table
-from .text import Words, mix, runs, utf8
+from .simhash import spanning
+from .store import materialize, table
+from .text import Words, mix, ragged, runs, utf8
 
 WORDS = 50
 WIDTH = 5
 SIMILARITY = 0.8
-#: Hash functions; a passage is compared if it agrees with another in two.
+#: Hash functions; a passage is compared if it agrees with another in one.
 HASHES = 3
 RESULT = "doc_id long, class_id long, n_links long, n_passages long, passages string"
 _FLUSH_ROWS = 20_000
-#: Contexts that one place compares with a group's first.
-MANY = 4096
+#: Contexts of a group that one place compares; of larger groups each two blocks of half as many meet in a place.
+MANY = 16_384
+#: Pairs of contexts compared at once.
+_PAIRS = 50_000
 _SEEDS = np.random.default_rng(20240609).integers(1, 2**63, HASHES, dtype=np.uint64)
 _LAST = np.iinfo(np.uint64).max
 
@@ -152,32 +155,101 @@ def near_passages(a: np.ndarray, b: np.ndarray, least: int, similarity: float) -
     most = equal[np.arange(len(a)), start]
     found = np.full(len(a), -1)
     found[most == least] = start[most == least]
-    for k in np.flatnonzero((most >= 0) & (most < least)):
+    rows = np.flatnonzero((most >= 0) & (most < least))
+    u, v = a[rows].astype(np.uint64), b[rows].astype(np.uint64)
+    row = np.arange(len(rows), dtype=np.uint64)[:, None] << np.uint64(32)
+    repeated = lambda x: (((o := np.sort(x, axis=1))[:, 1:] == o[:, :-1]) & (o[:, 1:] != 0)).any(axis=1)
+    keys, wanted = np.sort((row | v).ravel()), (row | u).ravel()
+    shared = np.zeros(u.shape, bool)
+    if len(rows):
+        shared = (keys[np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)] == wanted).reshape(u.shape) & (u != 0)
+    # the common part can't be smaller than its share of a passage's own shingles, of which some may be repeated
+    own, other = repeated(u), repeated(v)
+    share = np.where(own, similarity * 0.4, np.where(other, similarity, 2 * similarity / (1 + similarity)))
+    likely = whole[rows] & (window(shared) >= share[:, None] * least - 1e-9)
+    for at in np.flatnonzero(likely.any(axis=1)):
+        k = rows[at]
         s = start[k]
         if most[k] >= similarity * least and set_similarity(a[k, s : s + least], b[k, s : s + least]) >= similarity - 1e-12:
             found[k] = s
             continue
-        shared = np.isin(a[k], b[k]) & (a[k] != 0)
-        # the common part can't be smaller than its share of a passage's own shingles, of which some may be repeated
-        own = a[k][a[k] != 0]
-        share = similarity if len(np.unique(own)) == len(own) else similarity * 0.4
-        n = window(shared[None, :])[0]
         best = similarity - 1e-12
-        for t in np.flatnonzero(whole[k] & (n >= share * least)):
+        for t in np.flatnonzero(likely[at]):
             value = set_similarity(a[k, t : t + least], b[k, t : t + least])
             if value >= best:
                 best, found[k] = value, t
     return found
 
 
+def probes(parts: np.ndarray, least: int, similarity: float) -> np.ndarray:
+    """Which places of a matrix of around() to look up among all places of the other rows, so that no near_passages()
+    go unmet: a passage has at most `least` - ceil(similarity * least) shingles that its like has not, so that of one
+    more than that one is shared. Of each passage the shingles that are rarest here are taken; of rows that repeat a
+    shingle, all."""
+    _, back, counts = np.unique(parts, return_inverse=True, return_counts=True)
+    often = np.where(parts != 0, counts[back].reshape(parts.shape), np.iinfo(np.int64).max)
+    need = least - int(np.ceil(similarity * least - 1e-9)) + 1
+    out = np.zeros(parts.shape, bool)
+    rows = np.arange(len(parts))[:, None]
+    for t in range(parts.shape[1] - least + 1):
+        out[rows, np.argpartition(often[:, t : t + least], need - 1, axis=1)[:, :need] + t] = True
+    ordered = np.sort(parts, axis=1)
+    out[((ordered[:, 1:] == ordered[:, :-1]) & (ordered[:, 1:] != 0)).any(axis=1)] = True
+    return out & (parts != 0)
+
+
+def resolve(parts: np.ndarray, root: np.ndarray, least: int, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows i, j of a matrix of around() and where their near_passages() start, so that with `root`, the least row
+    known to be reachable from each, all rows are joined that any chain of near passages joins."""
+    n = len(parts)
+    flat = parts.ravel()
+    order = np.argsort(flat, kind="stable")
+    ordered = flat[order]
+    at = np.flatnonzero(probes(parts, least, similarity).ravel())
+    low, high = np.searchsorted(ordered, flat[at], "left"), np.searchsorted(ordered, flat[at], "right")
+    shared = high - low > 1
+    at, low, size = at[shared], low[shared], (high - low)[shared]
+    out = [np.zeros((3, 0), np.int64)]
+    width = parts.shape[1]
+    k, done = 0, 0  # the probe, and how much of its list is done
+    while k < len(at):
+        if size[k] - done > _PAIRS:
+            i, j = np.full(_PAIRS, at[k] // width), order[low[k] + done : low[k] + done + _PAIRS] // width
+            done += _PAIRS
+        else:
+            sizes = np.cumsum(size[k : k + _PAIRS]) - done
+            e = k + max(1, int(np.searchsorted(sizes, _PAIRS, "right")))
+            starts, lengths = low[k:e].copy(), size[k:e].copy()
+            starts[0] += done
+            lengths[0] -= done
+            i, j = np.repeat(at[k:e] // width, lengths), order[ragged(starts, lengths)] // width
+            k, done = e, 0
+        ok = root[i] != root[j]
+        if not ok.any():
+            continue
+        pairs = np.unique(np.minimum(i, j)[ok] * n + np.maximum(i, j)[ok])
+        # a few at a time, as rows that these join need no comparison
+        for b in range(0, len(pairs), 2048):
+            i, j = pairs[b : b + 2048] // n, pairs[b : b + 2048] % n
+            ok = root[i] != root[j]
+            i, j = i[ok], j[ok]
+            hit = near_passages(parts[i], parts[j], least, similarity)
+            i, j, hit = i[hit >= 0], j[hit >= 0], hit[hit >= 0]
+            if len(i):
+                out.append(np.stack([i, j, hit]))
+                all_ = np.arange(n)
+                root = spanning(np.concatenate([i, all_]), np.concatenate([j, root]), n)
+    return tuple(np.concatenate(out, axis=1))
+
+
 def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
     """RESULT for each row of (doc_id, text): the smallest doc_id of its class (itself at least), how many links join
     it, and its passages as from-to in words.
 
     Documents link if they hold passages of `words` words whose sets of `width`-word shingles have a Jaccard similarity
     of at least `similarity`. In a group of equal signatures every context is met once: copies link to the first that
-    has it, and each different context is compared with the group's first and with the one before it, so no pairs
-    of a group are spelt out. Null text is empty; shorter texts have no passages; rows of one doc_id and text count
+    has it, and different contexts are compared until all are joined that near passages join; those already joined
+    aren't linked again, so no pairs of a group are spelt out. Null text is empty; shorter texts have no passages; rows of one doc_id and text count
     once and get the same result; null doc_id has a null class unless others are in it. An empty table gives an empty
     one, and other columns are not read.
     """
@@ -210,107 +282,89 @@ def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, simil
     # one exchange: a signature's first and last document come by window, and one document's own are dropped
     same = Window.partitionBy("sig")
     found = keyed.select("d", "text").mapInArrow(find, window_columns)
-    repeated = found.withColumn("a", F.min("d").over(same)).withColumn("b", F.max("d").over(same)).filter("a <> b").select("d", "sig", "place", "ctx")
-    repeated = materialize(repeated, "repeated")
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def flush(rows: pa.Table) -> pa.RecordBatch:
-            d, sig, place, ctx = (rows.column(x).to_numpy() for x in range(4))
-            c, k, before, after, e = unpack_place(place)
-            l, r, e = c - before, c + after, e + c
-            out = []
-            for step in range(1, len(d)):
-                i = np.arange(len(d) - step)
-                near = (d[:-step] == d[step:]) & (c[step:] - c[:-step] < least)
-                if not near.any():
-                    break
-                i = i[near]
-                j = i + step
-                low, high = np.maximum(l[i], l[j]), np.minimum(r[i], r[j])
-                ok = (k[i] != k[j]) & (low <= c[i]) & (c[j] <= high) & (high - low + 1 >= least)
-                out.append((i[ok], j[ok]))
-            i, j = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 2
-            own = sig.view(np.uint64)
-            pair = mix(np.minimum(own[i], own[j]) * np.uint64(3) + np.maximum(own[i], own[j]))
-            return pa.RecordBatch.from_arrays([pa.array(pair.view(np.int64)), pa.array(d[i]), pa.array(c[i].astype(np.int32)), pa.array(ctx[i]), pa.array(e[i].astype(np.int32))], names=["pair", "d", "c", "ctx", "e"])
-
-        # rows come sorted by document; a document isn't split
-        for batch in batches:
-            held.append(batch)
-            if sum(map(len, held)) >= 200_000:
-                rows = pa.Table.from_batches(held)
-                d = rows.column(0).to_numpy()
-                cut = int(np.searchsorted(d, d[-1]))
-                if cut:
-                    yield flush(rows.slice(0, cut))
-                    held = rows.slice(cut).to_batches()
-        if held:
-            yield flush(pa.Table.from_batches(held))
-
-    met = repeated.repartition("d").sortWithinPartitions("d", "place").mapInArrow(meet, "pair long, d long, c int, ctx long, e int")
-    met = materialize(met, "met")
-    drop(repeated)
-    variants = met.groupBy("pair", "ctx").agg(F.min(F.struct("d", "c")).alias("rep"), F.max("d").alias("last"))
-    groups = variants.groupBy("pair").agg(F.min(F.struct("rep", "ctx")).alias("lead"), F.count("*").alias("kinds"), F.max("last").alias("top")).filter("kinds > 1 or lead.rep.d <> top")
-    live = materialize(variants.join(groups, "pair").select("pair", "ctx", "rep", "lead", "kinds"), "variants")
-    # of a pair's contexts in order, each meets the first and the one before it; contexts are hashed, so their order
-    # is spread, and a busy pair is dealt out by part of it
-    checks = live.filter("kinds > 1 and ctx <> lead.ctx").select(
-        F.col("ctx").alias("x"), F.col("rep.d").alias("xd"), F.col("rep.c").alias("xc"), F.col("lead.ctx").alias("y"), F.col("lead.rep.d").alias("yd"), F.col("lead.rep.c").alias("yc")
+    repeated = found.withColumn("a", F.min("d").over(same)).withColumn("b", F.max("d").over(same)).filter("a <> b").select(
+        "d", F.col("sig").alias("pair"), F.shiftright("place", 32).cast("int").alias("c"), "ctx", (F.shiftright("place", 32) + F.col("place").bitwiseAND(255)).cast("int").alias("e")
     )
-    checks = checks.groupBy("x", "y").agg(F.min(F.struct("xd", "xc", "yd", "yc")).alias("at")).select("x", "y", "at.*")
-    checks = materialize(checks, "checks")
-    # each context goes to the first one's place; a first one that meets many stands in several places
-    places = checks.groupBy("y").agg(F.ceil(F.count("*") / MANY).cast("int").alias("places"), F.min(F.struct("yd", "yc")).alias("at"))
-    members = checks.join(places.select("y", "places"), "y").select(F.col("xd").alias("d"), F.col("xc").alias("c"), F.col("x").alias("ctx"), "y", F.pmod("x", F.col("places")).cast("int").alias("place"))
-    leads = places.select(F.col("at.yd").alias("d"), F.col("at.yc").alias("c"), F.col("y").alias("ctx"), "y", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"))
-    wanted = members.unionByName(leads).groupBy("d").agg(F.collect_list(F.struct("ctx", "c", "y", "place")).alias("cuts"))
-    sources = keyed.select("d", "text").join(wanted, "d").select("text", "cuts")
-    part_names = ["y", "place", "member", "ctx", "part"]
-    part_types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+    met = materialize(repeated, "met")
+    variants = met.groupBy("pair", "ctx").agg(F.min(F.struct("d", "c")).alias("rep"), F.max("d").alias("last"))
+    same_set = F.struct(F.count("*").alias("kinds"), F.bit_xor(F.xxhash64("ctx")).alias("x"), F.bit_xor(F.xxhash64("ctx", F.lit(1))).alias("y"))
+    groups = variants.groupBy("pair").agg(F.min(F.struct("rep", "ctx")).alias("lead"), same_set.alias("set"), F.max("last").alias("top")).filter("set.kinds > 1 or lead.rep.d <> top")
+    live = materialize(variants.join(groups, "pair").select("pair", "ctx", "rep", "set"), "variants")
+    # groups of the same contexts are compared once; a large one's contexts are dealt over blocks, of which each two meet
+    once = live.filter("set.kinds > 1").groupBy("set").agg(F.min("pair").alias("pair"))
+    half = F.when(F.col("set.kinds") <= MANY, 1).otherwise(F.ceil(F.col("set.kinds") / (MANY // 2))).cast("int")
+    members = live.join(once.select("pair"), "pair").withColumn("blocks", half).withColumn("block", F.pmod(F.xxhash64("ctx"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    members = members.select("pair", "ctx", "rep", "block", "blocks", other.alias("other")).filter("blocks = 1 or other <> block")
+    place = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
+    wanted = members.select(F.col("rep.d").alias("d"), F.struct("ctx", F.col("rep.c").alias("c"), "pair", place.cast("int").alias("place")).alias("cut")).groupBy("d").agg(F.collect_list("cut").alias("cuts"))
+    sources = keyed.select("d", "text").join(wanted, "d").select("text", "cuts", "d")
+    part_names = ["pair", "place", "d", "ctx", "part"]
+    part_types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = utf8(batch.column(0))
-            lists = batch.column(1)
+            lists, docs_ = batch.column(1), batch.column(2)
             rows: list[tuple] = []
             for i, j in runs(at):
                 ids, first = shingle_ids(data[at[i] : at[j]], at[i : j + 1] - at[i], width)
                 for t in range(i, j):
                     own = ids[first[t - i] : first[t - i + 1]]
+                    d = docs_[t].as_py()
                     for cut in lists[t].as_py():
-                        rows.append((cut["y"], cut["place"], int(cut["ctx"] != cut["y"]), cut["ctx"], around(own, cut["c"], least).tobytes()))
-                if len(rows) > _FLUSH_ROWS:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), part_types, strict=True)], names=part_names)
-                    rows = []
+                        rows.append((cut["pair"], cut["place"], d, cut["ctx"], around(own, cut["c"], least).tobytes()))
+                        if len(rows) > _FLUSH_ROWS:
+                            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), part_types, strict=True)], names=part_names)
+                            rows = []
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), part_types, strict=True)], names=part_names)
 
-    parts = sources.mapInArrow(cut_out, "y long, place int, member int, ctx long, part binary")
+    parts = sources.mapInArrow(cut_out, "pair long, place int, d long, ctx long, part binary")
+
+    def compare(rows: pa.Table) -> pa.RecordBatch:
+        """The links of whole groups: each with its first, then what that leaves apart."""
+        pair, place, d, ctx = (rows.column(x).to_numpy() for x in range(4))
+        again = np.concatenate([[False], (pair[1:] == pair[:-1]) & (place[1:] == place[:-1]) & (ctx[1:] == ctx[:-1])])
+        if again.any():  # rows of one doc_id and text
+            rows = rows.filter(pa.array(~again))
+            pair, place, d, ctx = pair[~again], place[~again], d[~again], ctx[~again]
+        matrix = np.frombuffer(b"".join(rows.column(4).to_pylist()), np.uint32).reshape(len(d), -1)
+        cut = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (place[1:] != place[:-1]), [True]]))
+        first = np.repeat(cut[:-1], np.diff(cut))
+        member = np.flatnonzero(first != np.arange(len(d)))
+        found = []
+        missed = np.zeros(len(d), bool)
+        for b in range(0, len(member), _PAIRS):
+            i = member[b : b + _PAIRS]
+            hit = near_passages(matrix[i], matrix[first[i]], least, similarity)
+            found.append(np.stack([i, first[i], hit])[:, hit >= 0])
+            missed[i] = hit < 0
+        left = np.add.reduceat(missed, cut[:-1], dtype=np.int64)
+        for g in np.flatnonzero((left > 0) & (np.diff(cut) > 2)):
+            a, e = cut[g], cut[g + 1]
+            i, j, hit = resolve(matrix[a:e], np.where(missed[a:e], np.arange(e - a), 0), least, similarity)
+            found.append(np.stack([i + a, j + a, hit]))
+        i, j, hit = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
+        columns = [ctx[i], ctx[j], (least - 1 - hit).astype(np.int32), d[i], d[j]]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["x", "y", "shift", "xd", "yd"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead, lead_key = b"", None
+        # rows come sorted by group and place; one isn't split
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            xs, ys, left, right = [], [], [], []
-            for y, place, member, ctx, part in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                if not member:
-                    lead, lead_key = part, (y, place)
-                elif lead_key == (y, place):
-                    xs.append(ctx)
-                    ys.append(y)
-                    left.append(part)
-                    right.append(lead)
-            hit = np.zeros(0, np.int64)
-            if xs:
-                matrix = lambda parts: np.frombuffer(b"".join(parts), np.uint32).reshape(len(parts), -1)
-                hit = near_passages(matrix(left), matrix(right), least, similarity)
-            ok = np.flatnonzero(hit >= 0)
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(xs, np.int64)[ok]), pa.array(np.array(ys, np.int64)[ok]), pa.array((least - 1 - hit[ok]).astype(np.int32))], names=["x", "y", "shift"])
-
-    # the first one comes before those that it meets
-    near = parts.repartition("y", "place").sortWithinPartitions("y", "place", "member").mapInArrow(verify, "x long, y long, shift int")
+            held.append(batch)
+            if sum(map(len, held)) >= _FLUSH_ROWS:
+                rows = pa.Table.from_batches(held)
+                pair, place = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+                other = np.flatnonzero((pair != pair[-1]) | (place != place[-1]))
+                if len(other):
+                    yield compare(rows.slice(0, int(other[-1]) + 1))
+                    held = rows.slice(int(other[-1]) + 1).to_batches()
+        if held and sum(map(len, held)):
+            yield compare(pa.Table.from_batches(held))
+
+    near = parts.repartition("pair", "place").sortWithinPartitions("pair", "place", "d", "ctx").mapInArrow(verify, "x long, y long, shift int, xd long, yd long")
     near = materialize(near.dropDuplicates(["x", "y"]), "near")
     # contexts that are in any link: those of several documents, and those verified
     shared = live.groupBy("ctx").agg(F.min("rep").alias("rep"))
@@ -318,7 +372,7 @@ def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, simil
     marks = counted.union(near.select("x", "shift", F.lit(False))).union(near.select("y", "shift", F.lit(False)))
     marks = marks.groupBy("ctx").agg(F.max("whole").alias("whole"), F.min("shift").alias("low"), F.max("shift").alias("high"))
     hits = materialize(met.select("d", "c", "ctx", "e").distinct().join(marks, "ctx").join(shared.select("ctx", "rep.d").withColumnRenamed("d", "rep"), "ctx"), "hits")
-    edges = hits.select(F.col("d").alias("a"), F.col("rep").alias("b")).union(near.join(checks, ["x", "y"]).select("xd", "yd")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    edges = hits.select(F.col("d").alias("a"), F.col("rep").alias("b")).union(near.select("xd", "yd")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     edges = materialize(edges, "links")
     roots = components(edges)
     degree = edges.select("a").union(edges.select("b")).groupBy("a").agg(F.count("*").alias("n_links")).withColumnRenamed("a", "d")

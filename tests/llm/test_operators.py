@@ -396,6 +396,39 @@ def test_passages(docs, hostile, none):
     assert all(class_of[k] == {k} for k in alone)
 
 
+def test_passages_of_a_group_meet_beside_its_lead(spark, monkeypatch):
+    """Groups whose first document shares a line alone with the others: theirs meet by the rest of a passage."""
+    rng = random.Random(13)
+    w = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    rows = []
+    for k in range(60):
+        line, rest = w(34), w(16)
+        rows += [(k * 10, " ".join(w(60) + line + w(60))), (k * 10 + 1, " ".join(w(60) + line + rest + w(60))), (k * 10 + 2, " ".join(w(60) + line + rest + w(60)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for many in (passages.MANY, 2):
+        monkeypatch.setattr(passages, "MANY", many)
+        got = {r.doc_id: r.class_id for r in passages.link_passages(df).collect()}
+        assert all(got[k * 10] == k * 10 and got[k * 10 + 1] == got[k * 10 + 2] == k * 10 + 1 for k in range(60))
+
+
+def test_resolve_joins_what_all_pairs_join():
+    rng = np.random.default_rng(15)
+    line = rng.integers(1, 2**32, 91)
+    parts = np.empty((120, 91), np.uint32)
+    for k in range(120):
+        if k % 3 == 0:
+            parts[k] = rng.integers(1, 2**32, 91)
+            parts[k, 30:62] = line[30:62]
+        else:
+            parts[k] = parts[k - 1]
+            at = rng.integers(0, 86)
+            parts[k, at : at + 5] = rng.integers(1, 2**32, 5)
+    a, b = np.triu_indices(120, 1)
+    hit = passages.near_passages(parts[a], parts[b], 46, 0.8) >= 0
+    i, j, _ = passages.resolve(parts, np.arange(120), 46, 0.8)
+    assert roots(range(120), zip(i.tolist(), j.tolist())) == roots(range(120), zip(a[hit].tolist(), b[hit].tolist()))
+
+
 def test_cartesian_tree():
     keys = [5, 3, 8, 3, 9, 1, 4]
     left, right = passages.cartesian_tree(keys, 0, 6, list(range(7)))
