@@ -22,8 +22,8 @@ from .text import Words, mix, ragged, runs, utf8
 WORDS = 50
 WIDTH = 5
 SIMILARITY = 0.8
-#: Hash functions; a passage is compared if it agrees with another in one.
-HASHES = 3
+#: Hash functions; a passage is compared if it agrees with another in one: all but 0.2^6 at similarity 0.8.
+HASHES = 6
 RESULT = "doc_id long, class_id long, n_links long, n_passages long, passages string"
 _FLUSH_ROWS = 20_000
 #: Contexts of a group that one place compares; of larger groups each two blocks of half as many meet in a place.

@@ -411,6 +411,18 @@ def test_passages_of_a_group_meet_beside_its_lead(spark, monkeypatch):
         assert all(got[k * 10] == k * 10 and got[k * 10 + 1] == got[k * 10 + 2] == k * 10 + 1 for k in range(60))
 
 
+def test_passages_find_links_at_the_threshold(spark):
+    rng = random.Random(14)
+    w = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    rows = []
+    for k in range(200):
+        one = w(50)
+        two = [*one[:25], "other", *one[26:]]  # 41 of 51 shingles
+        rows += [(2 * k, " ".join(w(50) + one + w(50))), (2 * k + 1, " ".join(w(50) + two + w(50)))]
+    got = {r.doc_id: r.class_id for r in passages.link_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got[2 * k] == got[2 * k + 1] for k in range(200)) >= 199
+
+
 def test_resolve_joins_what_all_pairs_join():
     rng = np.random.default_rng(15)
     line = rng.integers(1, 2**32, 91)
