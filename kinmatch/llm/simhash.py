@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -145,16 +145,28 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = RADIUS) -> Da
 
 #: Words of 64 bits in the fingerprints of near_groups().
 WIDE = 8
-#: Share of bits by which texts of a similarity may differ beyond the expected one.
-SLACK = 0.014
+#: Standard deviations by which bits of texts to be compared may differ beyond the expected ones.
+DEVIATIONS = 4
 #: Fingerprints in a block that are compared at once, about.
 BLOCK = 16_384
-#: Of the first word, bits that near texts differ in at most, but for one in several hundred.
-FIRST_RADIUS = 18
+#: Of the first word, bits that near texts differ in at most, but for one in ten thousand.
+FIRST_RADIUS = 22
+
+
+def shingle_sets(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """shingle_hashes() in order without repeats, and how many each text has."""
+    hashes, n = shingle_hashes(data, at, width)
+    text = np.repeat(np.arange(len(n)), n)
+    order = np.lexsort((hashes, text))
+    hashes, text = hashes[order], text[order]
+    keep = np.ones(len(hashes), bool)
+    keep[1:] = (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])
+    return hashes[keep], np.bincount(text[keep], minlength=len(n)).astype(np.int64)
 
 
 def wide_fingerprints(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n (shingles), fps (WIDE fingerprints of 64 bits, each by another mix of the shingle hashes)."""
+    """doc_id, node (the text's hash), n (different shingles), fps (WIDE fingerprints of 64 bits of those, each by
+    another mix of their hashes)."""
     seeds = np.arange(1, WIDE, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,14 +174,45 @@ def wide_fingerprints(docs: DataFrame, width: int) -> DataFrame:
             data, at = utf8(batch.column(1))
             out, counts = [np.zeros((0, WIDE), np.uint64)], [np.zeros(0, np.int64)]
             for i, j in runs(at, 1 << 18):
-                hashes, n = shingle_hashes(data[at[i] : at[j]], at[i : j + 1] - at[i], width)
+                hashes, n = shingle_sets(data[at[i] : at[j]], at[i : j + 1] - at[i], width)
                 out.append(np.column_stack([majority(hashes, n), *(majority(mix(hashes ^ seed), n) for seed in seeds)]))
                 counts.append(n)
             fps = pa.array(np.concatenate(out).view(np.int64).ravel())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * WIDE), fps)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(counts)), lists], names=["doc_id", "n", "fps"])
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n long, fps array<long>")
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(np.concatenate(counts)), lists], names=["doc_id", "node", "n", "fps"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_hash()).mapInArrow(run, "doc_id long, node long, n long, fps array<long>")
+
+
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("node")
+
+
+def exact_links(hashes: np.ndarray, counts: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links between sets (ordered hashes one after the other) of Jaccard similarity at least
+    `similarity`: each set reached looks at all that are not."""
+    first = np.cumsum(counts) - counts
+    left = np.arange(len(counts))
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    queue: list[int] = []
+    while len(left):
+        if not queue:
+            queue.append(int(left[0]))
+            left = left[1:]
+        k = queue.pop()
+        own = hashes[first[k] : first[k] + counts[k]]
+        close = left[np.minimum(counts[left], len(own)) >= similarity * np.maximum(counts[left], len(own)) - 1e-9]
+        if not len(close):
+            continue
+        if len(own):
+            flat = hashes[ragged(first[close], counts[close])]
+            both = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+            common = np.add.reduceat(both, np.cumsum(counts[close]) - counts[close], dtype=np.int64)
+            close = close[common >= similarity * (counts[close] + len(own) - common) - 1e-9]
+        found.append((np.full(len(close), k), close))
+        queue += close.tolist()
+        left = np.setdiff1d(left, close, assume_unique=True)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
 
 
 def spanning(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -192,16 +235,17 @@ def spanning(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 
 def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """doc_id and component_id, as near_duplicates() has them, for texts whose shingles have about `similarity` or more.
+    """doc_id and component_id, as near_duplicates() has them, for texts whose sets of shingles have a Jaccard similarity of
+    `similarity` or more.
 
-    Of two texts with Jaccard similarity J, a bit of their fingerprints differs with probability acos(2J / (1 + J)) / pi,
-    taken over 64 x WIDE bits. At that radius a vantage point's rings prune little; what parts the points as well is
+    Fingerprints find candidates; within what these join, the sets themselves are compared. Of two texts with Jaccard similarity J, a bit of their fingerprints differs with probability acos(2J / (1 + J)) / pi,
+    taken over 64 x WIDE bits; candidates may differ in DEVIATIONS more. At that radius a vantage point's rings prune little; what parts the points as well is
     their number of shingles, which can't differ by more than the similarity. Shards are bands of sizes and rings
     around a vantage point; shards that reach over each other's boundaries are compared in blocks. A block pair
     returns a spanning forest of its links, not the links.
     """
     spark = docs.sparkSession
-    fps = materialize(wide_fingerprints(docs, width).withColumn("node", F.xxhash64("fps")), "wide")
+    fps = materialize(wide_fingerprints(docs, width), "wide")
     nodes = fps.groupBy("node").agg(F.first("fps").alias("fps"), F.min("n").alias("n"), F.min("doc_id").alias("least"))
     step = float(np.log(1 / similarity))
     band = F.when(F.col("n") > 0, F.floor(F.log(F.col("n").cast("double")) / step)).otherwise(-2).cast("int")
@@ -214,7 +258,8 @@ def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
     meets: dict[tuple[int, int], list[tuple[tuple[int, int], int]]] = {
         x: [(y, blocks[y]) for db in (-1, 0, 1) for dr in (-1, 0, 1) if (y := (x[0] + db, x[1] + dr)) in blocks] for x in blocks
     }
-    limit = int((np.arccos(2 * similarity / (1 + similarity)) / np.pi + SLACK) * 64 * WIDE)
+    differs = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    limit = int(differs * 64 * WIDE + DEVIATIONS * np.sqrt(differs * (1 - differs) * 64 * WIDE))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -261,7 +306,25 @@ def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
         return pa.table({"a": pa.array(node[linked]), "b": pa.array(node[root[linked]])})
 
     edges = dealt.groupBy("pair").applyInArrow(compare, "a long, b long")
-    linked = materialize(components(edges), "components")
+    candidates = materialize(components(edges), "candidates")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, at = utf8(batch.column(2))
+            for i, j in runs(at):
+                hashes, n = shingle_sets(data[at[i] : at[j]], at[i : j + 1] - at[i], width)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(hashes.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), lists], names=["node", "root", "hashes"])
+
+    def verify(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        node, lists = group["node"].to_numpy(), group["hashes"].combine_chunks()
+        a, b = exact_links(lists.flatten().to_numpy().view(np.uint64), np.diff(lists.offsets.to_numpy()).astype(np.int64), similarity)
+        return pa.table({"a": pa.array(node[a]), "b": pa.array(node[b])})
+
+    texts = docs.select(text_hash(), F.col("text").cast("string").alias("text")).join(candidates, "node").groupBy("node", "root").agg(F.first("text").alias("text"))
+    exact = texts.mapInArrow(sets, "node long, root long, hashes array<long>").groupBy("root").applyInArrow(verify, "a long, b long")
+    linked = materialize(components(exact), "components")
     roots = nodes.select("node", "least").join(linked, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")
     named = roots.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = materialize(roots.join(named, "root").select("node", "component_id"), "classes")

@@ -98,6 +98,24 @@ def test_near_groups(docs, hostile, none):
     assert set(kept[0].asDict()) == {"doc_id", "text", "lang", "source", "n_chars", "salt"}
 
 
+def test_near_groups_are_those_of_exact_similarity(spark):
+    """Pairs of one changed stretch: from 0.65 to 0.95 alike."""
+    rng = random.Random(12)
+    rows = []
+    for k in range(300):
+        a = [f"w{rng.randrange(10**9)}" for _ in range(200)]
+        n = rng.randint(4, 38)
+        at = rng.randint(0, 200 - n)
+        rows += [(2 * k, " ".join(a)), (2 * k + 1, " ".join([*a[:at], *(f"w{rng.randrange(10**9)}" for _ in range(n)), *a[at + n :]]))]
+    rows += [(1000, "x " * 300 + rows[0][1]), (1001, "x " * 300 + rows[2][1])]  # alike in one repeated shingle alone
+    sets = dict((k, shingle_set(t)) for k, t in rows)
+    got = {r.doc_id: r.component_id for r in simhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    pairs = [(2 * k, len(sets[2 * k] & sets[2 * k + 1]) / len(sets[2 * k] | sets[2 * k + 1])) for k in range(300)]
+    assert not [k for k, s in pairs if s < 0.8 and got[k] == got[k + 1]]
+    assert sum(got[k] == got[k + 1] for k, s in pairs if s >= 0.8) >= 0.99 * sum(s >= 0.8 for _, s in pairs)
+    assert got[1000] != got[1001]
+
+
 def test_lm(docs, hostile, none):
     tokens = [[*WORD.findall(low(r[1])), None] for r in hostile]
     held = [r[0] is not None and zlib.crc32(str(r[0]).encode()) % 7 == 2 for r in hostile]
