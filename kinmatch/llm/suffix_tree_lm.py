@@ -1,61 +1,61 @@
 """LM scoring by a probabilistic suffix tree over words.
 
-Counts cover every training document. A context is looked at if it makes up at least FLOOR of the training tokens,
-and kept if its next-symbol distribution diverges enough from that of its longest proper suffix. Because the floors
-are shares of the corpus, the tree has at most 1 / FLOOR words and 1 / PAIR_FLOOR entries a level, whatever the
-corpus: that is the proven bound of what is broadcast. Word counts, which do grow, are joined by shuffle instead:
-each block of documents asks once for each of its words.
+Counts cover every training document. The tree grows level by level: a context is a retained entry of the level
+below it, an entry is retained if its count diverges from what the longest proper suffix predicts by more than naming
+it costs, and growth ends where nothing is retained. There is no floor but two occurrences, so what is gathered
+grows with the corpus: words, pairs and longer grams are counted by shuffle, and the tree is broadcast only while it
+is small; beyond that each block of documents asks for the entries it needs.
+
+Root probabilities share out all mass: known words have theirs by count, and unseen words that of the words seen
+once, spread by a model of spelling over bytes. A context's entries are discounted, and what is freed goes to all
+other words in proportion to the suffix's distribution. All words there could be thus sum to at most one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .store import drop, materialize, table
 from .text import Words, ragged, runs, utf8
 
-FLOOR = 1e-4
-PAIR_FLOOR = 1e-6
+#: Occurrences that a word or context needs to be one, and that an entry needs.
+LEAST = 2
+#: Words in a context at most.
+DEPTH = 6
 DISCOUNT = 0.5
 BLOCK_BYTES = 6 << 20
-_FLUSH = 2_000_000
+#: Rows of one level of the tree that are broadcast at most, of 20 bytes each.
+BROADCAST_ROWS = 2_000_000
+#: Grams that are counted together before they are shuffled.
+_FLUSH = 4_000_000
+#: Rows that are numbered in one task, about.
+_NUMBERED = 1_000_000
 #: The end of a text as a word hash.
 END = np.int64(-0x6A09E667F3BCC909)
+#: Numbers of a rare word, an unseen one and the start of a text; other words have further ones.
+RARE, UNKNOWN, START = -1, 0, 1
+#: The block under which pairs of bytes are counted.
+SPELLING = -1
+EDGE = 256
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+ENCODED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, root_score double, score_known double, ids binary"
+STATES = ENCODED + ", context binary, delta binary"
 
 
-@dataclass
-class Tree:
-    """words: sorted hashes of frequent symbols, END included. Codes: symbol k is k + 1 and the start of a text 0;
-    a pair (x, y) is x * m + y, a triple (x, y, z) is (x * m + y) * m + z. For each level: codes of entries with
-    their log10 probabilities, and contexts with the log10 weight that all other symbols get."""
-
-    n: int
-    v: int
-    unknown: float
-    words: np.ndarray
-    entries: list[tuple[np.ndarray, np.ndarray]]
-    contexts: list[tuple[np.ndarray, np.ndarray]]
-
-    @property
-    def m(self) -> int:
-        return len(self.words) + 1
-
-
-def with_ends(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of each text with END after each, and where each text starts."""
-    words = Words(data, at)
+def with_ends(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes of each text with END after each, where each text starts, and the place of each word."""
     n = np.diff(words.first)
     first = np.concatenate([[0], np.cumsum(n + 1)])
+    place = ragged(first[:-1], n)
     out = np.full(int(first[-1]), END, np.int64)
-    out[ragged(first[:-1], n)] = words.hashes()
-    return out, first
+    out[place] = words.hashes()
+    return out, first, place
 
 
 def lookup(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -66,187 +66,348 @@ def lookup(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return np.where(keys[k] == wanted, k, -1)
 
 
-def history(symbols: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The codes of the symbols one and two before each; 0 at a text's start, -1 for infrequent or none."""
-    one = np.empty_like(symbols)
-    one[1:] = symbols[:-1]
-    one[first[:-1]] = 0
-    two = np.full_like(symbols, -1)
-    two[1:] = one[:-1]
-    two[first[:-1]] = -1
-    return one, two
+def spelt(words: Words, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the pairs of bytes of the chosen words, their edges included, and where each word's begin."""
+    length = words.ends[chosen] - words.starts[chosen]
+    at = np.concatenate([[0], np.cumsum(length + 1)])
+    before = np.full(int(at[-1]), EDGE, np.int64)
+    after = before.copy()
+    raw = words.low[ragged(words.starts[chosen], length)].astype(np.int64)
+    before[ragged(at[:-1] + 1, length)] = raw
+    after[ragged(at[:-1], length)] = raw
+    return before * (EDGE + 1) + after, at
 
 
-def gram_counts(symbols: np.ndarray, first: np.ndarray, m: int) -> np.ndarray:
-    """Codes of all pairs and triples of frequent symbols; triples are lifted by m * m."""
-    one, two = history(symbols, first)
-    pair = (symbols > 0) & (one >= 0)
-    triple = pair & (two >= 0)
-    pairs = one * m + symbols
-    return np.concatenate([pairs[pair], two[triple] * m * m + pairs[triple] + m * m])
+def spelling(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """log10 probability of each byte or edge after each, by code: every byte stays possible."""
+    seen = np.zeros((EDGE + 1) ** 2)
+    seen[codes] = counts
+    seen = seen.reshape(EDGE + 1, EDGE + 1) + 0.01
+    return np.log10(seen / seen.sum(axis=1, keepdims=True)).ravel()
 
 
-def grow(n: int, v: int, once: int, starts: int, words: np.ndarray, counts: np.ndarray, grams: list[tuple[np.ndarray, np.ndarray]]) -> Tree:
-    """grams: sorted codes and counts of pairs and of triples at or over the floor."""
-    m = len(words) + 1
-    unknown = max(once, 1) / (n + 1) if n else 1.0
-    root = np.concatenate([[0.0], (1 - unknown) * counts / max(n, 1)])
-    totals = [np.concatenate([[starts], counts]).astype(float), None]
-    entries, contexts = [], []
-    below: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
-
-    def prob(level: int, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        """Of symbols after contexts of the level's length, from the levels below `level`."""
-        p = root[symbol]
-        for codes, probs, kept, weight in below[:level]:
-            suffix = context % m  # the level below level 1 has contexts of one symbol
-            state = lookup(kept, suffix)
-            entry = np.where(state >= 0, lookup(codes, suffix * m + symbol), -1)
-            p = np.where(state < 0, p, np.where(entry >= 0, probs[entry] if len(probs) else p, p * (weight[state] if len(weight) else 1.0)))
+@dataclass
+class Root:
+    """n tokens of v different words, the share of unseen words, and their spelling."""
+
+    n: int
+    v: int
+    unknown: float
+    spelling: np.ndarray
+
+    def log10(self, counts: np.ndarray, words: Words, place: np.ndarray) -> np.ndarray:
+        """log10 probabilities of tokens by their training counts; the unseen ones by their bytes."""
+        p = np.log10(np.where(counts > 0, (1 - self.unknown) * counts / max(self.n, 1), self.unknown))
+        new = np.flatnonzero(counts[place] == 0)
+        if len(new):
+            codes, at = spelt(words, new)
+            p[place[new]] += np.add.reduceat(self.spelling[codes], at[:-1])
+        if not self.n:  # no end was seen either: the empty spelling
+            ends = np.ones(len(p), bool)
+            ends[place] = False
+            p[ends] += self.spelling[EDGE * (EDGE + 1) + EDGE]
         return p
 
-    for level, (codes, seen) in enumerate(grams):
-        context, symbol = codes // m, codes % m
-        if level == 0:
-            total = totals[0][context]
-        else:  # only contexts that are themselves counted
-            k = lookup(grams[0][0], context)
-            ok = (k >= 0)
-            codes, seen, context, symbol, k = codes[ok], seen[ok], context[ok], symbol[ok], k[ok]
-            total = grams[0][1][k].astype(float)
-        if not len(codes):
-            below.append((np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64), np.zeros(0)))
-            entries.append((np.zeros(0, np.int64), np.zeros(0)))
-            contexts.append((np.zeros(0, np.int64), np.zeros(0)))
-            continue
-        parent = prob(level, context, symbol)
-        states, at, size = np.unique(context, return_index=True, return_counts=True)
-        total_of = total[at]
-        add = lambda x: np.add.reduceat(x, at)
-        share, rest_parent = seen / total, np.clip(1 - add(parent), 1e-12, 1)
-        rest = np.clip(1 - add(share), 0, 1)
-        gain = add(share * np.log(share / parent)) + np.where(rest > 0, rest * np.log(np.maximum(rest, 1e-300) / rest_parent), 0)
-        # the divergence must pay for the context's parameters
-        keep = total_of * gain > 0.5 * size * np.log(np.maximum(total_of, 2))
-        smooth = (seen - DISCOUNT) / total
-        weight = np.clip(1 - add(smooth), 1e-12, None) / rest_parent
-        kept = np.repeat(keep, size)
-        below.append((codes[kept], smooth[kept], states[keep], weight[keep]))
-        entries.append((codes[kept], np.log10(smooth[kept])))
-        contexts.append((states[keep], np.log10(weight[keep])))
-    return Tree(n, v, unknown, words, entries, contexts)
-
-
-def score(tree: Tree, counts: np.ndarray, symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """log10 probability of each token from its longest suffix state. counts: training counts of the tokens."""
-    m = tree.m
-    p = np.log10(np.where(counts > 0, (1 - tree.unknown) * counts / max(tree.n, 1), tree.unknown))
-    one, two = history(symbols, first)
-    for level, ((codes, probs), (kept, weight)) in enumerate(zip(tree.entries, tree.contexts, strict=True)):
-        if not len(kept):
-            continue
-        context = one if level == 0 else np.where((two >= 0) & (one >= 0), two * m + one, -1)
-        state = lookup(kept, context)
-        here = np.flatnonzero(state >= 0)
-        known = here[symbols[here] > 0]
-        entry = lookup(codes, context[known] * m + symbols[known])
-        p[here] += weight[state[here]]
-        p[known[entry >= 0]] = probs[entry[entry >= 0]]
-    return p
-
-
-def train_and_score(docs: DataFrame, floor: float = FLOOR, pair_floor: float = PAIR_FLOOR, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """SCORES for each row of (doc_id, text). Trains on documents whose crc32(doc_id as text) mod 7 is not 2.
+
+@dataclass
+class Level:
+    """Entries of one level, sorted by key: context << 32 | word with its log10 probability over the root's and the
+    context it makes with its word (0: none), and context << 32 with the log10 weight of all other words."""
+
+    keys: np.ndarray
+    values: np.ndarray
+    nexts: np.ndarray
+
+
+def first_contexts(ids: np.ndarray) -> np.ndarray:
+    """The context of one word before each place of texts that begin with START; 0 at those."""
+    out = np.zeros(len(ids), np.int64)
+    out[1:] = ids[:-1]
+    out[ids == START] = 0
+    return out
+
+
+def step(ids: np.ndarray, context: np.ndarray, delta: np.ndarray, level: Level) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts of the next level, and log10 probabilities over the root's after this one."""
+    at = np.flatnonzero(context > 0)
+    state = lookup(level.keys, context[at] << 32)
+    at, state = at[state >= 0], state[state >= 0]
+    known = ids[at] > START
+    entry = np.full(len(at), -1, np.int64)
+    entry[known] = lookup(level.keys, (context[at[known]] << 32) | ids[at[known]])
+    new = delta.copy()
+    new[at] += level.values[state]
+    hit = entry >= 0
+    new[at[hit]] = level.values[entry[hit]]
+    following = np.zeros(len(ids) + 1, np.int64)
+    following[at[hit] + 1] = level.nexts[entry[hit]]
+    following = following[:-1]
+    following[ids == START] = 0
+    return following, new
+
+
+def walk(ids: np.ndarray, levels: list[Level]) -> tuple[np.ndarray, np.ndarray]:
+    context, delta = first_contexts(ids), np.zeros(len(ids))
+    for level in levels:
+        context, delta = step(ids, context, delta, level)
+    return context, delta
+
+
+def numbered(rows: DataFrame, key: str, name: str, first: int) -> DataFrame:
+    """Adds `name`: numbers without gaps from `first`. rows are materialised; key is unique."""
+    n = rows.count()
+    if n >= 1 << 31:
+        raise ValueError("more than 2^31 words or contexts")
+    buckets = -(-n // _NUMBERED) or 1
+    dealt = rows.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    sizes = dict(map(tuple, dealt.groupBy("_bucket").agg(F.count("*")).collect()))
+    starts, total = [], first
+    for k in range(buckets):
+        starts.append(total)
+        total += sizes.get(k, 0)
+    start = F.array(*[F.lit(x).cast("long") for x in starts])[F.col("_bucket")]
+    return dealt.withColumn(name, start + F.row_number().over(Window.partitionBy("_bucket").orderBy(key)) - 1).drop("_bucket")
+
+
+def retained(grams: DataFrame, v: int) -> DataFrame:
+    """Of grams (s, z, n, total, p0, parent: the suffix's probability) those whose count diverges from total * parent
+    upwards by more nats than it costs to name one of v words and to state its probability."""
+    expected = F.col("total") * F.col("parent")
+    gain = F.col("n") * F.log(F.col("n") / expected) - (F.col("n") - expected)
+    cost = F.log(F.lit(float(max(v, 2)))) + 0.5 * F.log(F.greatest(F.col("total"), F.lit(2)).cast("double"))
+    return grams.filter((F.col("n") > expected) & (gain > cost))
+
+
+def key_of(s: Column, z: Column | int = 0) -> Column:
+    return F.shiftleft(s, 32) + (z if isinstance(z, Column) else F.lit(z))
+
+
+def train_and_score(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, block_bytes: int = BLOCK_BYTES, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """SCORES, and score_known (of the tokens that training knows), for each row of (doc_id, text). Trains on documents whose crc32(doc_id as
+    text) mod 7 is not 2.
 
     Null text is empty and has the end alone. A null doc_id trains and isn't held out. Repeated rows count as often
-    as they stand. An empty table gives an empty one; with nothing to train on every score is 0.
+    as they stand. An empty table gives an empty one; with nothing to train on words are scored by their spelling.
+    broadcast_rows changes how the tree reaches the documents, not the scores.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     plain = plain.withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False)))
-    size = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
-    blocked = plain.withColumn("block", F.pmod(F.xxhash64("doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(blocks)).cast("int"))
+    size, starts = plain.agg(F.sum(F.octet_length("text")), F.count_if(~F.col("held_out"))).first()
+    blocks = max(1, -(-(size or 0) // block_bytes))
+    blocked = plain.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
 
     def ask(group: pa.Table) -> pa.Table:
         found: list[tuple[np.ndarray, np.ndarray]] = []
+        pairs = np.zeros((EDGE + 1) ** 2, np.int64)
         group = group.combine_chunks()
         data, at = utf8(group["text"])
         trains = ~group["held_out"].to_numpy(zero_copy_only=False)
         for i, j in runs(at):
-            tokens, first = with_ends(data[at[i] : at[j]], at[i : j + 1] - at[i])
-            key, back = np.unique(tokens, return_inverse=True)
-            found.append((key, np.bincount(back, np.repeat(trains[i:j], np.diff(first)), len(key)).astype(np.int64)))
+            words = Words(data[at[i] : at[j]], at[i : j + 1] - at[i])
+            tokens, first, place = with_ends(words)
+            mine = np.repeat(trains[i:j], np.diff(first))
+            key, one, back = np.unique(tokens, return_index=True, return_inverse=True)
+            n = np.bincount(back, mine, len(key)).astype(np.int64)
+            found.append((key, n))
+            number = np.full(len(tokens), -1, np.int64)
+            number[place] = np.arange(len(place))
+            spell = number[one[n > 0]]
+            if (spell >= 0).any():
+                pairs += np.bincount(spelt(words, spell[spell >= 0])[0], minlength=len(pairs))
         key, back = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
         n = np.bincount(back, np.concatenate([c for _, c in found]), len(key)).astype(np.int64)
-        block = group["block"][0].as_py()
-        return pa.table({"block": pa.array(np.full(len(key), block, np.int32)), "word": key, "n": n})
+        code = np.flatnonzero(pairs)
+        block = np.concatenate([np.full(len(key), group["block"][0].as_py(), np.int32), np.full(len(code), SPELLING, np.int32)])
+        return pa.table({"block": block, "word": np.concatenate([key, code]), "n": np.concatenate([n, pairs[code]])})
 
     asked = materialize(blocked.groupBy("block").applyInArrow(ask, "block int, word long, n long"), "asked")
-    counts = materialize(asked.groupBy("word").agg(F.sum("n").alias("c")).filter("c > 0"), "counts")
+    words = asked.filter(F.col("block") != SPELLING)
+    counts = materialize(words.groupBy("word").agg(F.sum("n").alias("c")).filter("c > 0"), "counts")
     n, v, once = counts.agg(F.sum("c"), F.count("*"), F.count_if(F.col("c") == 1)).first()
     n = n or 0
-    frequent = counts.filter(F.col("c") >= floor * n).orderBy("word").collect() if n else []
-    words = np.array([r[0] for r in frequent], np.int64)
-    seen = np.array([r[1] for r in frequent], np.int64)
-    starts = plain.filter("not held_out").count()
-    m = len(words) + 1
+    unknown = max(once, 1) / (n + 1) if n else 1.0
+    # at most (EDGE + 1)^2 rows
+    pairs = asked.filter(F.col("block") == SPELLING).groupBy("word").agg(F.sum("n").alias("n")).toPandas()
+    root = spark.sparkContext.broadcast(Root(n, v, unknown, spelling(pairs["word"].to_numpy(np.int64), pairs["n"].to_numpy(np.int64))))
+    symbols = materialize(numbered(counts.filter(F.col("c") >= least), "word", "id", START + 1), "symbols")
+    named = counts.filter(F.col("c") < least).withColumn("id", F.lit(RARE).cast("long")).unionByName(symbols)
+    answers = materialize(words.join(named, "word").select("block", "word", "c", F.col("id").cast("int").alias("id")), "answers")
+    drop(asked)
+    drop(counts)
+
+    def encode(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        model = root.value
+        key, c, id_ = (answers[x].to_numpy() for x in ("word", "c", "id")) if len(answers) else (np.zeros(0, np.int64),) * 3
+        order = np.argsort(key)
+        key, c, id_ = key[order], np.append(c[order], 0), np.append(id_[order], UNKNOWN)
+        texts = texts.combine_chunks()
+        data, at = utf8(texts["text"])
+        out: list[list[np.ndarray]] = []
+        ids: list[bytes] = []
+        for i, j in runs(at):
+            words = Words(data[at[i] : at[j]], at[i : j + 1] - at[i])
+            tokens, first, place = with_ends(words)
+            k = lookup(key, tokens)
+            n_of = c[k]
+            sum_ = lambda x, first=first: np.add.reduceat(x, first[:-1])
+            p = model.log10(n_of, words, place)
+            base = np.log10((n_of + 1) / (model.n + model.v + 1))
+            out.append([np.diff(first), sum_((n_of > 0).astype(np.int64)), sum_(base), sum_(p), sum_(np.where(n_of > 0, p, 0.0))])
+            number = np.insert(id_[k].astype(np.int32), first[:-1], START)
+            start = first + np.arange(len(first))
+            ids += [number[a:b].tobytes() for a, b in zip(start[:-1], start[1:], strict=True)]
+        columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0)] * 5
+        return pa.table([texts["doc_id"], texts["held_out"], *(pa.array(x.astype(np.int64)) for x in columns[:2]), *(pa.array(x.astype(float)) for x in columns[2:]), pa.array(ids, pa.binary())], names=[x.split()[0] for x in ENCODED.split(", ")])
+
+    encoded = materialize(blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(encode, ENCODED), "encoded")
+    drop(answers)
+    levels: list[DataFrame] = []
+    small = True  # every level so far is broadcast
+    shared: list = []
+    states = encoded  # with context and delta once a level isn't
+    totals = symbols.select(F.col("id").alias("s"), F.col("c").alias("total")).union(spark.createDataFrame([(START, int(starts or 0))], "s long, total long"))
+    share = (1 - unknown) / max(n, 1)
+    for number in range(1, depth + 1):
+        grams = _grams(states, shared, number).groupBy("code").agg(F.sum("n").alias("n"), F.min("delta").alias("delta")).filter(F.col("n") >= LEAST)
+        split = grams.select(F.shiftright("code", 32).alias("s"), F.col("code").bitwiseAND(F.lit((1 << 32) - 1)).alias("z"), "n", "delta")
+        root_p = symbols.select(F.col("id").alias("z"), (F.col("c") * share).alias("p0"))
+        tested = split.join(root_p, "z").join(totals, "s").withColumn("parent", F.col("p0") * F.pow(F.lit(10.0), F.col("delta")))
+        entries = materialize(retained(tested, v).select("s", "z", "n", "total", "p0", "parent", key_of(F.col("s"), F.col("z")).alias("key")), "entries")
+        entries_n = entries.count()
+        if not entries_n:
+            drop(entries)
+            break
+        entries_id = materialize(numbered(entries, "key", "id", START + 1), "entries")
+        drop(entries)
+        entries = entries_id
+        smooth = (F.col("n") - DISCOUNT) / F.col("total")
+        freed = F.greatest(1 - F.sum(smooth), F.lit(1e-12)) / F.greatest(1 - F.sum("parent"), F.lit(1e-12))
+        weights = entries.groupBy("s").agg(F.log10(freed).alias("value")).select(key_of(F.col("s")).alias("key"), "value", F.lit(0).cast("long").alias("next"))
+        facts = materialize(entries.select("key", F.log10(smooth / F.col("p0")).alias("value"), F.col("id").alias("next")).unionByName(weights), "level")
+        levels.append(facts)
+        small = small and facts.count() <= broadcast_rows
+        if small:
+            rows = facts.orderBy("key").toPandas()
+            level = Level(rows["key"].to_numpy(np.int64), rows["value"].to_numpy(float), rows["next"].to_numpy(np.int64))
+            shared.append(spark.sparkContext.broadcast(level))
+        else:
+            states = materialize(_advance(_with_states(states, shared), facts, max(1, -(-(size or 0) // block_bytes))), "states")
+            shared = []
+        totals = entries.select(F.col("id").alias("s"), F.col("n").alias("total"))
+    return _finish(states, shared, n)
 
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+
+def _rows(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a binary column one after the other, and where each row's begin."""
+    data, at = utf8(column)
+    return np.frombuffer(data.tobytes(), kind), at // np.dtype(kind).itemsize
+
+
+def _walked(batch: pa.RecordBatch, shared: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """ids, offsets, contexts and deltas of a batch of ENCODED or STATES rows, after the broadcast levels."""
+    names = batch.schema.names
+    ids, at = _rows(batch.column(names.index("ids")), np.int32)
+    ids = ids.astype(np.int64)
+    if "context" in names:
+        context, delta = _rows(batch.column(names.index("context")), np.int32)[0].astype(np.int64), _rows(batch.column(names.index("delta")), np.float64)[0]
+    else:
+        context, delta = first_contexts(ids), np.zeros(len(ids))
+    for level in shared:
+        context, delta = step(ids, context, delta, level.value)
+    return ids, at, context, delta
+
+
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Batches of fewer rows, so that arrays of one number a token stay small."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
+def _grams(states: DataFrame, shared: list, number: int) -> DataFrame:
+    """(code, n, delta): context << 32 | word of all training tokens whose context is in the tree."""
+    columns = [c for c in states.columns if c in ("ids", "context", "delta")]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush() -> pa.RecordBatch:
-            code, c = np.unique(np.concatenate(held), return_counts=True)
+            code, one, n = np.unique(np.concatenate([c for c, _ in held]), return_index=True, return_counts=True)
+            delta = np.concatenate([d for _, d in held])[one]
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(code), pa.array(c.astype(np.int64))], names=["code", "n"])
-
-        for batch in batches:
-            data, at = utf8(batch.column(0))
-            for i, j in runs(at):
-                tokens, first = with_ends(data[at[i] : at[j]], at[i : j + 1] - at[i])
-                k = lookup(words, tokens)
-                held.append(gram_counts(np.where(k >= 0, k + 1, -1), first, m))
-                if sum(map(len, held)) > _FLUSH:
-                    yield flush()
+            return pa.RecordBatch.from_arrays([pa.array(code), pa.array(n.astype(np.int32)), pa.array(delta)], names=["code", "n", "delta"])
+
+        for batch in _parts(batches):
+            ids, _, context, delta = _walked(batch, shared)
+            at = np.flatnonzero((context > 0) & (ids > START))
+            held.append(((context[at] << 32) | ids[at], delta[at]))
+            if sum(len(c) for c, _ in held) > _FLUSH:
+                yield flush()
         if held:
             yield flush()
 
-    by_code = plain.filter("not held_out").select("text").mapInArrow(grams, "code long, n long").groupBy("code").agg(F.sum("n").alias("c"))
-    often = by_code.filter(F.col("c") >= max(2.0, pair_floor * n)).orderBy("code").toPandas()
-    code, c = often["code"].to_numpy(np.int64), often["c"].to_numpy(np.int64)
-    lifted = code >= m * m
-    tree = grow(n, v, once, starts, words, seen, [(code[~lifted], c[~lifted]), (code[lifted] - m * m, c[lifted])])
-    shared = spark.sparkContext.broadcast(tree)
+    return states.filter("not held_out").select(*columns).mapInArrow(count, "code long, n int, delta double")
 
-    def score_block(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        tree = shared.value
-        out: list[list[np.ndarray]] = []
-        if len(answers):
-            order = np.argsort(key := answers["word"].to_numpy())
-            key, c = key[order], answers["c"].to_numpy()[order]
-        else:
-            key, c = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        code = lookup(tree.words, key)
-        code = np.append(np.where(code >= 0, code + 1, -1), -1)
-        c = np.append(c, 0)
+
+def _map(states: DataFrame, shared: list, make: Callable[[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray], list], schema: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _parts(batches):
+            yield pa.RecordBatch.from_arrays(make(batch, *_walked(batch, shared)), names=[x.split()[0] for x in schema.split(", ")])
+
+    return states.mapInArrow(run, schema)
+
+
+def _binaries(values: np.ndarray, at: np.ndarray) -> pa.Array:
+    return pa.array([values[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())
+
+
+def _with_states(states: DataFrame, shared: list) -> DataFrame:
+    """STATES rows after the levels that are broadcast."""
+    if "context" in states.columns and not shared:
+        return states
+    kept = len(ENCODED.split(", "))
+    return _map(states, shared, lambda batch, ids, at, context, delta: [*batch.columns[:kept], _binaries(context.astype(np.int32), at), _binaries(delta, at)], STATES)
+
+
+def _advance(states: DataFrame, facts: DataFrame, blocks: int) -> DataFrame:
+    """STATES rows after a level that isn't broadcast: blocks of documents ask for the keys they have, once each."""
+    blocked = states.withColumn("block", F.pmod(F.xxhash64("doc_id", "ids"), F.lit(blocks)).cast("int"))
+
+    def ask(group: pa.Table) -> pa.Table:
+        block = group["block"][0].as_py()
+        ids, _ = _rows(group["ids"], np.int32)
+        context, _ = _rows(group["context"], np.int32)
+        at = np.flatnonzero(context > 0)
+        context, ids = context[at].astype(np.int64) << 32, ids[at].astype(np.int64)
+        key = np.unique(np.concatenate([context, context | np.where(ids > START, ids, 0)]))
+        return pa.table({"block": np.full(len(key), block, np.int32), "key": key})
+
+    def answer(texts: pa.Table, answers: pa.Table) -> pa.Table:
         texts = texts.combine_chunks()
-        data, at = utf8(texts["text"])
-        for i, j in runs(at):
-            tokens, first = with_ends(data[at[i] : at[j]], at[i : j + 1] - at[i])
-            k = lookup(key, tokens)
-            n_of = c[k]
-            sum_ = lambda x, first=first: np.add.reduceat(x, first[:-1])
-            out.append([np.diff(first), sum_((n_of > 0).astype(np.int64)), sum_(np.log10((n_of + 1) / (tree.n + tree.v + 1))), sum_(score(tree, n_of, code[k], first))])
-        columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0)] * 4
-        return pa.table({
-            "doc_id": texts["doc_id"], "held_out": texts["held_out"], "n_tokens": pa.array(columns[0].astype(np.int64)), "n_known": pa.array(columns[1].astype(np.int64)),
-            "train_tokens": pa.array(np.full(len(columns[0]), tree.n, np.int64)), "base_score": pa.array(columns[2].astype(float)), "score": pa.array(columns[3].astype(float)),
-        })
-
-    answers = materialize(asked.join(counts, "word").select("block", "word", "c"), "answers")
-    drop(asked)
-    return blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score_block, SCORES)
+        key = answers["key"].to_numpy() if len(answers) else np.zeros(0, np.int64)
+        order = np.argsort(key)
+        level = Level(key[order], *(answers[x].to_numpy()[order] if len(answers) else np.zeros(0, kind) for x, kind in (("value", float), ("next", np.int64))))
+        ids, at = _rows(texts["ids"], np.int32)
+        context, delta = step(ids.astype(np.int64), _rows(texts["context"], np.int32)[0].astype(np.int64), _rows(texts["delta"], np.float64)[0], level)
+        kept = [texts[c] for c in [x.split()[0] for x in ENCODED.split(", ")]]
+        return pa.table([*kept, _binaries(context.astype(np.int32), at), _binaries(delta, at)], names=[x.split()[0] for x in STATES.split(", ")])
+
+    asks = blocked.select("block", "ids", "context").groupBy("block").applyInArrow(ask, "block int, key long")
+    answers = asks.join(facts, "key").select("block", "key", "value", "next")
+    return blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(answer, STATES)
+
+
+def _finish(states: DataFrame, shared: list, n: int) -> DataFrame:
+    def make(batch: pa.RecordBatch, ids: np.ndarray, at: np.ndarray, context: np.ndarray, delta: np.ndarray) -> list:
+        more = np.add.reduceat(delta, at[:-1]) if len(at) > 1 else np.zeros(0)
+        known = np.add.reduceat(np.where(ids != UNKNOWN, delta, 0.0), at[:-1]) if len(at) > 1 else np.zeros(0)
+        doc_id, held_out, n_tokens, n_known, base, root, root_known = batch.columns[:7]
+        total = pa.array(np.full(len(more), n, np.int64))
+        return [doc_id, held_out, n_tokens, n_known, total, base, pa.array(root.to_numpy() + more), pa.array(root_known.to_numpy() + known)]
+
+    return _map(states, shared, make, SCORES + ", score_known double")
 
 
 def op2_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
