@@ -27,11 +27,11 @@ from .text import Words, ragged, runs, utf8
 #: Occurrences that a word or context needs to be one, and that an entry needs.
 LEAST = 2
 #: Words in a context at most.
-DEPTH = 6
+DEPTH = 4
 DISCOUNT = 0.5
 BLOCK_BYTES = 6 << 20
-#: Rows of one level of the tree that are broadcast at most, of 20 bytes each.
-BROADCAST_ROWS = 2_000_000
+#: Rows of one level of the tree that are broadcast at most, of 24 bytes each; contexts may be twice as many, of 8 bytes.
+BROADCAST_ROWS = 4_000_000
 #: Grams that are counted together before they are shuffled.
 _FLUSH = 4_000_000
 #: Rows that are numbered in one task, about.
@@ -40,6 +40,7 @@ _NUMBERED = 1_000_000
 END = np.int64(-0x6A09E667F3BCC909)
 #: Numbers of a rare word, an unseen one and the start of a text; other words have further ones.
 RARE, UNKNOWN, START = -1, 0, 1
+_WORD = (1 << 32) - 1
 #: The block under which pairs of bytes are counted.
 SPELLING = -1
 EDGE = 256
@@ -111,12 +112,45 @@ class Root:
 
 @dataclass
 class Level:
-    """Entries of one level, sorted by key: context << 32 | word with its log10 probability over the root's and the
-    context it makes with its word (0: none), and context << 32 with the log10 weight of all other words."""
+    """Of one level: entries sorted by key, context << 32 | word, with their log10 probability over the root's and the
+    context they make with their word; and sorted contexts with the log10 weight of all other words."""
 
     keys: np.ndarray
     values: np.ndarray
     nexts: np.ndarray
+    contexts: np.ndarray
+    weights: np.ndarray
+
+    @classmethod
+    def of(cls, rows: pa.Table) -> Level:
+        key, value, following = (rows[x].to_numpy() for x in ("key", "value", "next"))
+        order = np.argsort(key)
+        weight = order[(key[order] & _WORD) == 0]
+        entry = order[(key[order] & _WORD) != 0]
+        return cls(key[entry], value[entry], following[entry], key[weight] >> 32, value[weight])
+
+    def prepare(self) -> None:
+        """A table by context, and a map of bits that rules most words out before they are searched for."""
+        if hasattr(self, "table"):
+            return
+        self.table = np.full(int(self.contexts[-1]) + 2 if len(self.contexts) else 1, np.nan)
+        self.table[self.contexts] = self.weights
+        bits = max(10, (16 * len(self.keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.map = np.zeros(1 << (bits - 3), np.uint8)
+        place = self.places(self.keys)
+        np.bitwise_or.at(self.map, place >> np.uint64(3), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
+    def entry(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, or -1."""
+        out = np.full(len(keys), -1, np.int64)
+        place = self.places(keys)
+        likely = np.flatnonzero(self.map[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
+        out[likely] = lookup(self.keys, keys[likely])
+        return out
 
 
 def first_contexts(ids: np.ndarray) -> np.ndarray:
@@ -129,30 +163,24 @@ def first_contexts(ids: np.ndarray) -> np.ndarray:
 
 def step(ids: np.ndarray, context: np.ndarray, delta: np.ndarray, level: Level) -> tuple[np.ndarray, np.ndarray]:
     """Contexts of the next level, and log10 probabilities over the root's after this one."""
+    level.prepare()
     at = np.flatnonzero(context > 0)
-    state = lookup(level.keys, context[at] << 32)
-    at, state = at[state >= 0], state[state >= 0]
-    known = ids[at] > START
-    entry = np.full(len(at), -1, np.int64)
-    entry[known] = lookup(level.keys, (context[at[known]] << 32) | ids[at[known]])
+    weight = level.table[np.minimum(context[at], len(level.table) - 1)]
+    kept = ~np.isnan(weight)
+    at, weight = at[kept], weight[kept]
     new = delta.copy()
-    new[at] += level.values[state]
-    hit = entry >= 0
-    new[at[hit]] = level.values[entry[hit]]
+    new[at] += weight
+    at = at[ids[at] > START]
+    entry = level.entry((context[at] << 32) | ids[at])
+    at, entry = at[entry >= 0], entry[entry >= 0]
+    new[at] = level.values[entry]
     following = np.zeros(len(ids) + 1, np.int64)
-    following[at[hit] + 1] = level.nexts[entry[hit]]
+    following[at + 1] = level.nexts[entry]
     following = following[:-1]
     following[ids == START] = 0
     return following, new
 
 
-def walk(ids: np.ndarray, levels: list[Level]) -> tuple[np.ndarray, np.ndarray]:
-    context, delta = first_contexts(ids), np.zeros(len(ids))
-    for level in levels:
-        context, delta = step(ids, context, delta, level)
-    return context, delta
-
-
 def numbered(rows: DataFrame, key: str, name: str, first: int) -> DataFrame:
     """Adds `name`: numbers without gaps from `first`. rows are materialised; key is unique."""
     n = rows.count()
@@ -229,8 +257,8 @@ def train_and_score(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, blo
     n = n or 0
     unknown = max(once, 1) / (n + 1) if n else 1.0
     # at most (EDGE + 1)^2 rows
-    pairs = asked.filter(F.col("block") == SPELLING).groupBy("word").agg(F.sum("n").alias("n")).toPandas()
-    root = spark.sparkContext.broadcast(Root(n, v, unknown, spelling(pairs["word"].to_numpy(np.int64), pairs["n"].to_numpy(np.int64))))
+    pairs = asked.filter(F.col("block") == SPELLING).groupBy("word").agg(F.sum("n").alias("n")).toArrow()
+    root = spark.sparkContext.broadcast(Root(n, v, unknown, spelling(pairs["word"].to_numpy(), pairs["n"].to_numpy())))
     symbols = materialize(numbered(counts.filter(F.col("c") >= least), "word", "id", START + 1), "symbols")
     named = counts.filter(F.col("c") < least).withColumn("id", F.lit(RARE).cast("long")).unionByName(symbols)
     answers = materialize(words.join(named, "word").select("block", "word", "c", F.col("id").cast("int").alias("id")), "answers")
@@ -269,9 +297,10 @@ def train_and_score(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, blo
     states = encoded  # with context and delta once a level isn't
     totals = symbols.select(F.col("id").alias("s"), F.col("c").alias("total")).union(spark.createDataFrame([(START, int(starts or 0))], "s long, total long"))
     share = (1 - unknown) / max(n, 1)
+    totals_n = symbols.count()
     for number in range(1, depth + 1):
         grams = _grams(states, shared, number).groupBy("code").agg(F.sum("n").alias("n"), F.min("delta").alias("delta")).filter(F.col("n") >= LEAST)
-        split = grams.select(F.shiftright("code", 32).alias("s"), F.col("code").bitwiseAND(F.lit((1 << 32) - 1)).alias("z"), "n", "delta")
+        split = grams.select(F.shiftright("code", 32).alias("s"), F.col("code").bitwiseAND(F.lit(_WORD)).alias("z"), "n", "delta")
         root_p = symbols.select(F.col("id").alias("z"), (F.col("c") * share).alias("p0"))
         tested = split.join(root_p, "z").join(totals, "s").withColumn("parent", F.col("p0") * F.pow(F.lit(10.0), F.col("delta")))
         entries = materialize(retained(tested, v).select("s", "z", "n", "total", "p0", "parent", key_of(F.col("s"), F.col("z")).alias("key")), "entries")
@@ -287,15 +316,13 @@ def train_and_score(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, blo
         weights = entries.groupBy("s").agg(F.log10(freed).alias("value")).select(key_of(F.col("s")).alias("key"), "value", F.lit(0).cast("long").alias("next"))
         facts = materialize(entries.select("key", F.log10(smooth / F.col("p0")).alias("value"), F.col("id").alias("next")).unionByName(weights), "level")
         levels.append(facts)
-        small = small and facts.count() <= broadcast_rows
+        small = small and facts.count() <= broadcast_rows and totals_n <= 2 * broadcast_rows
         if small:
-            rows = facts.orderBy("key").toPandas()
-            level = Level(rows["key"].to_numpy(np.int64), rows["value"].to_numpy(float), rows["next"].to_numpy(np.int64))
-            shared.append(spark.sparkContext.broadcast(level))
+            shared.append(spark.sparkContext.broadcast(Level.of(facts.toArrow())))
         else:
             states = materialize(_advance(_with_states(states, shared), facts, max(1, -(-(size or 0) // block_bytes))), "states")
             shared = []
-        totals = entries.select(F.col("id").alias("s"), F.col("n").alias("total"))
+        totals, totals_n = entries.select(F.col("id").alias("s"), F.col("n").alias("total")), entries_n
     return _finish(states, shared, n)
 
 
@@ -334,8 +361,13 @@ def _grams(states: DataFrame, shared: list, number: int) -> DataFrame:
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush() -> pa.RecordBatch:
-            code, one, n = np.unique(np.concatenate([c for c, _ in held]), return_index=True, return_counts=True)
-            delta = np.concatenate([d for _, d in held])[one]
+            code = np.concatenate([c for c, _ in held])
+            if number == 1:
+                code, n = np.unique(code, return_counts=True)
+                delta = np.zeros(len(code))
+            else:
+                code, one, n = np.unique(code, return_index=True, return_counts=True)
+                delta = np.concatenate([d for _, d in held])[one]
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array(code), pa.array(n.astype(np.int32)), pa.array(delta)], names=["code", "n", "delta"])
 
@@ -386,9 +418,7 @@ def _advance(states: DataFrame, facts: DataFrame, blocks: int) -> DataFrame:
 
     def answer(texts: pa.Table, answers: pa.Table) -> pa.Table:
         texts = texts.combine_chunks()
-        key = answers["key"].to_numpy() if len(answers) else np.zeros(0, np.int64)
-        order = np.argsort(key)
-        level = Level(key[order], *(answers[x].to_numpy()[order] if len(answers) else np.zeros(0, kind) for x, kind in (("value", float), ("next", np.int64))))
+        level = Level.of(answers) if len(answers) else Level(*(np.zeros(0, kind) for kind in (np.int64, float, np.int64, np.int64, float)))
         ids, at = _rows(texts["ids"], np.int32)
         context, delta = step(ids.astype(np.int64), _rows(texts["context"], np.int32)[0].astype(np.int64), _rows(texts["delta"], np.float64)[0], level)
         kept = [texts[c] for c in [x.split()[0] for x in ENCODED.split(", ")]]

@@ -8,12 +8,17 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from xxhash import xxh64_intdigest
 
-from kinmatch.llm import curves, graph, minhash, mixing, packing, passages, secrets, simhash, suffix_dedup, suffix_tree_lm, toxicity
+from kinmatch.llm import curves, graph, groups, minhash, mixing, packing, passages, secrets, simhash, suffix_dedup, suffix_tree_lm, toxicity
+
+def words(rng, n, letters="abcdefgh"):
+    return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 6))) for _ in range(n))
+
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -127,28 +132,117 @@ def test_lm(docs, hostile, none):
     assert all(r.score <= 0 for r in got) and suffix_tree_lm.train_and_score(none).count() == 0
 
 
-def test_tree_is_a_distribution():
+def test_lm_scores_are_those_of_a_plain_tree(spark, hostile):
+    """The same tree by dictionaries over words."""
+    rng = random.Random(5)
+    rows = [(r[0], r[1]) for r in hostile]
+    for k in range(60):  # what follows "b" depends on what is before it
+        t = []
+        while len(t) < 80:
+            t += rng.choice([["a", "b", "c"], ["d", "b", "e"], [rng.choice("abcdefgh")], ["h", "a", "b", "g"]])
+        rows.append((1000 + k, " ".join(t)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    texts = [[*WORD.findall(low(r[1])), END] for r in rows]
+    held = [r[0] is not None and zlib.crc32(str(r[0]).encode()) % 7 == 2 for r in rows]
+    train = [t for t, h in zip(texts, held, strict=True) if not h]
+    probability, levels = plain_tree(train)
+    assert len(levels) >= 2
+    want = sorted((str(r[0]), round(sum(probability(("^", *t[:k]), t[k]) for k in range(len(t))), 5)) for r, t in zip(rows, texts, strict=True))
+    for most in (suffix_tree_lm.BROADCAST_ROWS, 0):
+        got = suffix_tree_lm.train_and_score(docs, broadcast_rows=most).collect()
+        scores = sorted((str(r.doc_id), round(r.score, 5)) for r in got)
+        assert [x[0] for x in scores] == [x[0] for x in want] and all(a[1] == pytest.approx(b[1], abs=1e-4) for a, b in zip(scores, want, strict=True))
+
+
+END = object()
+
+
+def plain_tree(train):
+    counts = Counter(w for t in train for w in t)
+    n, v = sum(counts.values()), len(counts)
+    unknown = sum(c == 1 for c in counts.values()) / (n + 1)
+    root = {w: (1 - unknown) * c / n for w, c in counts.items()}
+    blocks_seen = spelling_of(train)
+    levels = []
+
+    def spell(word):
+        raw = [256, *word.encode(), 256]
+        return sum(blocks_seen[a * 257 + b] for a, b in itertools.pairwise(raw))
+
+    def log_p(history, word):
+        p = math.log10(root[word]) if word in root else math.log10(unknown) + spell(word)
+        for k, (entries, weights) in enumerate(levels, 1):
+            context = tuple(history[-k:])
+            if len(context) < k or context not in weights:
+                continue
+            p = entries[context, word] if (context, word) in entries else p + weights[context]
+        return p
+
+    while True:
+        k = len(levels) + 1
+        grams = Counter()
+        for t in train:
+            t = ["^", *t]
+            for i in range(max(k, 1), len(t)):
+                context = tuple(t[i - k : i])
+                if all(w == "^" or counts[w] >= 2 for w in (*context, t[i])) and (k == 1 or (context[:-1], context[-1]) in levels[-1][0]):
+                    grams[context, t[i]] += 1
+        before = Counter(context for t in train for t2 in [["^", *t]] for i in range(k, len(t2)) for context in [tuple(t2[i - k : i])])
+        kept = {}
+        for (context, w), c in grams.items():
+            total, parent = before[context], 10 ** log_p(context[1:], w)
+            expected = total * parent
+            if c >= 2 and c > expected and c * math.log(c / expected) - (c - expected) > math.log(v) + 0.5 * math.log(max(total, 2)):
+                kept[context, w] = ((c - 0.5) / total, parent)
+        if not kept:
+            return log_p, levels
+        sums = defaultdict(lambda: [0.0, 0.0])
+        for (context, _), (p, q) in kept.items():
+            sums[context][0] += p
+            sums[context][1] += q
+        levels.append(({key: math.log10(p) for key, (p, _) in kept.items()}, {c: math.log10(max(1 - p, 1e-12) / max(1 - q, 1e-12)) for c, (p, q) in sums.items()}))
+
+
+def spelling_of(train):
+    """Of one block: each word's bytes count once."""
+    codes = Counter(a * 257 + b for w in {w for t in train for w in t if w is not END} for a, b in itertools.pairwise([256, *w.encode(), 256]))
+    return suffix_tree_lm.spelling(np.array(list(codes)), np.array(list(codes.values())))
+
+
+def test_words_of_a_tree_sum_to_one_at_most():
+    """In the root and in every context, over all known words and 10,000 others."""
     rng = random.Random(3)
-    texts = [[rng.choice("abc") for _ in range(200)] for _ in range(30)]
-    for t in texts:  # c tends to follow ab, which only a context of two shows
+    train = [[words(rng, 1, "abcd") for _ in range(60)] for _ in range(40)]
+    for t in train:
         for k in range(2, len(t)):
-            if t[k - 2] == "a" and t[k - 1] == "b" and rng.random() < 0.9:
-                t[k] = "c"
-    symbols = {"a": 1, "b": 2, "c": 3, "end": 4}
-    words = np.array([10, 20, 30, 40])
-    flat = np.array([symbols[x] for t in texts for x in [*t, "end"]])
-    first = np.arange(0, len(flat) + 1, 201)
-    counts = np.bincount(flat, minlength=5)[1:]
-    m = 5
-    codes, seen = np.unique(suffix_tree_lm.gram_counts(flat, first, m), return_counts=True)
-    lifted = codes >= m * m
-    tree = suffix_tree_lm.grow(len(flat), 4, 0, len(texts), words, counts, [(codes[~lifted], seen[~lifted]), (codes[lifted] - m * m, seen[lifted])])
-    assert 1 * m + 2 in tree.contexts[1][0]
-    for history in ((), (1,), (1, 2), (3, 3), (2, 1)):
-        count = lambda x: counts[x - 1] if x > 0 else 0
-        # -1: the unknown symbol
-        total = sum(10 ** suffix_tree_lm.score(tree, np.array([count(x) for x in (*history, s)]), np.array([*history, s]), np.array([0, len(history) + 1]))[-1] for s in (-1, 1, 2, 3, 4))
-        assert total == pytest.approx(1, abs=1e-9)
+            if len(t[k - 1]) > 4 and rng.random() < 0.8:
+                t[k] = "follows" if len(t[k - 2]) > 4 else "after"
+        t.append(END)
+    log_p, levels = plain_tree(train)
+    known = {w for t in train for w in t}
+    unseen = [f"new{k}" for k in range(5_000)] + [words(rng, 1, "abcdef") + "x" for _ in range(5_000)]
+    unseen = list(set(unseen) - known)
+    assert len(levels) >= 2
+    contexts = [()] + [c for _, weights in levels for c in weights]
+    for context in [*contexts[:1], *rng.sample(contexts[1:], 40)]:
+        total = sum(10 ** log_p(context, w) for w in known)
+        assert 0.5 < total < 1 and total + sum(10 ** log_p(context, w) for w in unseen) <= 1 + 1e-9
+
+
+def test_lm_learns_what_base_does_not(spark):
+    """On held-out texts, counting words that training knows."""
+    rng = random.Random(4)
+    vocabulary = [words(rng, 1) for _ in range(300)]
+    rows = []
+    for k in range(600):
+        t = []
+        while len(t) < 80:
+            at = rng.randrange(300)
+            t += [vocabulary[(at + j) % 300] for j in range(4)]  # runs of four
+        rows.append((k, " ".join(t)))
+    got = suffix_tree_lm.train_and_score(spark.createDataFrame(rows, "doc_id long, text string")).filter("held_out").toPandas()
+    assert (got.n_known == got.n_tokens).all() and np.allclose(got.score, got.score_known)
+    assert (got.score - got.base_score).sum() / got.n_tokens.sum() > 0.8
 
 
 def shingle_set(text):
@@ -454,11 +548,53 @@ def test_resolve_joins_what_all_pairs_join():
             at = rng.integers(0, 86)
             parts[k, at : at + 5] = rng.integers(1, 2**32, 5)
     a, b = np.triu_indices(120, 1)
-    hit = passages.near_passages(parts[a], parts[b], 46, 0.8) >= 0
-    i, j, _ = passages.resolve(parts, np.arange(120), 46, 0.8)
+    hit = passages.near_passages(parts[a], parts[b], 46, 0.8)[0] >= 0
+    i, j, *_ = passages.resolve(parts, np.arange(120), 46, 0.8)
     assert roots(range(120), zip(i.tolist(), j.tolist())) == roots(range(120), zip(a[hit].tolist(), b[hit].tolist()))
 
 
+def test_near_passages_are_those_of_any_two_starts():
+    rng = np.random.default_rng(16)
+    a = rng.integers(1, 2**32, (400, 91)).astype(np.uint32)
+    b = a.copy()
+    for k in range(400):
+        kind, at, n = k % 4, int(rng.integers(0, 60)), int(rng.integers(1, 14))
+        if kind == 0:  # changed
+            b[k, at : at + n] = rng.integers(1, 2**32, n)
+        elif kind == 1:  # moved
+            b[k] = np.concatenate([rng.integers(1, 2**32, n), a[k, :-n]])
+        elif kind == 2:  # turned round
+            b[k, at : at + 20] = np.roll(a[k, at : at + 20], n)
+            b[k, :n] = rng.integers(1, 2**32, n)
+        else:  # repeated, and a short text
+            a[k, at : at + n] = b[k, at : at + n] = a[k, at]
+            b[k, at + n : at + n + 6] = 7
+            a[k, 80:] = 0
+    left, right = passages.near_passages(a, b, 46, 0.8)
+    alike = lambda x, y: len(x & y) >= 0.8 * len(x | y) - 1e-9
+    for k in range(400):
+        own, other = ([set(x[s : s + 46].tolist()) if (x[s : s + 46] != 0).all() else None for s in range(46)] for x in (a[k], b[k]))
+        want = any(alike(x, y) for x in own if x for y in other if y)
+        assert want == (left[k] >= 0), (k, k % 4)
+        assert not want or alike(own[left[k]], other[right[k]])
+    assert passages.Maps.of(np.concatenate([a, b]), 46).pairs(np.arange(400), np.arange(400) + 400, 0.8)[left >= 0].all()
+
+
+def test_whole_groups():
+    rng = np.random.default_rng(17)
+    key = np.sort(rng.integers(0, 50, 700))
+    batches = [pa.RecordBatch.from_arrays([pa.array(key[k : k + 37]), pa.array(np.zeros(len(key[k : k + 37]), np.int64))], names=["a", "b"]) for k in range(0, 700, 37)]
+    seen = []
+    for table, cut in groups.whole_groups(iter(batches), rows=60):
+        for a, b in zip(cut[:-1], cut[1:], strict=True):
+            part = set(table["a"][int(a) : int(b)].to_pylist())
+            assert len(part) == 1
+            seen += [(*part, int(b - a))]
+    assert seen == sorted(Counter(key.tolist()).items())
+    pairs = [x for i, j in groups.pairs_within(np.array([0, 5, 6]), np.array([5, 1, 3]), 4) for x in zip(i.tolist(), j.tolist(), strict=True)]
+    assert pairs == [*itertools.combinations(range(5), 2), *itertools.combinations(range(6, 9), 2)]
+
+
 def test_cartesian_tree():
     keys = [5, 3, 8, 3, 9, 1, 4]
     left, right = passages.cartesian_tree(keys, 0, 6, list(range(7)))
