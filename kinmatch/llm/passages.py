@@ -8,6 +8,7 @@ windows that hold a passage of full length, and what stands around those is comp
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .graph import components
+from .groups import pairs_within, whole_groups
 from .simhash import spanning
 from .store import materialize, table
 from .text import Words, mix, ragged, runs, utf8
@@ -28,8 +30,10 @@ RESULT = "doc_id long, class_id long, n_links long, n_passages long, passages st
 _FLUSH_ROWS = 20_000
 #: Contexts of a group that one place compares; of larger groups each two blocks of half as many meet in a place.
 MANY = 16_384
-#: Pairs of contexts compared at once.
-_PAIRS = 50_000
+#: Pairs of contexts compared at once, and contexts of groups that are compared together.
+_PAIRS, _SMALL = 50_000, 64
+#: Bits of the maps by which contexts that share too little are told apart.
+MAP_BITS = 1024
 _SEEDS = np.random.default_rng(20240609).integers(1, 2**63, HASHES, dtype=np.uint64)
 _LAST = np.iinfo(np.uint64).max
 
@@ -133,112 +137,137 @@ def around(ids: np.ndarray, c: int, least: int) -> np.ndarray:
     return out
 
 
-def set_similarity(a: np.ndarray, b: np.ndarray) -> float:
-    u, v = np.unique(a), np.unique(b)
-    common = len(np.intersect1d(u, v, assume_unique=True))
-    return common / (len(u) + len(v) - common)
+def repeats(x: np.ndarray) -> np.ndarray:
+    """Which rows hold a shingle twice."""
+    ordered = np.sort(x, axis=1)
+    return ((ordered[:, 1:] == ordered[:, :-1]) & (ordered[:, 1:] != 0)).any(axis=1)
 
 
-def near_passages(a: np.ndarray, b: np.ndarray, least: int, similarity: float) -> np.ndarray:
-    """For each row of two matrices of around(): where a passage of `least` shingles starts in which both have a
-    Jaccard similarity of at least `similarity`, keeping the shared shingle at one place; -1 for none.
+def window_sums(x: np.ndarray, least: int, axis: int = 1) -> np.ndarray:
+    pad = [(0, 0)] * x.ndim
+    pad[axis] = (1, 0)
+    sums = np.moveaxis(np.cumsum(np.pad(x, pad), axis=axis, dtype=np.int16), axis, -1)
+    return np.moveaxis(sums[..., least:] - sums[..., :-least], -1, axis)
 
-    The stretch with most equal places is tried first. It falls short where words were put in or left out; these rows
-    try every start, if they share enough shingles at all.
+
+def near_passages(a: np.ndarray, b: np.ndarray, least: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of two matrices of around(): where passages of `least` shingles start in either that have a Jaccard
+    similarity of at least `similarity`, both holding the shingle in the middle; -1 for none.
+
+    Rows with enough equal places are done. Of the others those that share enough shingles at all try every pair of
+    starts, by sums over the table of which places are equal.
     """
-    there = (a != 0) & (b != 0)
-    sums = lambda x: np.cumsum(np.pad(x, ((0, 0), (1, 0))), axis=1)
-    window = lambda x: (s := sums(x))[:, least:] - s[:, :-least]
-    whole = window(there) == least
-    equal = np.where(whole, window((a == b) & there), -1)
+    whole_a, whole_b = window_sums(a != 0, least) == least, window_sums(b != 0, least) == least
+    equal = np.where(whole_a & whole_b, window_sums((a == b) & (a != 0), least), -1)
     start = equal.argmax(axis=1)
     most = equal[np.arange(len(a)), start]
-    found = np.full(len(a), -1)
-    found[most == least] = start[most == least]
-    rows = np.flatnonzero((most >= 0) & (most < least))
+    enough = int(np.ceil(2 * similarity / (1 + similarity) * least - 1e-9))
+    own, other = repeats(a), repeats(b)
+    done = (most == least) | (most >= enough) & ~own & ~other
+    left, right = np.where(done, start, -1), np.where(done, start, -1)
+    rows = np.flatnonzero(~done & whole_a.any(axis=1) & whole_b.any(axis=1))
+    if not len(rows):
+        return left, right
     u, v = a[rows].astype(np.uint64), b[rows].astype(np.uint64)
     row = np.arange(len(rows), dtype=np.uint64)[:, None] << np.uint64(32)
-    repeated = lambda x: (((o := np.sort(x, axis=1))[:, 1:] == o[:, :-1]) & (o[:, 1:] != 0)).any(axis=1)
     keys, wanted = np.sort((row | v).ravel()), (row | u).ravel()
-    shared = np.zeros(u.shape, bool)
-    if len(rows):
-        shared = (keys[np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)] == wanted).reshape(u.shape) & (u != 0)
-    # the common part can't be smaller than its share of a passage's own shingles, of which some may be repeated
-    own, other = repeated(u), repeated(v)
-    share = np.where(own, similarity * 0.4, np.where(other, similarity, 2 * similarity / (1 + similarity)))
-    likely = whole[rows] & (window(shared) >= share[:, None] * least - 1e-9)
-    for at in np.flatnonzero(likely.any(axis=1)):
-        k = rows[at]
-        s = start[k]
-        if most[k] >= similarity * least and set_similarity(a[k, s : s + least], b[k, s : s + least]) >= similarity - 1e-12:
-            found[k] = s
-            continue
-        best = similarity - 1e-12
-        for t in np.flatnonzero(likely[at]):
-            value = set_similarity(a[k, t : t + least], b[k, t : t + least])
-            if value >= best:
-                best, found[k] = value, t
-    return found
-
-
-def probes(parts: np.ndarray, least: int, similarity: float) -> np.ndarray:
-    """Which places of a matrix of around() to look up among all places of the other rows, so that no near_passages()
-    go unmet: a passage has at most `least` - ceil(similarity * least) shingles that its like has not, so that of one
-    more than that one is shared. Of each passage the shingles that are rarest here are taken; of rows that repeat a
-    shingle, all."""
-    _, back, counts = np.unique(parts, return_inverse=True, return_counts=True)
-    often = np.where(parts != 0, counts[back].reshape(parts.shape), np.iinfo(np.int64).max)
-    need = least - int(np.ceil(similarity * least - 1e-9)) + 1
-    out = np.zeros(parts.shape, bool)
-    rows = np.arange(len(parts))[:, None]
-    for t in range(parts.shape[1] - least + 1):
-        out[rows, np.argpartition(often[:, t : t + least], need - 1, axis=1)[:, :need] + t] = True
-    ordered = np.sort(parts, axis=1)
-    out[((ordered[:, 1:] == ordered[:, :-1]) & (ordered[:, 1:] != 0)).any(axis=1)] = True
-    return out & (parts != 0)
-
-
-def resolve(parts: np.ndarray, root: np.ndarray, least: int, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    shared = (keys[np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)] == wanted).reshape(u.shape) & (u != 0)
+    # a passage with repeated shingles has fewer of them to share
+    need = np.where(own[rows] | other[rows], 1, enough)
+    rows = rows[(whole_a[rows] & (window_sums(shared, least) >= need[:, None])).any(axis=1)]
+    plain = rows[~own[rows] & ~other[rows]]
+    for k in range(0, len(plain), 256):
+        part = plain[k : k + 256]
+        common = window_sums(window_sums((a[part][:, :, None] == b[part][:, None, :]) & (a[part] != 0)[:, :, None], least, 1), least, 2)
+        common = np.where(whole_a[part][:, :, None] & whole_b[part][:, None, :], common, -1).reshape(len(part), -1)
+        best = common.argmax(axis=1)
+        ok = common[np.arange(len(part)), best] >= enough
+        left[part[ok]], right[part[ok]] = (x[ok] for x in np.divmod(best, whole_b.shape[1]))
+    for k in rows[own[rows] | other[rows]]:
+        found = _near_with_repeats(a[k], b[k], whole_a[k], whole_b[k], least, similarity)
+        if found:
+            left[k], right[k] = found
+    return left, right
+
+
+def _near_with_repeats(a: np.ndarray, b: np.ndarray, whole_a: np.ndarray, whole_b: np.ndarray, least: int, similarity: float) -> tuple[int, int] | None:
+    """near_passages() of one row, with sets that shrink by repeated shingles: counts of either window and of the common
+    shingles follow from first places."""
+    first = lambda x, s: np.array([k == s or x[k] not in x[s:k] for k in range(s, s + least)])
+    sides = [[(int(s), x[s : s + least][first(x, int(s))]) for s in np.flatnonzero(whole)] for x, whole in ((a, whole_a), (b, whole_b))]
+    inside = [(t, np.sort(v)) for t, v in sides[1]]
+    for s, u in sides[0]:
+        for t, v in inside:
+            if min(len(u), len(v)) < similarity * max(len(u), len(v)) - 1e-9:
+                continue
+            common = int((v[np.minimum(np.searchsorted(v, u), len(v) - 1)] == u).sum())
+            if common >= similarity * (len(u) + len(v) - common) - 1e-9:
+                return s, t
+    return None
+
+
+@dataclass
+class Maps:
+    """Of rows of around(): bit maps of their shingles, how many shingles the maps don't show, and how many different
+    ones each passage has at least."""
+
+    bits: np.ndarray
+    lost: np.ndarray
+    least: np.ndarray
+
+    @classmethod
+    def of(cls, parts: np.ndarray, least: int) -> Maps:
+        place = (parts * np.uint32(0x9E3779B1)) >> np.uint32(32 - MAP_BITS.bit_length() + 1)
+        bits = np.zeros((len(parts), MAP_BITS // 64), np.uint64)
+        for k in range(parts.shape[1]):
+            rows = np.flatnonzero(parts[:, k])
+            bits[rows, place[rows, k] >> 6] |= np.uint64(1) << (place[rows, k] & np.uint32(63)).astype(np.uint64)
+        ordered = np.sort(parts, axis=1)
+        different = ((ordered[:, 1:] != ordered[:, :-1]) & (ordered[:, 1:] != 0)).sum(axis=1) + (ordered[:, 0] != 0)
+        shown = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+        return cls(bits, different - shown, np.clip(least - ((parts != 0).sum(axis=1) - different), 1, least))
+
+    def may_link(self, common: np.ndarray, lost: np.ndarray, least: np.ndarray, similarity: float) -> np.ndarray:
+        """Whether bits in common and those not shown can make up what near passages share at least."""
+        return common + lost >= similarity / (1 + similarity) * least - 1e-9
+
+    def pairs(self, i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+        common = np.bitwise_count(self.bits[i] & self.bits[j]).sum(axis=1, dtype=np.int16)
+        return self.may_link(common, np.minimum(self.lost[i], self.lost[j]), self.least[i] + self.least[j], similarity)
+
+    def table(self, i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+        common = np.zeros((len(i), len(j)), np.int16)
+        for w in range(self.bits.shape[1]):
+            common += np.bitwise_count(self.bits[i, w][:, None] & self.bits[j, w][None, :])
+        return self.may_link(common, np.minimum(self.lost[i][:, None], self.lost[j][None, :]), self.least[i][:, None] + self.least[j][None, :], similarity)
+
+
+def resolve(parts: np.ndarray, root: np.ndarray, least: int, similarity: float, maps: Maps | None = None) -> tuple[np.ndarray, ...]:
     """Rows i, j of a matrix of around() and where their near_passages() start, so that with `root`, the least row
     known to be reachable from each, all rows are joined that any chain of near passages joins."""
     n = len(parts)
-    flat = parts.ravel()
-    order = np.argsort(flat, kind="stable")
-    ordered = flat[order]
-    at = np.flatnonzero(probes(parts, least, similarity).ravel())
-    low, high = np.searchsorted(ordered, flat[at], "left"), np.searchsorted(ordered, flat[at], "right")
-    shared = high - low > 1
-    at, low, size = at[shared], low[shared], (high - low)[shared]
-    out = [np.zeros((3, 0), np.int64)]
-    width = parts.shape[1]
-    k, done = 0, 0  # the probe, and how much of its list is done
-    while k < len(at):
-        if size[k] - done > _PAIRS:
-            i, j = np.full(_PAIRS, at[k] // width), order[low[k] + done : low[k] + done + _PAIRS] // width
-            done += _PAIRS
-        else:
-            sizes = np.cumsum(size[k : k + _PAIRS]) - done
-            e = k + max(1, int(np.searchsorted(sizes, _PAIRS, "right")))
-            starts, lengths = low[k:e].copy(), size[k:e].copy()
-            starts[0] += done
-            lengths[0] -= done
-            i, j = np.repeat(at[k:e] // width, lengths), order[ragged(starts, lengths)] // width
-            k, done = e, 0
-        ok = root[i] != root[j]
-        if not ok.any():
+    maps = maps or Maps.of(parts, least)
+    out = [np.zeros((4, 0), np.int64)]
+    every = np.arange(n)
+    # of rows with different roots one at least isn't the first row's
+    for at in range(0, n, 64):
+        i = every[at : at + 64]
+        i = i[root[i] != root[0]]
+        if not len(i):
             continue
-        pairs = np.unique(np.minimum(i, j)[ok] * n + np.maximum(i, j)[ok])
-        # a few at a time, as rows that these join need no comparison
-        for b in range(0, len(pairs), 2048):
-            i, j = pairs[b : b + 2048] // n, pairs[b : b + 2048] % n
-            ok = root[i] != root[j]
-            i, j = i[ok], j[ok]
-            hit = near_passages(parts[i], parts[j], least, similarity)
-            i, j, hit = i[hit >= 0], j[hit >= 0], hit[hit >= 0]
-            if len(i):
-                out.append(np.stack([i, j, hit]))
-                all_ = np.arange(n)
-                root = spanning(np.concatenate([i, all_]), np.concatenate([j, root]), n)
+        x, y = np.nonzero(maps.table(i, every, similarity))
+        x = i[x]
+        ok = (root[x] != root[y]) & ((x < y) | (root[y] == root[0]))
+        x, y = x[ok], y[ok]
+        for b in range(0, len(x), 2048):  # a few at a time, as rows that these join need no comparison
+            u, v = x[b : b + 2048], y[b : b + 2048]
+            ok = root[u] != root[v]
+            u, v = u[ok], v[ok]
+            left, right = near_passages(parts[u], parts[v], least, similarity)
+            hit = left >= 0
+            if hit.any():
+                out.append(np.stack([u[hit], v[hit], left[hit], right[hit]]))
+                root = spanning(np.concatenate([u[hit], every]), np.concatenate([v[hit], root]), n)
     return tuple(np.concatenate(out, axis=1))
 
 
@@ -331,45 +360,47 @@ def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, simil
             pair, place, d, ctx = pair[~again], place[~again], d[~again], ctx[~again]
         matrix = np.frombuffer(b"".join(rows.column(4).to_pylist()), np.uint32).reshape(len(d), -1)
         cut = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (place[1:] != place[:-1]), [True]]))
-        first = np.repeat(cut[:-1], np.diff(cut))
-        member = np.flatnonzero(first != np.arange(len(d)))
-        found = []
-        missed = np.zeros(len(d), bool)
+        first, sizes = cut[:-1], np.diff(cut)
+        maps = Maps.of(matrix, least)
+        found = [np.zeros((4, 0), np.int64)]
+
+        def meet(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            ok = maps.pairs(i, j, similarity)
+            i, j = i[ok], j[ok]
+            left, right = near_passages(matrix[i], matrix[j], least, similarity)
+            hit = left >= 0
+            found.append(np.stack([i, j, left, right])[:, hit])
+            return i[hit], j[hit]
+
+        own = np.repeat(first, sizes)
+        member = np.flatnonzero(own != np.arange(len(d)))
+        root = np.arange(len(d))
         for b in range(0, len(member), _PAIRS):
-            i = member[b : b + _PAIRS]
-            hit = near_passages(matrix[i], matrix[first[i]], least, similarity)
-            found.append(np.stack([i, first[i], hit])[:, hit >= 0])
-            missed[i] = hit < 0
-        left = np.add.reduceat(missed, cut[:-1], dtype=np.int64)
-        for g in np.flatnonzero((left > 0) & (np.diff(cut) > 2)):
+            i, j = meet(member[b : b + _PAIRS], own[member[b : b + _PAIRS]])
+            root[i] = j
+        left = np.add.reduceat(root != own, first, dtype=np.int64)
+        small = (left > 0) & (sizes > 2) & (sizes <= _SMALL)
+        for i, j in pairs_within(first[small], sizes[small], _PAIRS):
+            ok = (root[i] != root[j]) & (i != own[i])
+            meet(i[ok], j[ok])
+        for g in np.flatnonzero((left > 0) & (sizes > _SMALL)):
             a, e = cut[g], cut[g + 1]
-            i, j, hit = resolve(matrix[a:e], np.where(missed[a:e], np.arange(e - a), 0), least, similarity)
-            found.append(np.stack([i + a, j + a, hit]))
-        i, j, hit = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64)
-        columns = [ctx[i], ctx[j], (least - 1 - hit).astype(np.int32), d[i], d[j]]
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["x", "y", "shift", "xd", "yd"])
+            links = resolve(matrix[a:e], root[a:e] - a, least, similarity, Maps(maps.bits[a:e], maps.lost[a:e], maps.least[a:e]))
+            found.append(np.stack(links) + np.array([[a], [a], [0], [0]]))
+        i, j, x, y = np.concatenate(found, axis=1)
+        columns = [ctx[i], ctx[j], (least - 1 - x).astype(np.int32), (least - 1 - y).astype(np.int32), d[i], d[j]]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["x", "y", "shift", "yshift", "xd", "yd"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # rows come sorted by group and place; one isn't split
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            if sum(map(len, held)) >= _FLUSH_ROWS:
-                rows = pa.Table.from_batches(held)
-                pair, place = rows.column(0).to_numpy(), rows.column(1).to_numpy()
-                other = np.flatnonzero((pair != pair[-1]) | (place != place[-1]))
-                if len(other):
-                    yield compare(rows.slice(0, int(other[-1]) + 1))
-                    held = rows.slice(int(other[-1]) + 1).to_batches()
-        if held and sum(map(len, held)):
-            yield compare(pa.Table.from_batches(held))
-
-    near = parts.repartition("pair", "place").sortWithinPartitions("pair", "place", "d", "ctx").mapInArrow(verify, "x long, y long, shift int, xd long, yd long")
+        for rows, _ in whole_groups(batches, rows=_FLUSH_ROWS):
+            yield compare(rows)
+
+    near = parts.repartition("pair", "place").sortWithinPartitions("pair", "place", "d", "ctx").mapInArrow(verify, "x long, y long, shift int, yshift int, xd long, yd long")
     near = materialize(near.dropDuplicates(["x", "y"]), "near")
     # contexts that are in any link: those of several documents, and those verified
     shared = live.groupBy("ctx").agg(F.min("rep").alias("rep"))
     counted = met.groupBy("ctx").agg(F.min("d").alias("a"), F.max("d").alias("b")).filter("a <> b").select("ctx", F.lit(0).alias("shift"), F.lit(True).alias("whole"))
-    marks = counted.union(near.select("x", "shift", F.lit(False))).union(near.select("y", "shift", F.lit(False)))
+    marks = counted.union(near.select("x", "shift", F.lit(False))).union(near.select("y", "yshift", F.lit(False)))
     marks = marks.groupBy("ctx").agg(F.max("whole").alias("whole"), F.min("shift").alias("low"), F.max("shift").alias("high"))
     hits = materialize(met.select("d", "c", "ctx", "e").distinct().join(marks, "ctx").join(shared.select("ctx", "rep.d").withColumnRenamed("d", "rep"), "ctx"), "hits")
     edges = hits.select(F.col("d").alias("a"), F.col("rep").alias("b")).union(near.select("xd", "yd")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
