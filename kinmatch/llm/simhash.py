@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from .graph import components
+from .groups import pairs_within, whole_groups
 from .store import materialize, table
 from .text import Words, mix, ragged, runs, utf8
 
@@ -147,16 +148,29 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = RADIUS) -> Da
 WIDE = 8
 #: Standard deviations by which bits of texts to be compared may differ beyond the expected ones.
 DEVIATIONS = 4
-#: Fingerprints in a block that are compared at once, about.
-BLOCK = 16_384
-#: Of the first word, bits that near texts differ in at most, but for one in ten thousand.
-FIRST_RADIUS = 22
+#: Shards that each text is in, and least shingles that texts of a shard have in common. Of texts at similarity 0.8 all
+#: but 2 in 10,000 meet in one.
+SHARDS, AGREE = 12, 3
+#: Texts that are compared in one place; of larger shards each two blocks of half as many meet in a place.
+BLOCK = 4096
+#: Texts of a shard of which all pairs are compared together with those of other shards.
+FEW = 64
+_LEAST = np.random.default_rng(20240610).integers(1, 2**63, SHARDS * AGREE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingle_sets(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """shingle_hashes() in order without repeats, and how many each text has."""
-    hashes, n = shingle_hashes(data, at, width)
-    text = np.repeat(np.arange(len(n)), n)
+    """Hashes of each text's runs of `width` words, in order without repeats, and how many it has. A text of fewer words
+    has one of them all; one without words has none."""
+    words = Words(data, at)
+    h = words.hashes().view(np.uint64)
+    n = np.diff(words.first)
+    count = np.where(n >= width, n - width + 1, np.minimum(n, 1))
+    text = np.repeat(np.arange(len(n)), count)
+    from_, length = ragged(words.first[:-1], count), np.minimum(n, width)[text]
+    hashes = np.zeros(len(from_), np.uint64)
+    for k in range(width):
+        on = slice(None) if (length > k).all() else np.flatnonzero(length > k)
+        hashes[on] = mix(hashes[on] + h[from_[on] + k] + np.uint64(k + 1))
     order = np.lexsort((hashes, text))
     hashes, text = hashes[order], text[order]
     keep = np.ones(len(hashes), bool)
@@ -164,35 +178,86 @@ def shingle_sets(data: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarr
     return hashes[keep], np.bincount(text[keep], minlength=len(n)).astype(np.int64)
 
 
+def shards(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A row of SHARDS keys for each text: each of AGREE shingles that are least by some order."""
+    out = np.zeros((len(counts), SHARDS), np.uint64)
+    full = np.flatnonzero(counts)
+    first = (np.cumsum(counts) - counts)[full]
+    for k, odd in enumerate(_LEAST):
+        if len(full):
+            out[full, k // AGREE] = mix(out[full, k // AGREE] + np.minimum.reduceat(hashes * odd, first) + np.uint64(k))
+    return out
+
+
 def wide_fingerprints(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, node (the text's hash), n (different shingles), fps (WIDE fingerprints of 64 bits of those, each by
-    another mix of their hashes)."""
+    """doc_id, node (the text's hash; 0 without words), n (different shingles), fps (WIDE fingerprints of 64 bits of
+    those, each by another mix of their hashes), keys (its shards)."""
     seeds = np.arange(1, WIDE, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = utf8(batch.column(1))
-            out, counts = [np.zeros((0, WIDE), np.uint64)], [np.zeros(0, np.int64)]
+            out, counts, keys = [np.zeros((0, WIDE), np.uint64)], [np.zeros(0, np.int64)], [np.zeros((0, SHARDS), np.uint64)]
             for i, j in runs(at, 1 << 18):
                 hashes, n = shingle_sets(data[at[i] : at[j]], at[i : j + 1] - at[i], width)
                 out.append(np.column_stack([majority(hashes, n), *(majority(mix(hashes ^ seed), n) for seed in seeds)]))
                 counts.append(n)
-            fps = pa.array(np.concatenate(out).view(np.int64).ravel())
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * WIDE), fps)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(np.concatenate(counts)), lists], names=["doc_id", "node", "n", "fps"])
+                keys.append(shards(hashes, n))
+            n = np.concatenate(counts)
+            lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * x.shape[1]), pa.array(x.view(np.int64).ravel()))
+            node = pa.array(np.where(n > 0, batch.column(2).to_numpy(), 0))
+            yield pa.RecordBatch.from_arrays([batch.column(0), node, pa.array(n), lists(np.concatenate(out)), lists(np.concatenate(keys))], names=["doc_id", "node", "n", "fps", "keys"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_hash()).mapInArrow(run, "doc_id long, node long, n long, fps array<long>")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_hash()).mapInArrow(run, "doc_id long, node long, n long, fps array<long>, keys array<long>")
 
 
 def text_hash() -> Column:
     return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("node")
 
 
-def exact_links(hashes: np.ndarray, counts: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+def by_centre(fps: np.ndarray) -> np.ndarray:
+    """Rows of fingerprints, the nearest to their majority first: of copies with changes of their own that is the text
+    which all others are near to."""
+    bits = np.unpackbits(fps.view(np.uint8), axis=1)
+    centre = 2 * bits.sum(axis=0, dtype=np.int64) > len(fps)
+    return np.argsort((bits != centre).sum(axis=1), kind="stable")
+
+
+def near_links(fps: np.ndarray, n: np.ndarray, limit: int, similarity: float, mine: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links between fingerprints that differ in at most `limit` bits and sizes n that allow
+    `similarity`. mine: rows of one of two blocks; rows of the other are compared with these alone.
+
+    The first row is a vantage point: rows whose distances to it differ by more than `limit` can't be near. Each row
+    reached looks at all rows left that this bound leaves.
+    """
+    order = by_centre(fps)
+    ring = np.bitwise_count(fps ^ fps[order[0]]).sum(axis=1, dtype=np.int64)
+    left = order
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    queue: list[int] = []
+    while len(left):
+        if not queue:
+            queue.append(int(left[0]))
+            left = left[1:]
+        k = queue.pop()
+        close = left[(np.abs(ring[left] - ring[k]) <= limit) & (np.minimum(n[left], n[k]) >= similarity * np.maximum(n[left], n[k]) - 1e-9)]
+        if mine is not None:
+            close = close[mine[close] != mine[k]]
+        close = close[np.bitwise_count(fps[close] ^ fps[k]).sum(axis=1, dtype=np.int64) <= limit]
+        if len(close):
+            found.append((np.full(len(close), k), close))
+            queue += close.tolist()
+            reached = np.zeros(len(fps), bool)
+            reached[close] = True
+            left = left[~reached[left]]
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+
+
+def exact_links(hashes: np.ndarray, counts: np.ndarray, order: np.ndarray, similarity: float, mine: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links between sets (ordered hashes one after the other) of Jaccard similarity at least
-    `similarity`: each set reached looks at all that are not."""
+    `similarity`: each set reached looks at all that are not, as near_links() does."""
     first = np.cumsum(counts) - counts
-    left = np.arange(len(counts))
+    left = order
     found: list[tuple[np.ndarray, np.ndarray]] = []
     queue: list[int] = []
     while len(left):
@@ -202,6 +267,8 @@ def exact_links(hashes: np.ndarray, counts: np.ndarray, similarity: float) -> tu
         k = queue.pop()
         own = hashes[first[k] : first[k] + counts[k]]
         close = left[np.minimum(counts[left], len(own)) >= similarity * np.maximum(counts[left], len(own)) - 1e-9]
+        if mine is not None:
+            close = close[mine[close] != mine[k]]
         if not len(close):
             continue
         if len(own):
@@ -211,7 +278,9 @@ def exact_links(hashes: np.ndarray, counts: np.ndarray, similarity: float) -> tu
             close = close[common >= similarity * (counts[close] + len(own) - common) - 1e-9]
         found.append((np.full(len(close), k), close))
         queue += close.tolist()
-        left = np.setdiff1d(left, close, assume_unique=True)
+        reached = np.zeros(len(counts), bool)
+        reached[close] = True
+        left = left[~reached[left]]
     return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
 
 
@@ -234,96 +303,97 @@ def spanning(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     return root
 
 
+def in_blocks(members: DataFrame, key: str, block: int = 0) -> DataFrame:
+    """Adds place and side to rows of (key, node, ...): groups of up to BLOCK rows are one place; of larger ones rows
+    are dealt over blocks of half as many, and each two blocks meet in a place."""
+    most = block or BLOCK
+    sizes = members.groupBy(key).agg(F.count("*").alias("_n")).filter("_n > 1")
+    blocks = F.when(F.col("_n") <= most, 1).otherwise(F.ceil(F.col("_n") / (most // 2))).cast("int")
+    dealt = members.join(sizes, key).withColumn("_blocks", blocks).withColumn("side", F.pmod(F.xxhash64("node", key), F.col("_blocks")).cast("int"))
+    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    place = F.least("side", "_other").cast("long") * F.col("_blocks") + F.greatest("side", "_other")
+    return dealt.withColumn("place", F.when(F.col("_blocks") > 1, place).otherwise(F.lit(-1))).drop("_n", "_blocks", "_other")
+
+
 def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id and component_id, as near_duplicates() has them, for texts whose sets of shingles have a Jaccard similarity of
     `similarity` or more.
 
-    Fingerprints find candidates; within what these join, the sets themselves are compared. Of two texts with Jaccard similarity J, a bit of their fingerprints differs with probability acos(2J / (1 + J)) / pi,
-    taken over 64 x WIDE bits; candidates may differ in DEVIATIONS more. At that radius a vantage point's rings prune little; what parts the points as well is
-    their number of shingles, which can't differ by more than the similarity. Shards are bands of sizes and rings
-    around a vantage point; shards that reach over each other's boundaries are compared in blocks. A block pair
-    returns a spanning forest of its links, not the links.
+    At such a radius (of two texts with Jaccard similarity J a bit of their fingerprints differs with probability
+    acos(2J / (1 + J)) / pi) the rings of a vantage point that all texts share overlap and prune nothing. So the tree's
+    upper levels are shards of texts that have AGREE least shingles in common, and a vantage point parts each shard:
+    within it fingerprints of 64 x WIDE bits within DEVIATIONS of the expected distance are candidates. What these
+    join is compared exactly, shingles with shingles. Places return spanning forests of links, not all links.
     """
-    spark = docs.sparkSession
     fps = materialize(wide_fingerprints(docs, width), "wide")
-    nodes = fps.groupBy("node").agg(F.first("fps").alias("fps"), F.min("n").alias("n"), F.min("doc_id").alias("least"))
-    step = float(np.log(1 / similarity))
-    band = F.when(F.col("n") > 0, F.floor(F.log(F.col("n").cast("double")) / step)).otherwise(-2).cast("int")
-    ring = F.floor(F.bit_count(F.col("fps")[0].bitwiseXOR(F.lit(vantage_points(1)[0]))) / FIRST_RADIUS).cast("int")
-    nodes = materialize(nodes.withColumn("band", band).withColumn("ring", ring), "nodes")
-    sizes = {(r.band, r.ring): r.n for r in nodes.groupBy("band", "ring").agg(F.count("*").alias("n")).collect()}
-    blocks = {shard: -(-n // BLOCK) for shard, n in sizes.items()}
-    number = {key: k for k, key in enumerate((shard, s) for shard in sorted(blocks) for s in range(blocks[shard]))}
-    total = len(number)
-    meets: dict[tuple[int, int], list[tuple[tuple[int, int], int]]] = {
-        x: [(y, blocks[y]) for db in (-1, 0, 1) for dr in (-1, 0, 1) if (y := (x[0] + db, x[1] + dr)) in blocks] for x in blocks
-    }
+    nodes = materialize(fps.groupBy("node").agg(F.first("fps").alias("fps"), F.first("keys").alias("keys"), F.min("n").alias("n"), F.min("doc_id").alias("least")), "nodes")
     differs = np.arccos(2 * similarity / (1 + similarity)) / np.pi
     limit = int(differs * 64 * WIDE + DEVIATIONS * np.sqrt(differs * (1 - differs) * 64 * WIDE))
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            node, lists = batch.column(0).to_numpy(), batch.column(1)
-            rows, pairs = [], []
-            for k, (v, x) in enumerate(zip(node.tolist(), zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True), strict=True)):
-                own = number[x, v % blocks[x]]
-                for y, count in meets[x]:
-                    first = number[y, 0]
-                    for other in range(first, first + count):
-                        rows.append(k)
-                        pairs.append(min(own, other) * total + max(own, other))
-            take = pa.array(rows, pa.int64())
-            side = np.array(pairs, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(side), batch.column(0).take(take), lists.take(take), batch.column(2).take(take), pa.array(np.array([number[x, v % blocks[x]] for v, x in zip(node.tolist(), zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True), strict=True)], np.int64)).take(take)], names=["pair", "node", "fps", "n", "block"])
-
-    dealt = nodes.select("node", "fps", "n", "band", "ring").mapInArrow(deal, "pair long, node long, fps array<long>, n long, block long")
-
-    def compare(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        node = group["node"].to_numpy()
-        words = group["fps"].combine_chunks().flatten().to_numpy().reshape(-1, WIDE).view(np.uint64)
-        n, block = group["n"].to_numpy(), group["block"].to_numpy()
-        one = block == block.min()
-        left = np.flatnonzero(one)
-        right = left if one.all() else np.flatnonzero(~one)
-        if group["pair"][0].as_py() // total != group["pair"][0].as_py() % total and one.all():
-            left = left[:0]  # the other block is empty
-        found = [np.zeros((0, 2), np.int64)]
-        root = np.arange(len(node))
-        for a in range(0, len(left), 64):
-            part = left[a : a + 64]
-            i, j = np.nonzero(np.bitwise_count(words[part, 0][:, None] ^ words[right, 0][None, :]) <= FIRST_RADIUS)
-            i, j = part[i], right[j]
-            ok = (i != j) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j])) & (root[i] != root[j])
-            i, j = i[ok], j[ok]
-            ok = np.bitwise_count(words[i] ^ words[j]).sum(axis=1, dtype=np.int64) <= limit
-            if ok.any():
-                found.append(np.column_stack([i[ok], j[ok]]))
-                edges = np.concatenate(found)
-                root = spanning(edges[:, 0], edges[:, 1], len(node))
-                found = [np.column_stack([np.flatnonzero(root != np.arange(len(node))), root[root != np.arange(len(node))]])]
-        linked = np.flatnonzero(root != np.arange(len(node)))
-        return pa.table({"a": pa.array(node[linked]), "b": pa.array(node[root[linked]])})
-
-    edges = dealt.groupBy("pair").applyInArrow(compare, "a long, b long")
-    candidates = materialize(components(edges), "candidates")
+    keyed = nodes.filter("n > 0").select("node", F.posexplode("keys").alias("shard", "key")).select("node", F.xxhash64("shard", "key").alias("key"))
+    placed = materialize(in_blocks(keyed, "key").join(nodes.select("node", "fps", "n"), "node"), "placed")
+
+    def sides(side: np.ndarray, place: np.ndarray) -> np.ndarray | None:
+        return side if place[0] >= 0 and side.min() != side.max() else None
+
+    def bits(table: pa.Table) -> np.ndarray:
+        return table["fps"].chunk(0).flatten().to_numpy().reshape(-1, WIDE).view(np.uint64)
+
+    def edges_of(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (a, b)], names=["a", "b"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, cut in whole_groups(batches):
+            node, n, words, place, side = table["node"].to_numpy(), table["n"].to_numpy(), bits(table), table["place"].to_numpy(), table["side"].to_numpy()
+            first, sizes = cut[:-1], np.diff(cut)
+            a, b = [], []
+            few = (sizes <= FEW) & (place[first] < 0)
+            for i, j in pairs_within(first[few], sizes[few], 1 << 16):
+                ok = np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9
+                i, j = i[ok], j[ok]
+                ok = np.bitwise_count(words[i] ^ words[j]).sum(axis=1, dtype=np.int64) <= limit
+                a.append(node[i[ok]])
+                b.append(node[j[ok]])
+            for g in np.flatnonzero(~few):
+                x = slice(cut[g], cut[g + 1])
+                i, j = near_links(words[x], n[x], limit, similarity, sides(side[x], place[x]))
+                a.append(node[x][i])
+                b.append(node[x][j])
+            yield edges_of(a, b)
+
+    placed_rows = placed.select("key", "place", "side", "node", "n", "fps").repartition("key", "place").sortWithinPartitions("key", "place")
+    edges = placed_rows.mapInArrow(compare, "a long, b long").distinct()
+    joined = materialize(components(edges), "candidates")
+    # large components go by shards again, which hold every near pair
+    large = joined.groupBy("root").agg(F.count("*").alias("size")).filter(F.col("size") > BLOCK).select("root")
+    small = joined.join(large, "root", "left_anti").select("node", F.col("root").alias("group"), F.lit(-1).cast("long").alias("place"), F.lit(0).alias("side"))
+    again = joined.join(large, "root").join(placed.select("node", "key", "place", "side"), "node").select("node", F.xxhash64("root", "key").alias("group"), "place", "side")
+    wanted = small.unionByName(again).groupBy("node").agg(F.collect_list(F.struct("group", "place", "side")).alias("at"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, at = utf8(batch.column(2))
+            data, at = utf8(batch.column(1))
             for i, j in runs(at):
                 hashes, n = shingle_sets(data[at[i] : at[j]], at[i : j + 1] - at[i], width)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(hashes.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), lists], names=["node", "root", "hashes"])
-
-    def verify(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        node, lists = group["node"].to_numpy(), group["hashes"].combine_chunks()
-        a, b = exact_links(lists.flatten().to_numpy().view(np.uint64), np.diff(lists.offsets.to_numpy()).astype(np.int64), similarity)
-        return pa.table({"a": pa.array(node[a]), "b": pa.array(node[b])})
-
-    texts = docs.select(text_hash(), F.col("text").cast("string").alias("text")).join(candidates, "node").groupBy("node", "root").agg(F.first("text").alias("text"))
-    exact = texts.mapInArrow(sets, "node long, root long, hashes array<long>").groupBy("root").applyInArrow(verify, "a long, b long")
+                part = batch.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), part.column(3), lists], names=["node", "fps", "at", "hashes"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, cut in whole_groups(batches, rows=2_000):
+            node, words, place, side, lists = table["node"].to_numpy(), bits(table), table["place"].to_numpy(), table["side"].to_numpy(), table["hashes"].chunk(0)
+            counts, hashes = np.diff(lists.offsets.to_numpy()).astype(np.int64), lists.flatten().to_numpy().view(np.uint64)
+            at = np.concatenate([[0], np.cumsum(counts)])
+            a, b = [], []
+            for c, e in zip(cut[:-1], cut[1:], strict=True):
+                i, j = exact_links(hashes[at[c] : at[e]], counts[c:e], by_centre(words[c:e]), similarity, sides(side[c:e], place[c:e]))
+                a.append(node[c:e][i])
+                b.append(node[c:e][j])
+            yield edges_of(a, b)
+
+    texts = docs.select(text_hash(), F.col("text").cast("string").alias("text")).join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    told = texts.join(wanted, "node").join(nodes.select("node", "fps"), "node").select("node", "text", "fps", "at")
+    exact = told.mapInArrow(sets, "node long, fps array<long>, at array<struct<group: long, place: long, side: int>>, hashes array<long>").withColumn("at", F.explode("at"))
+    exact = exact.select("at.group", "at.place", "at.side", "node", "fps", "hashes").repartition("group", "place").sortWithinPartitions("group", "place").mapInArrow(verify, "a long, b long")
     linked = materialize(components(exact), "components")
     roots = nodes.select("node", "least").join(linked, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least")
     named = roots.groupBy("root").agg(F.min("least").alias("component_id"))
