@@ -1,7 +1,10 @@
-"""Best-fit packing in bulk supersteps.
+"""Best-fit packing in bulk-synchronous supersteps.
 
-Pieces of equal length are interchangeable, and so are sequences of equal gap: the state of a superstep is a
-run-coded order of gaps, at most one class for each size, whose size doesn't grow with the corpus. The rows
+Pieces of equal length are interchangeable, and so are sequences of equal gap: the state is two tables of runs, pieces
+by length and gaps by size, range-parted by size. In a superstep all ranges are swept at once, each by a task of its own:
+pieces in the order of their rank (the longest first) take the smallest gap that fits, so that no two claim one; gaps
+that shrink move to the range they now belong to, and pieces that found none look in the next range. Once all have
+looked everywhere and nothing moves, as many sequences are opened as the pieces left need at least. The rows
 themselves are sorted and ranked by Spark and look up their place by (length, rank).
 """
 
@@ -16,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .store import materialize, table
@@ -24,8 +27,10 @@ from .text import ragged, utf8
 
 SIZE = 4096
 END_ID = 1
-#: Parts that a length is split into for ranking, so that no single task ranks all documents of one length.
-SALTS = 64
+#: Ranges of sizes, each swept by one task.
+RANGES = 4
+#: Pieces of one length that one task ranks, about.
+RANKED = 1_000_000
 #: Chunks and words that a worker remembers.
 _CACHE_CHUNKS, _CACHE_WORDS = 500_000, 500_000
 #: ASCII punctuation.
@@ -183,76 +188,159 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, forg
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(cut, PIECES)
 
 
-def best_fit(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, int, int, int, int]]:
-    """Places counts[length] pieces of each length: (length, first rank, first sequence, pieces to a sequence, offset).
+#: Rows of the state. A piece run has the ranks first .. first + n of its length; a gap run the sequences first .. first + n;
+#: a placed run the ranks first .. first + n, `each` to a sequence from `sequence` on, beginning at `offset`.
+PIECE, GAP, PLACED_RUN = 0, 1, 2
+STATE = "kind int, range int, size int, first long, n long, sequence long, each int, offset int"
+Run = tuple[int, int, int, int, int, int, int, int]
 
-    A superstep takes the greatest length left. Its pieces sweep the open gaps upwards from their successor; the
-    piece of rank r gets the r-th place, so that no two claim the same one; pieces beyond the gaps open sequences.
-    Then gaps are updated. Within a superstep each gap is filled with as many equal pieces as it holds, as best fit
-    would do one by one, because a gap just used is then the smallest that fits.
-    """
-    gaps: defaultdict[int, list[tuple[int, int]]] = defaultdict(list)  # gap: runs of sequences (first, how many)
-    order: list[int] = []  # the gaps that are open
-    placed, opened = [], 0
 
-    def leave(gap: int, first: int, n: int) -> None:
-        if gap and n:
-            if not gaps[gap]:
-                bisect.insort(order, gap)
+def range_of(length: int, size: int) -> int:
+    return (length - 1) * RANGES // size
+
+
+def sweep(rows: list[Run], here: int, size: int) -> list[Run]:
+    """One range's new state: its pieces, by rank, fill the smallest gap of the range that holds them.
+
+    A gap is filled with as many equal pieces as it holds, as best fit would do one by one, because a gap just used is
+    then the smallest that fits. Pieces without a gap go on to the next range.
+    """
+    gaps: defaultdict[int, list[tuple[int, int]]] = defaultdict(list)
+    for kind, _, gap, first, n, *_ in sorted(rows):
+        if kind == GAP:
             gaps[gap].append((first, n))
+    order = sorted(gaps)
+    out: list[Run] = []
 
-    for length in sorted(counts, reverse=True):
-        rank, left = 0, counts[length]
+    def leave(gap: int, first: int, n: int) -> None:
+        if not gap or not n:
+            return
+        if range_of(gap, size) != here:
+            out.append((GAP, range_of(gap, size), gap, first, n, 0, 0, 0))
+            return
+        if not gaps[gap]:
+            bisect.insort(order, gap)
+        gaps[gap].append((first, n))
+
+    for length, rank, left in sorted(((r[2], r[3], r[4]) for r in rows if r[0] == PIECE), key=lambda p: (-p[0], p[1])):
         while left:
             k = bisect.bisect_left(order, length)
-            if k < len(order):
-                gap = order[k]
-                first, n = gaps[gap].pop()
-                if not gaps[gap]:
-                    order.pop(k)
-            else:
-                gap, first = size, opened
-                n = -(-left // (size // length))
-                opened += n
+            if k == len(order):
+                out.append((PIECE, here + 1, length, rank, left, 0, 0, 0))
+                break
+            gap = order[k]
+            first, n = gaps[gap].pop()
+            if not gaps[gap]:
+                order.pop(k)
             each = gap // length
             whole = min(n, left // each)
             rest = left - whole * each if whole < n else 0
-            placed.append((length, rank, first, each, size - gap))
+            done = whole * each + rest
+            out.append((PLACED_RUN, -1, length, rank, done, first, each, size - gap))
             leave(gap - each * length, first, whole)
             if rest:
                 leave(gap - rest * length, first + whole, 1)
             leave(gap, first + whole + bool(rest), n - whole - bool(rest))
-            rank += whole * each + rest
-            left -= whole * each + rest
-    return placed
+            rank, left = rank + done, left - done
+    return out + [(GAP, here, gap, first, n, 0, 0, 0) for gap, runs in gaps.items() for first, n in runs]
+
+
+def open_sequences(rows: list[Run], opened: int, size: int) -> list[Run]:
+    """The longest of the pieces, which fit no gap, each in a sequence of its own: as many as all need at least, by what
+    they hold together and by those that can't share one. The others look for gaps from their own range on."""
+    waiting = sorted(((r[2], r[3], r[4]) for r in rows), key=lambda p: (-p[0], p[1]))
+    need = max(-(-sum(length * n for length, _, n in waiting) // size), sum(n for length, _, n in waiting if 2 * length > size))
+    out: list[Run] = []
+    for length, rank, n in waiting:
+        now = min(n, need)
+        if now:
+            out.append((PLACED_RUN, -1, length, rank, now, opened, 1, 0))
+            if length < size:
+                out.append((GAP, range_of(size - length, size), size - length, opened, now, 0, 0, 0))
+            need, opened = need - now, opened + now
+        if n > now:
+            out.append((PIECE, range_of(length, size), length, rank + now, n - now, 0, 0, 0))
+    return out
+
+
+def best_fit(counts: DataFrame, size: int = SIZE) -> DataFrame:
+    """Placed runs of STATE for counts (length, n). Each superstep is one job; the driver learns how many pieces are
+    left, wait and moved, and how many sequences were opened."""
+
+    def run(group: pa.Table, opening: bool) -> pa.Table:
+        rows = list(zip(*(group.column(c).to_pylist() for c in group.column_names), strict=True))
+        here = rows[0][1]
+        if here == RANGES and not opening:
+            return group  # they wait for the others
+        new = open_sequences(rows, rows[0][5], size) if opening else sweep(rows, here, size)
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*new, strict=True), _STATE_TYPES, strict=True)], names=[c.split()[0] for c in STATE.split(", ")])
+
+    none = [F.lit(0).cast(kind).alias(name) for name, kind in (("sequence", "long"), ("each", "int"), ("offset", "int"))]
+    state = counts.select(F.lit(PIECE).alias("kind"), F.lit(RANGES).alias("range"), F.col("length").cast("int").alias("size"), F.lit(0).cast("long").alias("first"), F.col("n").cast("long").alias("n"), *none)
+    own = F.floor((F.col("size") - 1) * RANGES / size).cast("int")
+    piece = F.col("kind") == PIECE
+    steps: list[DataFrame] = []
+    opening, opened, moved = True, 0, 0
+    while True:
+        seen = Observation()
+        if opening:  # only pieces that wait are touched
+            going = state.filter(piece).withColumn("sequence", F.lit(opened).cast("long"))
+            new = going.groupBy("range").applyInArrow(lambda group: run(group, True), STATE).unionByName(state.filter(~piece))
+        else:
+            new = state.groupBy("range").applyInArrow(lambda group: run(group, False), STATE)
+        left = F.when(piece, F.col("n"))
+        watched = new.observe(
+            seen, F.sum(left).alias("left"), F.sum(F.when(F.col("range") == RANGES, left)).alias("waiting"), F.sum(F.when(F.col("kind") == PLACED_RUN, F.col("n"))).alias("moved"),
+            F.max(F.when((F.col("kind") == PLACED_RUN) & (F.col("offset") == 0), F.col("sequence") + F.col("n"))).alias("opened"),
+        )
+        steps.append(materialize(watched, "packing"))
+        now = seen.get
+        state = steps[-1].filter(F.col("kind") != PLACED_RUN)
+        if not now["left"]:
+            break
+        if opening:
+            opened, moved, opening = now["opened"], 0, False
+            continue
+        moved += now["moved"] or 0
+        if now["waiting"] == now["left"]:
+            opening = not moved
+            if not opening:  # gaps have changed since pieces passed them
+                state = state.withColumn("range", F.when(piece, own).otherwise(F.col("range")))
+                moved = 0
+    placed = steps[0]
+    for step in steps[1:]:
+        placed = placed.unionByName(step)
+    return placed.filter(F.col("kind") == PLACED_RUN)
+
+
+_STATE_TYPES = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
 
 
 def pack(parts: DataFrame, size: int = SIZE) -> DataFrame:
     """Adds sequence_id and offset to rows with doc_id, piece, start, length and ids_crc32.
 
     `length` is from 1 to `size`. Rows of equal length are ranked by (salt, doc_id, piece, ids_crc32); equal rows
-    are interchangeable. An empty table gives an empty one. No more than size x SALTS counts reach the driver.
+    are interchangeable. An empty table gives an empty one. What reaches the driver are counts of lengths, split by salts where
+    RANKED rows and more have one, and placed runs, which are about as many as lengths.
     """
-    salted = parts.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int"))
-    counted = salted.groupBy("length", "salt").agg(F.count("*").alias("n")).collect()
-    before = np.zeros((size + 1, SALTS), np.int64)
-    for length, salt, n in counted:
-        before[length, salt] = n
-    totals = before.sum(axis=1)
-    before = np.cumsum(before, axis=1) - before
-    placed = best_fit({int(n): int(totals[n]) for n in np.flatnonzero(totals)}, size)
-    placed.sort()
+    spark = parts.sparkSession
+    lengths = materialize(parts.groupBy("length").agg(F.count("*").alias("n")), "lengths")
+    placed = sorted((r["size"], r["first"], r["sequence"], r["each"], r["offset"]) for r in best_fit(lengths, size).collect()) if lengths.head(1) else []
     runs = np.array(placed, np.int64).reshape(-1, 5)
-    keys = (runs[:, 0] << 48) + runs[:, 1]
-    model = parts.sparkSession.sparkContext.broadcast((before, keys, runs))
+    split = lengths.select("length", F.ceil(F.col("n") / RANKED).alias("salts"))
+    salted = parts.join(F.broadcast(split), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.col("salts")).cast("int")).select(*[x.split()[0] for x in PIECES.split(", ")], "salt")
+    counted = np.array(salted.groupBy("length", "salt").agg(F.count("*").alias("n")).orderBy("length", "salt").collect(), np.int64).reshape(-1, 3)
+    ends = np.cumsum(counted[:, 2]) - counted[:, 2]
+    starts = np.searchsorted(counted[:, 0], counted[:, 0])
+    model = spark.sparkContext.broadcast(((counted[:, 0] << 32) + counted[:, 1], ends - ends[starts] if len(ends) else ends, (runs[:, 0] << 48) + runs[:, 1], runs))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, keys, runs = model.value
+        buckets, before, keys, runs = model.value
         for batch in batches:
             *kept, salt, number = (batch.column(k) for k in range(batch.num_columns))
             length = kept[3].to_numpy()
-            rank = before[length, salt.to_numpy()] + number.to_numpy() - 1
-            run = runs[np.searchsorted(keys, (length << 48) + rank, side="right") - 1] if len(keys) else runs
+            rank = before[np.searchsorted(buckets, (length << 32) + salt.to_numpy())] + number.to_numpy() - 1
+            run = runs[np.searchsorted(keys, (length << 48) + rank, side="right") - 1]
             along = rank - run[:, 1]
             where = [pa.array(run[:, 2] + along // run[:, 3]), pa.array(run[:, 4] + along % run[:, 3] * length)]
             yield pa.RecordBatch.from_arrays([*kept, *where], names=[x.split()[0] for x in PLACED.split(", ")])
