@@ -1,21 +1,23 @@
 """Toxicity by a chain of classifiers over hashed words and word beginnings.
 
 Categories are learnt in order; each model also gets the probabilities of the categories before it, which for the
-training rows come from models that had not seen them (out of fold).
+training rows come from models that had not seen them (out of fold). labels have two: toxic itself, and quality,
+whose opposite stands first as toxic texts are among the poor ones. Where labels have more, CATEGORIES takes them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from .store import table
+from .store import materialize, table
 from .text import Words, mix, ragged, runs, utf8
 from .suffix_dedup import prefix_hash, range_hash
 
@@ -215,49 +217,69 @@ def hash_bytes(text: bytes) -> int:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, most_bytes: int = SAMPLE_BYTES) -> tuple[list[bytes], np.ndarray]:
     """Up to `most` labelled documents of up to `most_bytes` in all, by hash of doc_id. Rows with a null id or label
-    are left out, and of rows with one doc_id the first by hash counts."""
+    are left out; of rows with one doc_id the text that is first by hash counts, and the greatest of each label."""
     kinds = labels.filter("doc_id is not null and quality is not null and toxic is not null").select("doc_id", (1 - F.col("quality")).cast("int").alias("low_quality"), F.col("toxic").cast("int").alias("toxic"))
     kinds = kinds.groupBy("doc_id").agg(F.max("low_quality").alias("low_quality"), F.max("toxic").alias("toxic"))
     drawn = kinds.withColumn("draw", F.xxhash64(F.lit(SEED), "doc_id")).orderBy("draw", "doc_id").limit(most)
     text = docs.filter("doc_id is not null").select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).filter(F.octet_length("text") <= most_bytes)
-    rows = text.join(F.broadcast(drawn), "doc_id").select("draw", "doc_id", "text", "low_quality", "toxic")
+    rows = text.join(F.broadcast(drawn), "doc_id").groupBy("draw", "doc_id", "low_quality", "toxic").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("first"))
+    rows = materialize(rows.select("draw", "doc_id", "low_quality", "toxic", "first.text"), "labelled")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if size > most_bytes:  # fewer documents, by the same order
         rows = rows.filter(F.pmod(F.col("draw"), F.lit(1000)) < int(1000 * most_bytes / size))
-    found = rows.dropDuplicates(["doc_id"]).toPandas().sort_values(["draw", "doc_id"])
+    found = rows.toPandas().sort_values(["draw", "doc_id"])
     return [t.encode() for t in found["text"]], found[["low_quality", "toxic"]].to_numpy()
 
 
-def score(docs: DataFrame, chain: Chain) -> DataFrame:
-    """Adds p_low_quality, p_toxic and is_toxic to documents; whole texts, null as empty."""
+def _probabilities(docs: DataFrame, chain: Chain, make: Callable[[pa.RecordBatch, np.ndarray, np.ndarray], pa.RecordBatch], schema: StructType) -> DataFrame:
+    """make()'s batches from those of docs, their rows' probabilities of each category, and which are flagged: texts
+    with words whose last probability reaches the threshold. Whole texts, null as empty."""
     shared = docs.sparkSession.sparkContext.broadcast(chain)
-    names = docs.columns
-    k = names.index("text")
+    k = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain = shared.value
         for batch in batches:
-            data, at = utf8(batch.column(k))
-            out = [np.zeros((0, len(CATEGORIES)))]
+            data, at = utf8(pc.cast(batch.column(k), pa.string()))
+            out, words = [np.zeros((0, len(CATEGORIES)))], [np.zeros(0, np.int64)]
             for i, j in runs(at, 1 << 18):
-                out.append(chain.probabilities(*features(data[at[i] : at[j]], at[i : j + 1] - at[i])))
+                found = features(data[at[i] : at[j]], at[i : j + 1] - at[i])
+                out.append(chain.probabilities(*found))
+                words.append(found[2])
             p = np.concatenate(out)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p[:, 0]), pa.array(p[:, 1]), pa.array(p[:, 1] >= chain.threshold)], names=[*names, "p_low_quality", "p_toxic", "is_toxic"])
+            yield make(batch, p, (p[:, -1] >= chain.threshold) & (np.concatenate(words) > 0))
+
+    return docs.mapInArrow(run, schema)
 
-    typed = docs.withColumn("text", F.col("text").cast("string"))
+
+def score(docs: DataFrame, chain: Chain) -> DataFrame:
+    """documents with p_low_quality, p_toxic and is_toxic, which replace columns of these names."""
     more = [StructField("p_low_quality", DoubleType()), StructField("p_toxic", DoubleType()), StructField("is_toxic", BooleanType())]
-    return typed.mapInArrow(run, StructType([*typed.schema.fields, *more]))
+    names = [x.name for x in more]
+    docs = docs.select(*[c for c in docs.columns if c.lower() not in names])
+
+    def add(batch: pa.RecordBatch, p: np.ndarray, flagged: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(p[:, 0]), pa.array(p[:, 1]), pa.array(flagged)], names=[*batch.schema.names, *names])
+
+    return _probabilities(docs, chain, add, StructType([*docs.schema.fields, *more]))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """score() by a chain fitted on a bounded sample of labelled documents.
 
     Without labels, or with one class only, every document gets the class's rate and none is flagged unless most
-    are. Rows with null or repeated doc_id are scored like any other.
+    are. Rows with null or repeated doc_id are scored like any other, and texts of any length whole; texts over
+    SAMPLE_BYTES aren't learnt from. A text without words isn't flagged. An empty table gives an empty one.
     """
     return score(docs, train(*labelled_sample(docs, labels)))
 
 
+def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """documents without those that classify() flags; all columns as they are, whatever they are called."""
+    chain = train(*labelled_sample(docs, labels))
+    return _probabilities(docs, chain, lambda batch, p, flagged: batch.filter(pa.array(~flagged)), docs.schema)
+
+
 def op8_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return classify(docs, table(spark, sf_dir, "labels")).drop("text")
