@@ -183,27 +183,32 @@ def near_passages(a: np.ndarray, b: np.ndarray, least: int, similarity: float) -
         best = common.argmax(axis=1)
         ok = common[np.arange(len(part)), best] >= enough
         left[part[ok]], right[part[ok]] = (x[ok] for x in np.divmod(best, whole_b.shape[1]))
-    for k in rows[own[rows] | other[rows]]:
-        found = _near_with_repeats(a[k], b[k], whole_a[k], whole_b[k], least, similarity)
-        if found:
-            left[k], right[k] = found
+    twice = rows[own[rows] | other[rows]]
+    for k in range(0, len(twice), 128):
+        part = twice[k : k + 128]
+        left[part], right[part] = _near_with_repeats(a[part], b[part], whole_a[part], whole_b[part], least, similarity)
     return left, right
 
 
-def _near_with_repeats(a: np.ndarray, b: np.ndarray, whole_a: np.ndarray, whole_b: np.ndarray, least: int, similarity: float) -> tuple[int, int] | None:
-    """near_passages() of one row, with sets that shrink by repeated shingles: counts of either window and of the common
-    shingles follow from first places."""
-    first = lambda x, s: np.array([k == s or x[k] not in x[s:k] for k in range(s, s + least)])
-    sides = [[(int(s), x[s : s + least][first(x, int(s))]) for s in np.flatnonzero(whole)] for x, whole in ((a, whole_a), (b, whole_b))]
-    inside = [(t, np.sort(v)) for t, v in sides[1]]
-    for s, u in sides[0]:
-        for t, v in inside:
-            if min(len(u), len(v)) < similarity * max(len(u), len(v)) - 1e-9:
-                continue
-            common = int((v[np.minimum(np.searchsorted(v, u), len(v) - 1)] == u).sum())
-            if common >= similarity * (len(u) + len(v) - common) - 1e-9:
-                return s, t
-    return None
+def _first_in_window(x: np.ndarray, least: int) -> np.ndarray:
+    """Of each row and window (first axes) the places that lie in it and hold a shingle for the first time there."""
+    place = np.arange(x.shape[1])
+    before = np.where((x[:, :, None] == x[:, None, :]) & (place[None, :] < place[:, None]), place + 1, 0).max(axis=2) - 1
+    start = np.arange(x.shape[1] - least + 1)[:, None]
+    return ((place >= start) & (place < start + least))[None] & (before[:, None, :] < start[None])
+
+
+def _near_with_repeats(a: np.ndarray, b: np.ndarray, whole_a: np.ndarray, whole_b: np.ndarray, least: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """near_passages() of rows that hold shingles twice: each counts once for a window."""
+    own, other = _first_in_window(a, least), _first_in_window(b, least)
+    inside = window_sums((a[:, :, None] == b[:, None, :]) & (a != 0)[:, :, None], least, 2) > 0
+    common = np.matmul(own.astype(np.float32), inside.astype(np.float32))
+    total = own.sum(axis=2)[:, :, None] + other.sum(axis=2)[:, None, :]
+    value = np.where(whole_a[:, :, None] & whole_b[:, None, :], common / (total - common), -1.0).reshape(len(a), -1)
+    best = value.argmax(axis=1)
+    ok = value[np.arange(len(a)), best] >= similarity - 1e-6
+    left, right = np.divmod(best, whole_b.shape[1])
+    return np.where(ok, left, -1), np.where(ok, right, -1)
 
 
 @dataclass
@@ -271,6 +276,47 @@ def resolve(parts: np.ndarray, root: np.ndarray, least: int, similarity: float,
     return tuple(np.concatenate(out, axis=1))
 
 
+def group_links(rows: pa.Table, least: int, similarity: float) -> pa.RecordBatch:
+    """The links of whole groups (pair, place, d, ctx, part): each with its first, then what that leaves apart."""
+    pair, place, d, ctx = (rows.column(x).to_numpy() for x in range(4))
+    again = np.concatenate([[False], (pair[1:] == pair[:-1]) & (place[1:] == place[:-1]) & (ctx[1:] == ctx[:-1])])
+    if again.any():  # rows of one doc_id and text
+        rows = rows.filter(pa.array(~again))
+        pair, place, d, ctx = pair[~again], place[~again], d[~again], ctx[~again]
+    matrix = np.frombuffer(b"".join(rows.column(4).to_pylist()), np.uint32).reshape(len(d), -1)
+    cut = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (place[1:] != place[:-1]), [True]]))
+    first, sizes = cut[:-1], np.diff(cut)
+    maps = Maps.of(matrix, least)
+    found = [np.zeros((4, 0), np.int64)]
+
+    def meet(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ok = maps.pairs(i, j, similarity)
+        i, j = i[ok], j[ok]
+        left, right = near_passages(matrix[i], matrix[j], least, similarity)
+        hit = left >= 0
+        found.append(np.stack([i, j, left, right])[:, hit])
+        return i[hit], j[hit]
+
+    own = np.repeat(first, sizes)
+    member = np.flatnonzero(own != np.arange(len(d)))
+    root = np.arange(len(d))
+    for b in range(0, len(member), _PAIRS):
+        i, j = meet(member[b : b + _PAIRS], own[member[b : b + _PAIRS]])
+        root[i] = j
+    left = np.add.reduceat(root != own, first, dtype=np.int64)
+    small = (left > 0) & (sizes > 2) & (sizes <= _SMALL)
+    for i, j in pairs_within(first[small], sizes[small], _PAIRS):
+        ok = (root[i] != root[j]) & (i != own[i])
+        meet(i[ok], j[ok])
+    for g in np.flatnonzero((left > 0) & (sizes > _SMALL)):
+        a, e = cut[g], cut[g + 1]
+        links = resolve(matrix[a:e], root[a:e] - a, least, similarity, Maps(maps.bits[a:e], maps.lost[a:e], maps.least[a:e]))
+        found.append(np.stack(links) + np.array([[a], [a], [0], [0]]))
+    i, j, x, y = np.concatenate(found, axis=1)
+    columns = [ctx[i], ctx[j], (least - 1 - x).astype(np.int32), (least - 1 - y).astype(np.int32), d[i], d[j]]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["x", "y", "shift", "yshift", "xd", "yd"])
+
+
 def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, similarity: float = SIMILARITY) -> DataFrame:
     """RESULT for each row of (doc_id, text): the smallest doc_id of its class (itself at least), how many links join
     it, and its passages as from-to in words.
@@ -351,49 +397,9 @@ def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, simil
 
     parts = sources.mapInArrow(cut_out, "pair long, place int, d long, ctx long, part binary")
 
-    def compare(rows: pa.Table) -> pa.RecordBatch:
-        """The links of whole groups: each with its first, then what that leaves apart."""
-        pair, place, d, ctx = (rows.column(x).to_numpy() for x in range(4))
-        again = np.concatenate([[False], (pair[1:] == pair[:-1]) & (place[1:] == place[:-1]) & (ctx[1:] == ctx[:-1])])
-        if again.any():  # rows of one doc_id and text
-            rows = rows.filter(pa.array(~again))
-            pair, place, d, ctx = pair[~again], place[~again], d[~again], ctx[~again]
-        matrix = np.frombuffer(b"".join(rows.column(4).to_pylist()), np.uint32).reshape(len(d), -1)
-        cut = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (place[1:] != place[:-1]), [True]]))
-        first, sizes = cut[:-1], np.diff(cut)
-        maps = Maps.of(matrix, least)
-        found = [np.zeros((4, 0), np.int64)]
-
-        def meet(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            ok = maps.pairs(i, j, similarity)
-            i, j = i[ok], j[ok]
-            left, right = near_passages(matrix[i], matrix[j], least, similarity)
-            hit = left >= 0
-            found.append(np.stack([i, j, left, right])[:, hit])
-            return i[hit], j[hit]
-
-        own = np.repeat(first, sizes)
-        member = np.flatnonzero(own != np.arange(len(d)))
-        root = np.arange(len(d))
-        for b in range(0, len(member), _PAIRS):
-            i, j = meet(member[b : b + _PAIRS], own[member[b : b + _PAIRS]])
-            root[i] = j
-        left = np.add.reduceat(root != own, first, dtype=np.int64)
-        small = (left > 0) & (sizes > 2) & (sizes <= _SMALL)
-        for i, j in pairs_within(first[small], sizes[small], _PAIRS):
-            ok = (root[i] != root[j]) & (i != own[i])
-            meet(i[ok], j[ok])
-        for g in np.flatnonzero((left > 0) & (sizes > _SMALL)):
-            a, e = cut[g], cut[g + 1]
-            links = resolve(matrix[a:e], root[a:e] - a, least, similarity, Maps(maps.bits[a:e], maps.lost[a:e], maps.least[a:e]))
-            found.append(np.stack(links) + np.array([[a], [a], [0], [0]]))
-        i, j, x, y = np.concatenate(found, axis=1)
-        columns = [ctx[i], ctx[j], (least - 1 - x).astype(np.int32), (least - 1 - y).astype(np.int32), d[i], d[j]]
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["x", "y", "shift", "yshift", "xd", "yd"])
-
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, _ in whole_groups(batches, rows=_FLUSH_ROWS):
-            yield compare(rows)
+            yield group_links(rows, least, similarity)
 
     near = parts.repartition("pair", "place").sortWithinPartitions("pair", "place", "d", "ctx").mapInArrow(verify, "x long, y long, shift int, yshift int, xd long, yd long")
     near = materialize(near.dropDuplicates(["x", "y"]), "near")
