@@ -2,7 +2,7 @@
 
 Counts cover every training document. The tree grows level by level: a context is a retained entry of the level
 below it, an entry is retained if its count diverges from what the longest proper suffix predicts by more than naming
-it costs, and growth ends where nothing is retained. There is no floor but two occurrences, so what is gathered
+it costs, and growth ends where nothing is retained. There is no floor but a few occurrences, so what is gathered
 grows with the corpus: words, pairs and longer grams are counted by shuffle, and the tree is broadcast only while it
 is small; beyond that each block of documents asks for the entries it needs.
 
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from .store import drop, materialize, table
 from .text import Words, ragged, runs, utf8
 
-#: Occurrences that a word or context needs to be one, and that an entry needs.
-LEAST = 2
+#: Occurrences that a word and an entry need, and that a context of several words needs.
+LEAST, DEEP = 2, 4
 #: Words in a context at most.
 DEPTH = 4
 DISCOUNT = 0.5
@@ -33,7 +33,7 @@ BLOCK_BYTES = 6 << 20
 #: Rows of one level of the tree that are broadcast at most, of 24 bytes each; contexts may be twice as many, of 8 bytes.
 BROADCAST_ROWS = 4_000_000
 #: Grams that are counted together before they are shuffled.
-_FLUSH = 4_000_000
+_FLUSH = 3_000_000
 #: Rows that are numbered in one task, about.
 _NUMBERED = 1_000_000
 #: The end of a text as a word hash.
@@ -130,26 +130,36 @@ class Level:
         return cls(key[entry], value[entry], following[entry], key[weight] >> 32, value[weight])
 
     def prepare(self) -> None:
-        """A table by context, and a map of bits that rules most words out before they are searched for."""
+        """A table by context, and a hashed table of entries, at most half full."""
         if hasattr(self, "table"):
             return
-        self.table = np.full(int(self.contexts[-1]) + 2 if len(self.contexts) else 1, np.nan)
+        self.table = np.full(int(self.contexts[-1]) + 2 if len(self.contexts) else 2, np.nan)
         self.table[self.contexts] = self.weights
-        bits = max(10, (16 * len(self.keys)).bit_length())
-        self.shift = np.uint64(64 - bits)
-        self.map = np.zeros(1 << (bits - 3), np.uint8)
-        place = self.places(self.keys)
-        np.bitwise_or.at(self.map, place >> np.uint64(3), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
-
-    def places(self, keys: np.ndarray) -> np.ndarray:
-        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+        bits = max(10, (2 * len(self.keys)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.slots = np.full(1 << bits, -1, np.int32)
+        left = np.arange(len(self.keys), dtype=np.int32)
+        slot = self.slot(self.keys)
+        while len(left):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = left[free]
+            missed = self.slots[slot] != left
+            left, slot = left[missed], (slot[missed] + 1) & self.last
+
+    def slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
 
     def entry(self, keys: np.ndarray) -> np.ndarray:
         """The place of each key, or -1."""
-        out = np.full(len(keys), -1, np.int64)
-        place = self.places(keys)
-        likely = np.flatnonzero(self.map[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
-        out[likely] = lookup(self.keys, keys[likely])
+        slot = self.slot(keys)
+        out = self.slots[slot]
+        left = np.flatnonzero(out >= 0)
+        left = left[self.keys[out[left]] != keys[left]]
+        while len(left):
+            slot[left] = (slot[left] + 1) & self.last
+            out[left] = self.slots[slot[left]]
+            left = left[out[left] >= 0]
+            left = left[self.keys[out[left]] != keys[left]]
         return out
 
 
@@ -164,15 +174,14 @@ def first_contexts(ids: np.ndarray) -> np.ndarray:
 def step(ids: np.ndarray, context: np.ndarray, delta: np.ndarray, level: Level) -> tuple[np.ndarray, np.ndarray]:
     """Contexts of the next level, and log10 probabilities over the root's after this one."""
     level.prepare()
-    at = np.flatnonzero(context > 0)
-    weight = level.table[np.minimum(context[at], len(level.table) - 1)]
-    kept = ~np.isnan(weight)
-    at, weight = at[kept], weight[kept]
+    # the table's last place is no context's, as aren't 0 and those below
+    weight = level.table[np.minimum(context, len(level.table) - 1)]
+    at = np.flatnonzero(weight == weight)
     new = delta.copy()
-    new[at] += weight
-    at = at[ids[at] > START]
+    new[at] += weight[at]
     entry = level.entry((context[at] << 32) | ids[at])
-    at, entry = at[entry >= 0], entry[entry >= 0]
+    hit = np.flatnonzero(entry >= 0)
+    at, entry = at[hit], entry[hit]
     new[at] = level.values[entry]
     following = np.zeros(len(ids) + 1, np.int64)
     following[at + 1] = level.nexts[entry]
@@ -299,7 +308,9 @@ def train_and_score(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, blo
     share = (1 - unknown) / max(n, 1)
     totals_n = symbols.count()
     for number in range(1, depth + 1):
-        grams = _grams(states, shared, number).groupBy("code").agg(F.sum("n").alias("n"), F.min("delta").alias("delta")).filter(F.col("n") >= LEAST)
+        grams = _grams(states, shared, number).groupBy("code")
+        grams = grams.agg(F.sum("n").alias("n"), F.lit(0.0).alias("delta")) if number == 1 else grams.agg(F.sum("n").alias("n"), F.min("delta").alias("delta"))
+        grams = grams.filter(F.col("n") >= LEAST)
         split = grams.select(F.shiftright("code", 32).alias("s"), F.col("code").bitwiseAND(F.lit(_WORD)).alias("z"), "n", "delta")
         root_p = symbols.select(F.col("id").alias("z"), (F.col("c") * share).alias("p0"))
         tested = split.join(root_p, "z").join(totals, "s").withColumn("parent", F.col("p0") * F.pow(F.lit(10.0), F.col("delta")))
@@ -314,7 +325,7 @@ def train_and_score(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, blo
         smooth = (F.col("n") - DISCOUNT) / F.col("total")
         freed = F.greatest(1 - F.sum(smooth), F.lit(1e-12)) / F.greatest(1 - F.sum("parent"), F.lit(1e-12))
         weights = entries.groupBy("s").agg(F.log10(freed).alias("value")).select(key_of(F.col("s")).alias("key"), "value", F.lit(0).cast("long").alias("next"))
-        facts = materialize(entries.select("key", F.log10(smooth / F.col("p0")).alias("value"), F.col("id").alias("next")).unionByName(weights), "level")
+        facts = materialize(entries.select("key", F.log10(smooth / F.col("p0")).alias("value"), F.when(F.col("n") >= DEEP, F.col("id")).otherwise(0).alias("next")).unionByName(weights), "level")
         levels.append(facts)
         small = small and facts.count() <= broadcast_rows and totals_n <= 2 * broadcast_rows
         if small:
@@ -356,6 +367,7 @@ def _parts(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.R
 def _grams(states: DataFrame, shared: list, number: int) -> DataFrame:
     """(code, n, delta): context << 32 | word of all training tokens whose context is in the tree."""
     columns = [c for c in states.columns if c in ("ids", "context", "delta")]
+    names = ["code", "n"] if number == 1 else ["code", "n", "delta"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -363,24 +375,23 @@ def _grams(states: DataFrame, shared: list, number: int) -> DataFrame:
         def flush() -> pa.RecordBatch:
             code = np.concatenate([c for c, _ in held])
             if number == 1:
-                code, n = np.unique(code, return_counts=True)
-                delta = np.zeros(len(code))
+                out = list(np.unique(code, return_counts=True))
             else:
                 code, one, n = np.unique(code, return_index=True, return_counts=True)
-                delta = np.concatenate([d for _, d in held])[one]
+                out = [code, n, np.concatenate([d for _, d in held])[one]]
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(code), pa.array(n.astype(np.int32)), pa.array(delta)], names=["code", "n", "delta"])
+            return pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1].astype(np.int32)), *map(pa.array, out[2:])], names=names)
 
         for batch in _parts(batches):
             ids, _, context, delta = _walked(batch, shared)
             at = np.flatnonzero((context > 0) & (ids > START))
-            held.append(((context[at] << 32) | ids[at], delta[at]))
+            held.append(((context[at] << 32) | ids[at], delta[at] if number > 1 else delta[:0]))
             if sum(len(c) for c, _ in held) > _FLUSH:
                 yield flush()
         if held:
             yield flush()
 
-    return states.filter("not held_out").select(*columns).mapInArrow(count, "code long, n int, delta double")
+    return states.filter("not held_out").select(*columns).mapInArrow(count, "code long, n int" + ", delta double" * (number > 1))
 
 
 def _map(states: DataFrame, shared: list, make: Callable[[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray], list], schema: str) -> DataFrame:
