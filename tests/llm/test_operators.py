@@ -164,7 +164,7 @@ def plain_tree(train):
     unknown = sum(c == 1 for c in counts.values()) / (n + 1)
     root = {w: (1 - unknown) * c / n for w, c in counts.items()}
     blocks_seen = spelling_of(train)
-    levels = []
+    levels, times = [], []
 
     def spell(word):
         raw = [256, *word.encode(), 256]
@@ -186,7 +186,7 @@ def plain_tree(train):
             t = ["^", *t]
             for i in range(max(k, 1), len(t)):
                 context = tuple(t[i - k : i])
-                if all(w == "^" or counts[w] >= 2 for w in (*context, t[i])) and (k == 1 or (context[:-1], context[-1]) in levels[-1][0]):
+                if all(w == "^" or counts[w] >= 2 for w in (*context, t[i])) and (k == 1 or (context[:-1], context[-1]) in levels[-1][0] and times[-1][context[:-1], context[-1]] >= suffix_tree_lm.DEEP):
                     grams[context, t[i]] += 1
         before = Counter(context for t in train for t2 in [["^", *t]] for i in range(k, len(t2)) for context in [tuple(t2[i - k : i])])
         kept = {}
@@ -195,8 +195,9 @@ def plain_tree(train):
             expected = total * parent
             if c >= 2 and c > expected and c * math.log(c / expected) - (c - expected) > math.log(v) + 0.5 * math.log(max(total, 2)):
                 kept[context, w] = ((c - 0.5) / total, parent)
-        if not kept:
+        if not kept or k > suffix_tree_lm.DEPTH:
             return log_p, levels
+        times.append(grams)
         sums = defaultdict(lambda: [0.0, 0.0])
         for (context, _), (p, q) in kept.items():
             sums[context][0] += p
