@@ -18,20 +18,23 @@ from pyspark.sql import functions as F
 from .graph import components
 from .groups import pairs_within, whole_groups
 from .simhash import spanning
-from .store import materialize, table
+from .store import materialize, table, tidy
 from .text import Words, mix, ragged, runs, utf8
 
 WORDS = 50
 WIDTH = 5
 SIMILARITY = 0.8
-#: Hash functions; a passage is compared if it agrees with another in one: all but 0.2^6 at similarity 0.8.
-HASHES = 6
+#: Hash functions; a passage is compared if it agrees with another in one: all but 0.2^4 at similarity 0.8.
+HASHES = 4
 RESULT = "doc_id long, class_id long, n_links long, n_passages long, passages string"
 _FLUSH_ROWS = 20_000
 #: Contexts of a group that one place compares; of larger groups each two blocks of half as many meet in a place.
 MANY = 16_384
 #: Pairs of contexts compared at once, and contexts of groups that are compared together.
 _PAIRS, _SMALL = 50_000, 64
+#: Documents, about, that show which signatures are frequent: those that so many of them have. Their rows are dealt over
+#: salts, at most so many to each, about.
+SHOWN, FREQUENT, SALTED = 2000, 8, 50_000
 #: Bits of the maps by which contexts that share too little are told apart.
 MAP_BITS = 1024
 _SEEDS = np.random.default_rng(20240609).integers(1, 2**63, HASHES, dtype=np.uint64)
@@ -129,18 +132,12 @@ def unpack_place(place: np.ndarray) -> tuple[np.ndarray, ...]:
     return place >> 32, place >> 24 & 255, place >> 16 & 255, place >> 8 & 255, place & 255
 
 
-def around(ids: np.ndarray, c: int, least: int) -> np.ndarray:
-    """The shingles that passages of `least` through c can hold, c's in the middle, as 32 bits; 0 beyond the text."""
-    out = np.zeros(2 * least - 1, np.uint32)
-    a, b = max(0, c - least + 1), min(len(ids), c + least)
-    out[a - c + least - 1 : b - c + least - 1] = (ids[a:b] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-    return out
-
-
-def repeats(x: np.ndarray) -> np.ndarray:
-    """Which rows hold a shingle twice."""
-    ordered = np.sort(x, axis=1)
-    return ((ordered[:, 1:] == ordered[:, :-1]) & (ordered[:, 1:] != 0)).any(axis=1)
+def around(ids: np.ndarray, low: np.ndarray, c: np.ndarray, high: np.ndarray, least: int) -> np.ndarray:
+    """A row for each place c of texts that have ids[low:high]: the shingles that passages of `least` through c can hold,
+    c's in the middle, as 32 bits; 0 beyond the text."""
+    at = c[:, None] + np.arange(1 - least, least)
+    there = (at >= low[:, None]) & (at < high[:, None])
+    return np.where(there, (ids[np.where(there, at, 0)] >> np.uint64(32)).astype(np.uint32) | np.uint32(1), np.uint32(0))
 
 
 def window_sums(x: np.ndarray, least: int, axis: int = 1) -> np.ndarray:
@@ -150,30 +147,31 @@ def window_sums(x: np.ndarray, least: int, axis: int = 1) -> np.ndarray:
     return np.moveaxis(sums[..., least:] - sums[..., :-least], -1, axis)
 
 
-def near_passages(a: np.ndarray, b: np.ndarray, least: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+def near_passages(a: np.ndarray, b: np.ndarray, least: int, similarity: float, facts: tuple[np.ndarray, ...] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """For each row of two matrices of around(): where passages of `least` shingles start in either that have a Jaccard
     similarity of at least `similarity`, both holding the shingle in the middle; -1 for none.
 
     Rows with enough equal places are done. Of the others those that share enough shingles at all try every pair of
-    starts, by sums over the table of which places are equal.
+    starts, by sums over the table of which places are equal. facts: those of Maps.facts().
     """
-    whole_a, whole_b = window_sums(a != 0, least) == least, window_sums(b != 0, least) == least
+    if facts is None:
+        both, n = Maps.of(np.concatenate([a, b]), least), len(a)
+        facts = both.facts(np.arange(n), np.arange(n) + n)
+    whole_a, own, fewest_a, whole_b, other, fewest_b = facts
     equal = np.where(whole_a & whole_b, window_sums((a == b) & (a != 0), least), -1)
     start = equal.argmax(axis=1)
     most = equal[np.arange(len(a)), start]
     enough = int(np.ceil(2 * similarity / (1 + similarity) * least - 1e-9))
-    own, other = repeats(a), repeats(b)
     done = (most == least) | (most >= enough) & ~own & ~other
     left, right = np.where(done, start, -1), np.where(done, start, -1)
     rows = np.flatnonzero(~done & whole_a.any(axis=1) & whole_b.any(axis=1))
     if not len(rows):
         return left, right
-    u, v = a[rows].astype(np.uint64), b[rows].astype(np.uint64)
     row = np.arange(len(rows), dtype=np.uint64)[:, None] << np.uint64(32)
-    keys, wanted = np.sort((row | v).ravel()), (row | u).ravel()
-    shared = (keys[np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)] == wanted).reshape(u.shape) & (u != 0)
+    keys, wanted = np.sort(row | np.sort(b[rows], axis=1), axis=None, kind="stable"), (row | a[rows]).ravel()
+    shared = (keys[np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)] == wanted).reshape(len(rows), -1) & (a[rows] != 0)
     # a passage with repeated shingles has fewer of them to share
-    need = np.where(own[rows] | other[rows], 1, enough)
+    need = np.ceil(similarity / (1 + similarity) * (fewest_a + fewest_b)[rows] - 1e-9)
     rows = rows[(whole_a[rows] & (window_sums(shared, least) >= need[:, None])).any(axis=1)]
     plain = rows[~own[rows] & ~other[rows]]
     for k in range(0, len(plain), 256):
@@ -213,12 +211,14 @@ def _near_with_repeats(a: np.ndarray, b: np.ndarray, whole_a: np.ndarray, whole_
 
 @dataclass
 class Maps:
-    """Of rows of around(): bit maps of their shingles, how many shingles the maps don't show, and how many different
-    ones each passage has at least."""
+    """Of rows of around(): bit maps of their shingles, how many shingles the maps don't show, how many different ones each
+    passage has at least, which windows are whole, and which rows hold a shingle twice."""
 
     bits: np.ndarray
     lost: np.ndarray
     least: np.ndarray
+    whole: np.ndarray
+    twice: np.ndarray
 
     @classmethod
     def of(cls, parts: np.ndarray, least: int) -> Maps:
@@ -230,7 +230,15 @@ class Maps:
         ordered = np.sort(parts, axis=1)
         different = ((ordered[:, 1:] != ordered[:, :-1]) & (ordered[:, 1:] != 0)).sum(axis=1) + (ordered[:, 0] != 0)
         shown = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-        return cls(bits, different - shown, np.clip(least - ((parts != 0).sum(axis=1) - different), 1, least))
+        more = (parts != 0).sum(axis=1) - different
+        return cls(bits, different - shown, np.clip(least - more, 1, least), window_sums(parts != 0, least) == least, more > 0)
+
+    def part(self, rows: slice) -> Maps:
+        return Maps(self.bits[rows], self.lost[rows], self.least[rows], self.whole[rows], self.twice[rows])
+
+    def facts(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of rows to be compared: which windows are whole, whether a shingle is repeated, and the fewest different ones."""
+        return self.whole[i], self.twice[i], self.least[i], self.whole[j], self.twice[j], self.least[j]
 
     def may_link(self, common: np.ndarray, lost: np.ndarray, least: np.ndarray, similarity: float) -> np.ndarray:
         """Whether bits in common and those not shown can make up what near passages share at least."""
@@ -268,7 +276,7 @@ def resolve(parts: np.ndarray, root: np.ndarray, least: int, similarity: float,
             u, v = x[b : b + 2048], y[b : b + 2048]
             ok = root[u] != root[v]
             u, v = u[ok], v[ok]
-            left, right = near_passages(parts[u], parts[v], least, similarity)
+            left, right = near_passages(parts[u], parts[v], least, similarity, maps.facts(u, v))
             hit = left >= 0
             if hit.any():
                 out.append(np.stack([u[hit], v[hit], left[hit], right[hit]]))
@@ -283,7 +291,7 @@ def group_links(rows: pa.Table, least: int, similarity: float) -> pa.RecordBatch
     if again.any():  # rows of one doc_id and text
         rows = rows.filter(pa.array(~again))
         pair, place, d, ctx = pair[~again], place[~again], d[~again], ctx[~again]
-    matrix = np.frombuffer(b"".join(rows.column(4).to_pylist()), np.uint32).reshape(len(d), -1)
+    matrix = np.frombuffer(utf8(rows.column(4))[0].tobytes(), np.uint32).reshape(len(d), -1)
     cut = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (place[1:] != place[:-1]), [True]]))
     first, sizes = cut[:-1], np.diff(cut)
     maps = Maps.of(matrix, least)
@@ -292,7 +300,7 @@ def group_links(rows: pa.Table, least: int, similarity: float) -> pa.RecordBatch
     def meet(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ok = maps.pairs(i, j, similarity)
         i, j = i[ok], j[ok]
-        left, right = near_passages(matrix[i], matrix[j], least, similarity)
+        left, right = near_passages(matrix[i], matrix[j], least, similarity, maps.facts(i, j))
         hit = left >= 0
         found.append(np.stack([i, j, left, right])[:, hit])
         return i[hit], j[hit]
@@ -310,7 +318,7 @@ def group_links(rows: pa.Table, least: int, similarity: float) -> pa.RecordBatch
         meet(i[ok], j[ok])
     for g in np.flatnonzero((left > 0) & (sizes > _SMALL)):
         a, e = cut[g], cut[g + 1]
-        links = resolve(matrix[a:e], root[a:e] - a, least, similarity, Maps(maps.bits[a:e], maps.lost[a:e], maps.least[a:e]))
+        links = resolve(matrix[a:e], root[a:e] - a, least, similarity, maps.part(slice(a, e)))
         found.append(np.stack(links) + np.array([[a], [a], [0], [0]]))
     i, j, x, y = np.concatenate(found, axis=1)
     columns = [ctx[i], ctx[j], (least - 1 - x).astype(np.int32), (least - 1 - y).astype(np.int32), d[i], d[j]]
@@ -335,7 +343,9 @@ def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, simil
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     # a row's key: equal rows share it
     keyed = plain.withColumn("d", F.xxhash64("doc_id", "text"))
-    window_columns = "d long, sig long, place long, ctx long"
+    window_columns = "d long, sig long, place long, ctx long, salt int"
+    n_rows = keyed.count()
+    salts = max(2, n_rows // SALTED)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -352,19 +362,28 @@ def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, simil
                 # passages of least length don't reach further than that from c
                 place = pack_place(c, k, np.minimum(c - l, least - 1), np.minimum(r - c, least - 1), b - first[t] - c)
                 own = mix(sig.view(np.uint64) + k.astype(np.uint64)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(d[t + i]), pa.array(own), pa.array(place), pa.array(ctx.view(np.int64))], names=[x.split()[0] for x in window_columns.split(", ")])
-
+                salt = np.zeros(len(own), np.int32)
+                if len(frequent):
+                    salt = np.where(frequent[np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)] == own, 1 + d[t + i] % salts, 0).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(d[t + i]), pa.array(own), pa.array(place), pa.array(ctx.view(np.int64)), pa.array(salt)], names=[x.split()[0] for x in window_columns.split(", ")])
+
+    # a bounded sample says which signatures many documents have, so that their rows needn't meet in one task
+    frequent = np.zeros(0, np.int64)
+    shown = keyed.filter(F.pmod("d", F.lit(max(1, n_rows // SHOWN))) == 0).select("d", "text").mapInArrow(find, window_columns)
+    frequent = np.sort(np.array([r[0] for r in shown.select("sig", "d").distinct().groupBy("sig").agg(F.count("*").alias("n")).filter(F.col("n") >= FREQUENT).collect()], np.int64))
     # one exchange: a signature's first and last document come by window, and one document's own are dropped
-    same = Window.partitionBy("sig")
+    same = Window.partitionBy("sig", "salt")
     found = keyed.select("d", "text").mapInArrow(find, window_columns)
-    repeated = found.withColumn("a", F.min("d").over(same)).withColumn("b", F.max("d").over(same)).filter("a <> b").select(
+    repeated = found.withColumn("a", F.min("d").over(same)).withColumn("b", F.max("d").over(same)).filter("salt > 0 or a <> b").select(
         "d", F.col("sig").alias("pair"), F.shiftright("place", 32).cast("int").alias("c"), "ctx", (F.shiftright("place", 32) + F.col("place").bitwiseAND(255)).cast("int").alias("e")
     )
     met = materialize(repeated, "met")
+    tidy(docs.sparkSession)
     variants = met.groupBy("pair", "ctx").agg(F.min(F.struct("d", "c")).alias("rep"), F.max("d").alias("last"))
     same_set = F.struct(F.count("*").alias("kinds"), F.bit_xor(F.xxhash64("ctx")).alias("x"), F.bit_xor(F.xxhash64("ctx", F.lit(1))).alias("y"))
     groups = variants.groupBy("pair").agg(F.min(F.struct("rep", "ctx")).alias("lead"), same_set.alias("set"), F.max("last").alias("top")).filter("set.kinds > 1 or lead.rep.d <> top")
     live = materialize(variants.join(groups, "pair").select("pair", "ctx", "rep", "set"), "variants")
+    tidy(docs.sparkSession)
     # groups of the same contexts are compared once; a large one's contexts are dealt over blocks, of which each two meet
     once = live.filter("set.kinds > 1").groupBy("set").agg(F.min("pair").alias("pair"))
     half = F.when(F.col("set.kinds") <= MANY, 1).otherwise(F.ceil(F.col("set.kinds") / (MANY // 2))).cast("int")
@@ -374,26 +393,23 @@ def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, simil
     place = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
     wanted = members.select(F.col("rep.d").alias("d"), F.struct("ctx", F.col("rep.c").alias("c"), "pair", place.cast("int").alias("place")).alias("cut")).groupBy("d").agg(F.collect_list("cut").alias("cuts"))
     sources = keyed.select("d", "text").join(wanted, "d").select("text", "cuts", "d")
-    part_names = ["pair", "place", "d", "ctx", "part"]
-    part_types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+    width_ = 4 * (2 * least - 1)
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, at = utf8(batch.column(0))
-            lists, docs_ = batch.column(1), batch.column(2)
-            rows: list[tuple] = []
             for i, j in runs(at):
                 ids, first = shingle_ids(data[at[i] : at[j]], at[i : j + 1] - at[i], width)
-                for t in range(i, j):
-                    own = ids[first[t - i] : first[t - i + 1]]
-                    d = docs_[t].as_py()
-                    for cut in lists[t].as_py():
-                        rows.append((cut["pair"], cut["place"], d, cut["ctx"], around(own, cut["c"], least).tobytes()))
-                        if len(rows) > _FLUSH_ROWS:
-                            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), part_types, strict=True)], names=part_names)
-                            rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), part_types, strict=True)], names=part_names)
+                lists = batch.column(1).slice(i, j - i)
+                cuts = lists.flatten()
+                row = np.repeat(np.arange(j - i), lists.value_lengths().to_numpy())
+                c = cuts.field("c").to_numpy().astype(np.int64) + first[row]
+                for k in range(0, len(row), _FLUSH_ROWS):
+                    some = slice(k, k + _FLUSH_ROWS)
+                    matrix = around(ids, first[row[some]], c[some], first[row[some] + 1], least)
+                    part = pa.Array.from_buffers(pa.binary(), len(matrix), [None, pa.py_buffer(np.arange(len(matrix) + 1, dtype=np.int32) * width_), pa.py_buffer(matrix.tobytes())])
+                    own = cuts.slice(k, len(matrix))
+                    yield pa.RecordBatch.from_arrays([own.field("pair"), own.field("place"), batch.column(2).take(pa.array(row[some] + i)), own.field("ctx"), part], names=["pair", "place", "d", "ctx", "part"])
 
     parts = sources.mapInArrow(cut_out, "pair long, place int, d long, ctx long, part binary")
 
@@ -403,6 +419,7 @@ def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, simil
 
     near = parts.repartition("pair", "place").sortWithinPartitions("pair", "place", "d", "ctx").mapInArrow(verify, "x long, y long, shift int, yshift int, xd long, yd long")
     near = materialize(near.dropDuplicates(["x", "y"]), "near")
+    tidy(docs.sparkSession)
     # contexts that are in any link: those of several documents, and those verified
     shared = live.groupBy("ctx").agg(F.min("rep").alias("rep"))
     counted = met.groupBy("ctx").agg(F.min("d").alias("a"), F.max("d").alias("b")).filter("a <> b").select("ctx", F.lit(0).alias("shift"), F.lit(True).alias("whole"))

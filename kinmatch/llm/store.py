@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -40,8 +41,11 @@ def drop(df: DataFrame) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def tidy(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of jobs that are over: Spark deletes them once the driver has collected its garbage,
+    which it else puts off for as long as its memory lasts."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
