@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .graph import components
 from .groups import pairs_within, whole_groups
 from .simhash import spanning
-from .store import materialize, table, tidy
+from .store import drop, materialize, table, tidy
 from .text import Words, mix, ragged, runs, utf8
 
 WORDS = 50
@@ -35,6 +35,8 @@ _PAIRS, _SMALL = 50_000, 64
 #: Documents, about, that show which signatures are frequent: those that so many of them have. Their rows are dealt over
 #: salts, at most so many to each, about.
 SHOWN, FREQUENT, SALTED = 2000, 8, 50_000
+#: Parts in which groups are compared one after the other, so that the disk holds the contexts of one part at a time.
+PARTS = 3
 #: Bits of the maps by which contexts that share too little are told apart.
 MAP_BITS = 1024
 _SEEDS = np.random.default_rng(20240609).integers(1, 2**63, HASHES, dtype=np.uint64)
@@ -391,8 +393,8 @@ def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, simil
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     members = members.select("pair", "ctx", "rep", "block", "blocks", other.alias("other")).filter("blocks = 1 or other <> block")
     place = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
-    wanted = members.select(F.col("rep.d").alias("d"), F.struct("ctx", F.col("rep.c").alias("c"), "pair", place.cast("int").alias("place")).alias("cut")).groupBy("d").agg(F.collect_list("cut").alias("cuts"))
-    sources = keyed.select("d", "text").join(wanted, "d").select("text", "cuts", "d")
+    cuts = members.select(F.col("rep.d").alias("d"), F.struct("ctx", F.col("rep.c").alias("c"), "pair", place.cast("int").alias("place")).alias("cut"))
+    cuts = materialize(cuts, "cuts")
     width_ = 4 * (2 * least - 1)
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -411,15 +413,23 @@ def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, simil
                     own = cuts.slice(k, len(matrix))
                     yield pa.RecordBatch.from_arrays([own.field("pair"), own.field("place"), batch.column(2).take(pa.array(row[some] + i)), own.field("ctx"), part], names=["pair", "place", "d", "ctx", "part"])
 
-    parts = sources.mapInArrow(cut_out, "pair long, place int, d long, ctx long, part binary")
-
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, _ in whole_groups(batches, rows=_FLUSH_ROWS):
             yield group_links(rows, least, similarity)
 
-    near = parts.repartition("pair", "place").sortWithinPartitions("pair", "place", "d", "ctx").mapInArrow(verify, "x long, y long, shift int, yshift int, xd long, yd long")
+    near_parts = []
+    for k in range(PARTS):
+        wanted = cuts.filter(F.pmod("cut.pair", F.lit(PARTS)) == k).groupBy("d").agg(F.collect_list("cut").alias("cuts"))
+        sources = keyed.select("d", "text").join(wanted, "d").select("text", "cuts", "d")
+        parts = sources.mapInArrow(cut_out, "pair long, place int, d long, ctx long, part binary")
+        links = parts.repartition("pair", "place").sortWithinPartitions("pair", "place", "d", "ctx").mapInArrow(verify, "x long, y long, shift int, yshift int, xd long, yd long")
+        near_parts.append(materialize(links, "near"))
+        tidy(docs.sparkSession)
+    near = near_parts[0]
+    for part in near_parts[1:]:
+        near = near.unionByName(part)
     near = materialize(near.dropDuplicates(["x", "y"]), "near")
-    tidy(docs.sparkSession)
+    drop(cuts, *near_parts)
     # contexts that are in any link: those of several documents, and those verified
     shared = live.groupBy("ctx").agg(F.min("rep").alias("rep"))
     counted = met.groupBy("ctx").agg(F.min("d").alias("a"), F.max("d").alias("b")).filter("a <> b").select("ctx", F.lit(0).alias("shift"), F.lit(True).alias("whole"))
