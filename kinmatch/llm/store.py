@@ -2,50 +2,16 @@
 
 from __future__ import annotations
 
-import gc
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.staging import drop, shared_dir, staged, tidy
 
-def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a temporary folder only where it is unset, as in local tests."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if path:
-        return path.rstrip("/")
-    held = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if held.isDefined():
-        return held.get().rstrip("/")
-    path = "file://" + tempfile.mkdtemp(prefix="kinmatch-shared-")
-    spark.sparkContext.setCheckpointDir(path)
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+__all__ = ["drop", "materialize", "shared_dir", "table", "tidy"]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back: cuts the lineage, and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/kinmatch-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._kinmatch_path = path
-    return out
-
-
-def drop(df: DataFrame) -> None:
-    """Deletes a table of materialize() that no later job reads."""
-    spark, path = df.sparkSession, df._kinmatch_path
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
-def tidy(spark: SparkSession) -> None:
-    """Lets go of the shuffle files of jobs that are over: Spark deletes them once the driver has collected its garbage,
-    which it else puts off for as long as its memory lasts."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    return staged(df, name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
