@@ -36,9 +36,9 @@ _PAIRS, _SMALL = 50_000, 64
 #: salts, at most so many to each, about.
 SHOWN, FREQUENT, SALTED = 2000, 8, 50_000
 #: Parts in which groups are compared one after the other, so that the disk holds the contexts of one part at a time.
-PARTS = 3
+PARTS = 2
 #: Bits of the maps by which contexts that share too little are told apart.
-MAP_BITS = 1024
+MAP_BITS = 2048
 _SEEDS = np.random.default_rng(20240609).integers(1, 2**63, HASHES, dtype=np.uint64)
 _LAST = np.iinfo(np.uint64).max
 
@@ -159,7 +159,7 @@ def near_passages(a: np.ndarray, b: np.ndarray, least: int, similarity: float, f
     if facts is None:
         both, n = Maps.of(np.concatenate([a, b]), least), len(a)
         facts = both.facts(np.arange(n), np.arange(n) + n)
-    whole_a, own, fewest_a, whole_b, other, fewest_b = facts
+    whole_a, own, fewest_a, before_a, whole_b, other, fewest_b, before_b = facts
     equal = np.where(whole_a & whole_b, window_sums((a == b) & (a != 0), least), -1)
     start = equal.argmax(axis=1)
     most = equal[np.arange(len(a)), start]
@@ -186,21 +186,30 @@ def near_passages(a: np.ndarray, b: np.ndarray, least: int, similarity: float, f
     twice = rows[own[rows] | other[rows]]
     for k in range(0, len(twice), 128):
         part = twice[k : k + 128]
-        left[part], right[part] = _near_with_repeats(a[part], b[part], whole_a[part], whole_b[part], least, similarity)
+        left[part], right[part] = _near_with_repeats(a[part], b[part], whole_a[part], whole_b[part], before_a[part], before_b[part], least, similarity)
     return left, right
 
 
-def _first_in_window(x: np.ndarray, least: int) -> np.ndarray:
-    """Of each row and window (first axes) the places that lie in it and hold a shingle for the first time there."""
+def places_before(x: np.ndarray) -> np.ndarray:
+    """Of each place of a matrix of around() the last place before it that holds the same shingle, or -1."""
+    out = np.full(x.shape, -1, np.int8)
     place = np.arange(x.shape[1])
-    before = np.where((x[:, :, None] == x[:, None, :]) & (place[None, :] < place[:, None]), place + 1, 0).max(axis=2) - 1
-    start = np.arange(x.shape[1] - least + 1)[:, None]
-    return ((place >= start) & (place < start + least))[None] & (before[:, None, :] < start[None])
+    for k in range(0, len(x), 256):
+        part = x[k : k + 256]
+        out[k : k + 256] = np.where((part[:, :, None] == part[:, None, :]) & (place[None, :] < place[:, None]), place.astype(np.int8) + np.int8(1), np.int8(0)).max(axis=2) - 1
+    return out
+
+
+def first_in_window(before: np.ndarray, least: int) -> np.ndarray:
+    """Of each row and window (first axes) the places that lie in it and hold a shingle for the first time there."""
+    place = np.arange(before.shape[1])
+    start = np.arange(before.shape[1] - least + 1)[:, None]
+    return ((place >= start) & (place < start + least))[None] & (before[:, None, :] < start[None].astype(np.int8))
 
 
-def _near_with_repeats(a: np.ndarray, b: np.ndarray, whole_a: np.ndarray, whole_b: np.ndarray, least: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+def _near_with_repeats(a: np.ndarray, b: np.ndarray, whole_a: np.ndarray, whole_b: np.ndarray, before_a: np.ndarray, before_b: np.ndarray, least: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """near_passages() of rows that hold shingles twice: each counts once for a window."""
-    own, other = _first_in_window(a, least), _first_in_window(b, least)
+    own, other = first_in_window(before_a, least), first_in_window(before_b, least)
     inside = window_sums((a[:, :, None] == b[:, None, :]) & (a != 0)[:, :, None], least, 2) > 0
     common = np.matmul(own.astype(np.float32), inside.astype(np.float32))
     total = own.sum(axis=2)[:, :, None] + other.sum(axis=2)[:, None, :]
@@ -214,13 +223,14 @@ def _near_with_repeats(a: np.ndarray, b: np.ndarray, whole_a: np.ndarray, whole_
 @dataclass
 class Maps:
     """Of rows of around(): bit maps of their shingles, how many shingles the maps don't show, how many different ones each
-    passage has at least, which windows are whole, and which rows hold a shingle twice."""
+    passage has at least, which windows are whole, which rows hold a shingle twice, and where each was before."""
 
     bits: np.ndarray
     lost: np.ndarray
     least: np.ndarray
     whole: np.ndarray
     twice: np.ndarray
+    before: np.ndarray
 
     @classmethod
     def of(cls, parts: np.ndarray, least: int) -> Maps:
@@ -232,15 +242,22 @@ class Maps:
         ordered = np.sort(parts, axis=1)
         different = ((ordered[:, 1:] != ordered[:, :-1]) & (ordered[:, 1:] != 0)).sum(axis=1) + (ordered[:, 0] != 0)
         shown = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-        more = (parts != 0).sum(axis=1) - different
-        return cls(bits, different - shown, np.clip(least - more, 1, least), window_sums(parts != 0, least) == least, more > 0)
+        twice = (parts != 0).sum(axis=1) > different
+        whole = window_sums(parts != 0, least) == least
+        before, fewest = np.full(parts.shape, -1, np.int8), np.full(len(parts), least)
+        rows = np.flatnonzero(twice)
+        before[rows] = places_before(parts[rows])
+        for k in range(0, len(rows), 512):
+            some = rows[k : k + 512]
+            fewest[some] = np.where(whole[some], first_in_window(before[some], least).sum(axis=2), least).min(axis=1)
+        return cls(bits, different - shown, fewest, whole, twice, before)
 
     def part(self, rows: slice) -> Maps:
-        return Maps(self.bits[rows], self.lost[rows], self.least[rows], self.whole[rows], self.twice[rows])
+        return Maps(self.bits[rows], self.lost[rows], self.least[rows], self.whole[rows], self.twice[rows], self.before[rows])
 
     def facts(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Of rows to be compared: which windows are whole, whether a shingle is repeated, and the fewest different ones."""
-        return self.whole[i], self.twice[i], self.least[i], self.whole[j], self.twice[j], self.least[j]
+        """Of rows to be compared: which windows are whole, whether a shingle is repeated, the fewest different ones, and where each was before."""
+        return self.whole[i], self.twice[i], self.least[i], self.before[i], self.whole[j], self.twice[j], self.least[j], self.before[j]
 
     def may_link(self, common: np.ndarray, lost: np.ndarray, least: np.ndarray, similarity: float) -> np.ndarray:
         """Whether bits in common and those not shown can make up what near passages share at least."""
@@ -435,7 +452,10 @@ def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, simil
     counted = met.groupBy("ctx").agg(F.min("d").alias("a"), F.max("d").alias("b")).filter("a <> b").select("ctx", F.lit(0).alias("shift"), F.lit(True).alias("whole"))
     marks = counted.union(near.select("x", "shift", F.lit(False))).union(near.select("y", "yshift", F.lit(False)))
     marks = marks.groupBy("ctx").agg(F.max("whole").alias("whole"), F.min("shift").alias("low"), F.max("shift").alias("high"))
-    hits = materialize(met.select("d", "c", "ctx", "e").distinct().join(marks, "ctx").join(shared.select("ctx", "rep.d").withColumnRenamed("d", "rep"), "ctx"), "hits")
+    # written first, so that rows of a frequent context can be joined in several tasks
+    marks = materialize(marks.join(shared.select("ctx", F.col("rep.d").alias("rep")), "ctx"), "marks")
+    hits = materialize(met.select("d", "c", "ctx", "e").join(marks, "ctx"), "hits")
+    drop(met, live)
     edges = hits.select(F.col("d").alias("a"), F.col("rep").alias("b")).union(near.select("xd", "yd")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     edges = materialize(edges, "links")
     roots = components(edges)
