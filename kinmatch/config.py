@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 @dataclass(frozen=True)
 class Blocking:
     top_k: int = 40
+    #: Candidates of a query in training; None: as many as in matching.
+    train_top_k: int | None = None
     rrf_k: int = 60
     char_features: int = 40_000
     word_features: int = 35_000
@@ -34,9 +36,14 @@ class Training:
     hard_percentile: float = 0.90
     hard_factor: float = 2.5
     most_weight: float = 10.0
-    trees: int = 20
-    depth: int = 5
-    step: float = 0.1
+    trees: int = 800
+    patience: int = 40
+    leaves: int = 63
+    depth: int = 7
+    step: float = 0.05
+    least_rows: int = 20
+    #: Pairs that models are fitted on at most; all are scored.
+    sample_pairs: int = 400_000
     seed: int = 42
 
 
