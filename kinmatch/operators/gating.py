@@ -78,25 +78,35 @@ def grid(spark: SparkSession, delta: int = 11, top_k: int = 1_000_000) -> DataFr
 
 
 def trial_counts(scored: DataFrame, truth: DataFrame, entities: DataFrame, settings: DataFrame) -> DataFrame:
-    """(trial, source1_entity_id, n_true, n_pred, n_hit, any): what each setting would predict, in one pass.
+    """(trial, top_k, tau_s, tau_m, delta, source1_entity_id, n_true, n_pred, n_hit, n_any): what each setting would predict.
 
-    scored has fused_rank if settings limit top_k. Pairs are labelled once; a pair then meets every setting, and
-    aggregates before anything is shuffled by entity.
+    scored has fused_rank if settings limit top_k. Pairs are labelled and shuffled by entity once; an entity's best
+    score is the same for all settings of one top_k, and all settings are counted by one aggregate. settings is as
+    long as the search, and becomes part of the plan.
     """
     key = "source1_entity_id"
+    rows = settings.collect()
     labels = truth.select(key, F.col("matched_id").alias("candidate_entity_id")).distinct().withColumn("label", F.lit(1))
-    pairs = scored.join(labels, [key, "candidate_entity_id"], "left")
     rank = F.col("fused_rank") if "fused_rank" in scored.columns else F.lit(1)
-    used = pairs.withColumn("rank", rank).join(F.broadcast(settings), F.col("rank") <= F.col("top_k"))
-    # a query's best under top_k is that of a running maximum along the rank
-    best = F.max("predicted_prob").over(Window.partitionBy("trial", key))
+    within = Window.partitionBy(key)
+    pairs = scored.join(labels, [key, "candidate_entity_id"], "left").select(key, "predicted_prob", F.col("label").isNotNull().alias("hit"), rank.alias("rank"))
+    pairs = pairs.withColumns({f"best{k}": F.max(F.when(F.col("rank") <= k, F.col("predicted_prob"))).over(within) for k in sorted({r["top_k"] for r in rows})})
     p = F.col("predicted_prob")
-    percent = lambda c: F.col(c) / 100.0
-    ok = (F.col("best") >= percent("tau_s")) & (p >= percent("tau_m")) & (F.round(F.col("best") - p, 9) <= percent("delta"))
-    sums = used.withColumn("best", best).groupBy("trial", key).agg(F.count_if(ok).alias("n_pred"), F.count_if(ok & F.col("label").isNotNull()).alias("n_hit"), F.count("*").alias("n_any"))
+    counts = []
+    for r in rows:
+        best = F.col(f"best{r['top_k']}")
+        ok = (F.col("rank") <= r["top_k"]) & (best >= r["tau_s"] / 100.0) & (p >= r["tau_m"] / 100.0) & (F.round(best - p, 9) <= r["delta"] / 100.0)
+        counts += [F.count_if(ok).alias(f"p{r['trial']}"), F.count_if(ok & F.col("hit")).alias(f"h{r['trial']}")]
+    counts += [F.count_if(F.col("rank") <= k).alias(f"any{k}") for k in sorted({r["top_k"] for r in rows})]
+    sums = pairs.groupBy(key).agg(*counts)
     n_true = truth.select(key, "matched_id").distinct().groupBy(key).agg(F.count("*").alias("n_true"))
-    every = entities.select(key).distinct().join(n_true, key, "left").withColumn("n_true", F.coalesce("n_true", F.lit(0)))
-    return every.join(F.broadcast(settings)).join(sums, ["trial", key], "left").na.fill(0, ["n_pred", "n_hit", "n_any"])
+    every = entities.select(key).distinct().join(n_true, key, "left").join(sums, key, "left")
+    none = lambda c: F.coalesce(F.col(c), F.lit(0))
+    each = [
+        F.struct(*[F.lit(r[c]).alias(c) for c in ("trial", "top_k", "tau_s", "tau_m", "delta")], none(f"p{r['trial']}").alias("n_pred"), none(f"h{r['trial']}").alias("n_hit"), none(f"any{r['top_k']}").alias("n_any"))
+        for r in rows
+    ]
+    return every.select(key, none("n_true").alias("n_true"), F.explode(F.array(*each)).alias("x")).select("x.trial", "x.top_k", "x.tau_s", "x.tau_m", "x.delta", key, "n_true", "x.n_pred", "x.n_hit", "x.n_any")
 
 
 def trial_metrics(counts: DataFrame) -> DataFrame:

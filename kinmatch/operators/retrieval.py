@@ -8,11 +8,14 @@ others take the full join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import Blocking
-from ..sources.staging import staged
+from ..sources.staging import staged, version
 
 SCORE_DIGITS = 9
 
@@ -61,6 +64,44 @@ def char_index(targets: DataFrame, conf: Blocking) -> tuple[DataFrame, DataFrame
     return vocab, staged(weigh(counts, vocab))
 
 
+@dataclass
+class Index:
+    """What retrieval needs of the targets: sizes of countries, and vocabulary and postings of words and characters."""
+
+    sizes: DataFrame
+    words: tuple[DataFrame, DataFrame]
+    chars: tuple[DataFrame, DataFrame]
+
+    def save(self, folder: str) -> None:
+        """For later runs, parted by country so that queries read their own only."""
+        self.sizes.write.mode("overwrite").parquet(f"{folder}/sizes")
+        for channel, tables in (("words", self.words), ("chars", self.chars)):
+            for name, table in zip(("vocabulary", "postings"), tables, strict=True):
+                table.write.mode("overwrite").partitionBy("country").parquet(f"{folder}/{channel}/{name}")
+        self.sizes.sparkSession.createDataFrame([("done",)], "state string").coalesce(1).write.mode("overwrite").text(f"{folder}/done")
+
+    @staticmethod
+    def load(spark: SparkSession, folder: str) -> Index:
+        read = lambda path: spark.read.option("partitionColumnTypeInference.enabled", "false").parquet(f"{folder}/{path}")
+        kept = spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled")
+        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")  # countries are texts
+        try:
+            return Index(read("sizes"), (read("words/vocabulary"), read("words/postings")), (read("chars/vocabulary"), read("chars/postings")))
+        finally:
+            spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", kept)
+
+
+def build_index(targets: DataFrame, conf: Blocking) -> Index:
+    return Index(staged(targets.groupBy("country").agg(F.count("*").alias("n"))), word_index(targets, conf), char_index(targets, conf))
+
+
+def open_index(spark: SparkSession, folder: str, targets: DataFrame | Callable[[], DataFrame], conf: Blocking) -> Index:
+    """The index in folder; built and saved if there is none that was finished."""
+    if not version(spark, f"{folder}/done/_SUCCESS"):
+        build_index(targets() if callable(targets) else targets, conf).save(folder)
+    return Index.load(spark, folder)
+
+
 def query_postings(queries: DataFrame, terms: Column, vocab: DataFrame) -> DataFrame:
     """Postings of queries by the vocabulary of their target country (column `country`)."""
     return staged(weigh(term_counts(queries, terms), vocab))
@@ -119,12 +160,11 @@ def word_pool(queries: DataFrame, targets: DataFrame, vocab: DataFrame, sizes: D
     return finished.select(*pair, "score", "r").unionByName(again.select(*pair, "score", "r"))
 
 
-def lexical_candidates(queries: DataFrame, targets: DataFrame, conf: Blocking, mode: str = "pruned") -> DataFrame:
+def lexical_candidates(queries: DataFrame, targets: DataFrame | Index, conf: Blocking, mode: str = "pruned") -> DataFrame:
     """(country, source1_entity_id, candidate_entity_id, score, r): half word and half character similarity over each
     query's word pool; queries without word overlap go by characters alone. queries' country names the targets'."""
-    sizes = targets.groupBy("country").agg(F.count("*").alias("n"))
-    word_vocab, word_targets = word_index(targets, conf)
-    char_vocab, char_targets = char_index(targets, conf)
+    index = targets if isinstance(targets, Index) else build_index(targets, conf)
+    sizes, (word_vocab, word_targets), (char_vocab, char_targets) = index.sizes, index.words, index.chars
     text = F.col("clean_text")
     word_q, char_q = query_postings(queries, word_terms(text), word_vocab), query_postings(queries, char_terms(text), char_vocab)
     pool = staged(word_pool(word_q, word_targets, word_vocab, sizes, conf, mode))
@@ -144,10 +184,10 @@ def lexical_candidates(queries: DataFrame, targets: DataFrame, conf: Blocking, m
     return ranked.join(F.broadcast(limits), "country").filter("r <= most").drop("most")
 
 
-def in_target_countries(queries: DataFrame, targets: DataFrame) -> DataFrame:
+def in_target_countries(queries: DataFrame, targets: DataFrame | Index) -> DataFrame:
     """Queries of countries that have targets as they are; others once for each target country, which their `country`
     then names. `origin` keeps the query's own. The countries are few: one row each."""
-    countries = targets.select(F.col("country").alias("target")).distinct()
+    countries = (targets.sizes if isinstance(targets, Index) else targets).select(F.col("country").alias("target")).distinct()
     seen = queries.withColumn("origin", F.col("country")).join(countries, F.col("country") == F.col("target"), "left_semi")
     unseen = queries.withColumn("origin", F.col("country")).join(countries, F.col("country") == F.col("target"), "left_anti")
     every = countries.agg(F.collect_list("target").alias("all"))
@@ -174,12 +214,21 @@ def fuse(lexical: DataFrame, dense: DataFrame | None, conf: Blocking) -> DataFra
     )
 
 
-def retrieve(queries: DataFrame, targets: DataFrame, conf: Blocking, dense: DataFrame | None = None, mode: str = "pruned") -> DataFrame:
+def empty_records(records: DataFrame) -> DataFrame:
+    """Clean records without any word in name or address, which only their country could find."""
+    return records.filter((F.trim(F.coalesce("clean_name", F.lit(""))) == "") & (F.trim(F.coalesce("clean_address", F.lit(""))) == ""))
+
+
+def best_lexical(queries: DataFrame, targets: DataFrame | Index, conf: Blocking, mode: str = "pruned") -> DataFrame:
+    """lexical_candidates() of every query, its own country's or, where that has no targets, all countries'; ranked anew."""
+    found = lexical_candidates(in_target_countries(queries, targets), targets, conf, mode)
+    return top(found.drop("r"), 2 * conf.top_k, by=("source1_entity_id",))
+
+
+def retrieve(queries: DataFrame, targets: DataFrame | Index, conf: Blocking, dense: DataFrame | None = None, mode: str = "pruned") -> DataFrame:
     """Candidates of every query: by its own country's targets, or by all countries' where it has none. Ranks of the
     latter count over all countries."""
-    found = lexical_candidates(in_target_countries(queries, targets), targets, conf, mode)
-    again = top(found.drop("r"), 2 * conf.top_k, by=("source1_entity_id",))
-    return fuse(again, dense, conf)
+    return fuse(best_lexical(queries, targets, conf, mode), dense, conf)
 
 
 def dense_candidates(queries: DataFrame, targets: DataFrame, k: int) -> DataFrame:
@@ -191,13 +240,3 @@ def dense_candidates(queries: DataFrame, targets: DataFrame, k: int) -> DataFram
     dot = F.aggregate(F.zip_with("e_source1_entity_id", "e_candidate_entity_id", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
     scored = pairs.select("country", "source1_entity_id", "candidate_entity_id", F.round(dot, SCORE_DIGITS).alias("score")).filter("score > 0")
     return top(scored, k)
-
-
-def save_index(vocab: DataFrame, postings: DataFrame, folder: str) -> None:
-    """An index for later runs, parted by country so that queries read their own only."""
-    vocab.write.mode("overwrite").partitionBy("country").parquet(f"{folder}/vocabulary")
-    postings.write.mode("overwrite").partitionBy("country").parquet(f"{folder}/postings")
-
-
-def load_index(spark, folder: str) -> tuple[DataFrame, DataFrame]:
-    return tuple(spark.read.option("partitionColumnTypeInference.enabled", "false").parquet(f"{folder}/{name}") for name in ("vocabulary", "postings"))

@@ -46,8 +46,9 @@ def target_pool(targets: DataFrame, sampled: DataFrame, truth: DataFrame, share:
     return marked.filter("is_true").drop("_s").unionByName(others.drop("_s", "_r"))
 
 
-def uniform_sample(records: DataFrame, n: int = 5000, seed: int = 42) -> DataFrame:
-    return records.orderBy(seeded(seed=seed), "entity_id").limit(n)
+def uniform_sample(records: DataFrame, n: int = 5000, seed: int = 42, order: Column | None = None) -> DataFrame:
+    """n records, drawn by hash or by `order`."""
+    return records.orderBy(seeded(seed=seed) if order is None else order, "entity_id").limit(n)
 
 
 def null_profile(records: DataFrame) -> DataFrame:

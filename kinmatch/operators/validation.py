@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import numbered
+
 MATCHES = ["source1_entity_id", "matched_entity_ids"]
 CANDIDATES = ["source1_entity_id", "candidate_entity_ids"]
 EXAMPLES = 5
@@ -62,11 +64,15 @@ def not_candidates(matches: DataFrame, candidates: DataFrame) -> DataFrame:
     return ids(matches).join(ids(candidates), ["source1_entity_id", "id"], "left_anti")
 
 
+def _struct(at: Row) -> Column:
+    return F.struct(F.lit(at["file"]).alias("file"), F.lit(at["block"]).cast("long").alias("block"), F.lit(at["row"]).cast("long").alias("row"))
+
+
 def read_lists(spark: SparkSession, path: str, header: list[str], report: Report) -> DataFrame | None:
     """The rows of an id-list file, or None with an error if its form is wrong."""
     try:
-        lines = spark.read.text(path)
-        first = lines.first()
+        lines = numbered(spark.read.text(path))
+        first = lines.orderBy("_at").first()
     except Exception as e:
         report.errors.append(f"{path} can't be read: {str(e).splitlines()[0]}")
         return None
@@ -79,12 +85,16 @@ def read_lists(spark: SparkSession, path: str, header: list[str], report: Report
     if [x.strip().lower() for x in first[0].split("\t")] != header:
         report.errors.append(f"{path} has the header {first[0]!r}; expected {header}")
         return None
-    numbered = lines.filter(F.col("value") != first[0])
-    bad = numbered.filter((F.trim("value") != "") & ~F.contains("value", F.lit("\t"))).limit(EXAMPLES).collect()
+    # bytes that aren't UTF-8 are read as the replacement mark; ids have none
+    foreign = lines.filter(F.contains("value", F.lit("\ufffd"))).limit(EXAMPLES).collect()
+    if foreign:
+        report.errors.append(f"{path} isn't UTF-8 in lines such as {[r['value'][:80] for r in foreign]}")
+    rest = lines.filter(~F.col("_at").eqNullSafe(_struct(first["_at"])))
+    bad = rest.filter((F.trim("value") != "") & ~F.contains("value", F.lit("\t"))).limit(EXAMPLES).collect()
     if bad:
         report.errors.append(f"{path} has rows without a tab: {[r[0] for r in bad]}")
     parts = F.split("value", "\t", 2)
-    return numbered.filter(F.contains("value", F.lit("\t"))).select(F.trim(F.get(parts, F.lit(0))).alias("source1_entity_id"), F.trim(F.get(parts, F.lit(1))).alias("ids"))
+    return rest.filter(F.contains("value", F.lit("\t"))).select(F.trim(F.get(parts, F.lit(0))).alias("source1_entity_id"), F.trim(F.get(parts, F.lit(1))).alias("ids"))
 
 
 def validate(spark: SparkSession, matches_path: str, required: DataFrame, candidates_path: str | None = None, valid: DataFrame | None = None) -> Report:

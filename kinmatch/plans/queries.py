@@ -14,7 +14,8 @@ from ..config import Blocking, Gate, Training
 from ..functions import normalize as N
 from ..operators import features, gating, model, retrieval, sampling, validation
 from ..sources import tables as T
-from ..sources.staging import once, staged
+from ..sources.staging import once, staged, version
+from . import pipeline, search
 from .oracle import sql, trials
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +41,10 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _version(spark: SparkSession, sf_dir: str) -> tuple:
+    return version(spark, f"{sf_dir}/documents.parquet")
+
+
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.documents_as_records(_read(spark, sf_dir, "documents"))
 
@@ -50,7 +55,7 @@ def _sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     def make() -> tuple[DataFrame, ...]:
         return tuple(staged(N.normalize(x)) for x in T.split_sources(_records(spark, sf_dir)))
 
-    return once(spark, ("sources", sf_dir), make)
+    return once(spark, ("sources", *_version(spark, sf_dir)), make)
 
 
 def _truth(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,24 +66,22 @@ def _entities(s1: DataFrame) -> DataFrame:
     return s1.select(F.col("entity_id").alias("source1_entity_id"))
 
 
-def _candidates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Sources and candidates, retrieved once for a session, as runs of the plan share an index."""
+def _lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lexical channel, retrieved once for a session, as runs of the plan share an index."""
     s1, targets = _sources(spark, sf_dir)
-    return s1, targets, once(spark, ("candidates", sf_dir), lambda: staged(retrieval.retrieve(s1, targets, CONF)))
+    return once(spark, ("lexical", *_version(spark, sf_dir)), lambda: staged(retrieval.best_lexical(s1, targets, CONF)))
 
 
-def _scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Candidates with their similarity as the score: a stand-in for a model's that SQL can follow."""
-    s1, targets = _sources(spark, sf_dir)
+def _candidates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return *_sources(spark, sf_dir), once(spark, ("candidates", *_version(spark, sf_dir)), lambda: staged(retrieval.fuse(_lexical(spark, sf_dir), None, CONF)))
 
-    def make() -> DataFrame:
-        found = retrieval.lexical_candidates(retrieval.in_target_countries(s1, targets), targets, CONF)
-        found = staged(retrieval.top(found.drop("r"), 2 * CONF.top_k, by=("source1_entity_id",)))
-        scores = found.select("source1_entity_id", "candidate_entity_id", F.col("score").alias("predicted_prob"))
-        fused = retrieval.fuse(found, None, CONF).select("source1_entity_id", "candidate_entity_id", "fused_rank")
-        return staged(scores.join(fused, ["source1_entity_id", "candidate_entity_id"]))
 
-    return s1, once(spark, ("scored", sf_dir), make)
+def _scored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Candidates with their similarity as the score: a stand-in for a model's that SQL can follow."""
+    s1, _, found = _candidates(spark, sf_dir)
+    scores = _lexical(spark, sf_dir).select("source1_entity_id", "candidate_entity_id", F.col("score").alias("predicted_prob"))
+    fused = found.select("source1_entity_id", "candidate_entity_id", "fused_rank")
+    return s1, once(spark, ("scored", *_version(spark, sf_dir)), lambda: staged(scores.join(fused, ["source1_entity_id", "candidate_entity_id"])))
 
 
 @query(sql("SELECT entity_id, clean_name, legal_suffix FROM norm"))
@@ -128,9 +131,11 @@ def hybrid_candidates(spark, sf_dir):
     return found.select("source1_entity_id", "candidate_entity_id", F.col("r").cast("int").alias("rank"), F.round("score", 4).alias("score"))
 
 
-@query(sql("SELECT source1_entity_id, candidate_entity_id, lexical_rank::INTEGER AS lexical_rank, round(rrf, 6) AS rrf_score FROM fused WHERE source1_entity_id IN (SELECT entity_id FROM s1 WHERE country NOT IN (SELECT country FROM sizes))"))
+@query(sql("SELECT source1_entity_id, candidate_entity_id, lexical_rank::INTEGER AS lexical_rank, round(rrf, 6) AS rrf_score FROM fused WHERE source1_entity_id IN (SELECT entity_id FROM s1 WHERE country NOT IN (SELECT country FROM sizes))", without="SPAIN"))
 def unseen_country_candidates(spark, sf_dir):
+    """Records of Spain against all targets of other countries."""
     s1, targets = _sources(spark, sf_dir)
+    targets = targets.filter("country <> 'SPAIN'")
     unseen = s1.join(targets.select("country").distinct(), "country", "left_anti")
     return retrieval.retrieve(unseen, targets, CONF).select("source1_entity_id", "candidate_entity_id", "lexical_rank", F.round(F.col("rrf_score").cast("double"), 6).alias("rrf_score"))
 
@@ -233,7 +238,7 @@ def jaro_winkler_features(spark, sf_dir):
 @query()
 def ratio_features(spark, sf_dir):
     s1, targets, found = _candidates(spark, sf_dir)
-    names = [n for udfs in features.UDFS.values() for n in udfs if "jaro" not in n]
+    names = [n for names in features.SIMILARITIES.values() for n in names if "jaro" not in n]
     pairs = features.text_features(features.with_attributes(found, s1, targets), set(names))
     return pairs.select("source1_entity_id", "candidate_entity_id", *[F.round(c, 4).alias(c) for c in names])
 
@@ -294,6 +299,29 @@ def trial_metrics(spark, sf_dir):
     return _metrics(spark, sf_dir, gating.trials(spark, TRIALS))
 
 
+@query(
+    sql(
+        """SELECT s1.entity_id AS source1_entity_id, coalesce(string_agg(candidate_entity_id, ',' ORDER BY sim DESC, candidate_entity_id) FILTER (best >= tau_s / 100.0 AND sim >= tau_m / 100.0 AND best - sim <= 0.11), '') AS matched_entity_ids
+FROM s1 LEFT JOIN best ON source1_entity_id = s1.entity_id CROSS JOIN (SELECT tau_s, tau_m FROM metrics ORDER BY macro_f05 DESC, tau_s, tau_m LIMIT 1) GROUP BY s1.entity_id""",
+        trials(_GRID),
+    )
+)
+def tuned_matching_results(spark, sf_dir):
+    """Lists by the gate that the plan tunes on the scores."""
+    s1, scored = _scored(spark, sf_dir)
+    gate, _ = pipeline.tuned_gate(scored, _truth(spark, sf_dir), s1)
+    return gating.matching_results(scored, s1, gate)
+
+
+_SEARCHED = [(t.top_k, t.tau_s, t.tau_m, t.delta) for t in search.draw_trials(20)]
+
+
+@query(sql("SELECT * FROM metrics", trials(_SEARCHED)))
+def searched_trials(spark, sf_dir):
+    """Metrics of all settings that a search of 20 trials draws."""
+    return _metrics(spark, sf_dir, gating.trials(spark, _SEARCHED))
+
+
 _WEIGHTS = """SELECT source1_entity_id, candidate_entity_id, CASE WHEN label = 0 AND sim > (SELECT quantile_cont(sim, 0.9) FROM labelled WHERE label = 0) THEN 2.5 ELSE 1.0 END::DOUBLE AS weight FROM labelled"""
 
 
@@ -316,7 +344,7 @@ def candidate_pairs(spark, sf_dir):
     return gating.candidate_lists(found, s1)
 
 
-_QUOTAS = {("US", True): 60, ("US", False): 6, ("INDIA", True): 14, ("INDIA", False): 2}
+_QUOTAS = sampling.QUOTAS
 _STRATA = f"""
 strata AS (SELECT s1.entity_id, s1.country, s1.entity_id NOT IN (SELECT source1_entity_id FROM truth) AS singleton, md5('42' || s1.entity_id) AS o FROM s1),
 quotas(country, singleton, quota) AS (VALUES {", ".join(f"('{c}', {str(s).lower()}, {n})" for (c, s), n in _QUOTAS.items())}),
@@ -365,10 +393,18 @@ def truth_countries(spark, sf_dir):
     return _truth(spark, sf_dir).join(a, "source1_entity_id").join(b, "matched_id").groupBy("country_s1", "country_cand").agg(F.count("*").alias("n"))
 
 
-@query(sql("SELECT source1_entity_id, matched_id FROM truth JOIN norm a ON a.entity_id = source1_entity_id JOIN norm b ON b.entity_id = matched_id WHERE a.country <> b.country"))
+_CLAIMS = """
+claims AS (SELECT * FROM truth UNION ALL SELECT 'S1-' || doc_id, 'S2-' || (doc_id + 1) FROM records WHERE doc_id % 3 = 0),
+"""
+
+
+@query(sql("SELECT source1_entity_id, matched_id FROM claims JOIN norm a ON a.entity_id = source1_entity_id JOIN norm b ON b.entity_id = matched_id WHERE a.country <> b.country", _CLAIMS))
 def cross_country_matches(spark, sf_dir):
+    """Of the truth, and of claims that each S1 record matches its neighbour, those between countries."""
     s1, targets = _sources(spark, sf_dir)
-    return sampling.cross_country(s1, targets, _truth(spark, sf_dir)).select("source1_entity_id", "matched_id")
+    number = F.split("entity_id", "-")[1].cast("long")
+    neighbours = s1.select(F.col("entity_id").alias("source1_entity_id"), F.concat(F.lit("S2-"), (number + 1).cast("string")).alias("matched_id"))
+    return sampling.cross_country(s1, targets, _truth(spark, sf_dir).unionByName(neighbours)).select("source1_entity_id", "matched_id")
 
 
 _FAULTY = """
@@ -421,4 +457,33 @@ def cascade_blend(spark, sf_dir):
 def gbdt_oof_scores(spark, sf_dir):
     s1, targets, found = _candidates(spark, sf_dir)
     pairs = model.label_pairs(features.pair_features(found, s1, targets), _truth(spark, sf_dir))
-    return model.train(pairs, Training(trees=10))[1].select("source1_entity_id", "candidate_entity_id", "fold", "label", "weight", "score")
+    return model.train(pairs, Training())[1].select("source1_entity_id", "candidate_entity_id", "fold", "label", "weight", "score")
+
+
+@query(sql("SELECT count(*) AS n_pairs, coalesce(sum(label), 0)::BIGINT AS n_positive, (count(*) - coalesce(sum(label), 0))::BIGINT AS n_negative, count(DISTINCT source1_entity_id) AS n_groups FROM labelled"))
+def label_counts(spark, sf_dir):
+    _, _, found = _candidates(spark, sf_dir)
+    return model.label_counts(model.label_pairs(found, _truth(spark, sf_dir)))
+
+
+@query(sql("SELECT entity_id FROM norm WHERE trim(clean_name) = '' AND trim(clean_address) = '' UNION ALL SELECT 'planted'"))
+def empty_records(spark, sf_dir):
+    """Records without words; one is planted."""
+    s1, targets = _sources(spark, sf_dir)
+    columns = ["entity_id", "clean_name", "clean_address"]
+    planted = spark.createDataFrame([("planted", " ", "")], "entity_id string, clean_name string, clean_address string")
+    return retrieval.empty_records(s1.select(*columns).unionByName(targets.select(*columns)).unionByName(planted)).select("entity_id")
+
+
+@query(sql("SELECT g.source1_entity_id, g.candidate_entity_id, sha256(a.clean_text) AS text_s1, sha256(b.clean_text) AS text_cand FROM gated g JOIN norm a ON a.entity_id = g.source1_entity_id JOIN norm b ON b.entity_id = g.candidate_entity_id"))
+def texts_of_matches(spark, sf_dir):
+    """The texts that a second scorer would compare, as hashes."""
+    s1, scored = _scored(spark, sf_dir)
+    pairs = model.with_texts(gating.accepted(scored, GATE), s1, _sources(spark, sf_dir)[1])
+    return pairs.select("source1_entity_id", "candidate_entity_id", F.sha2("text_s1", 256).alias("text_s1"), F.sha2("text_cand", 256).alias("text_cand"))
+
+
+@query(sql("SELECT entity_id FROM s1 ORDER BY md5('42' || entity_id), entity_id LIMIT 200"))
+def uniform_sample(spark, sf_dir):
+    s1, _ = _sources(spark, sf_dir)
+    return sampling.uniform_sample(s1, 200, order=_md5("42")).select("entity_id")

@@ -9,19 +9,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import Blocking
 from ..functions.normalize import normalize
-from ..operators.retrieval import retrieve
+from ..operators.retrieval import Index, build_index, retrieve
 from ..sources.staging import staged
 from ..sources.tables import RECORD
 
 
-def stream_candidates(spark: SparkSession, folder: str, targets: DataFrame, out: str, checkpoint: str, conf: Blocking | None = None, then: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+def stream_candidates(spark: SparkSession, folder: str, targets: DataFrame | Index, out: str, checkpoint: str, conf: Blocking | None = None, then: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Candidates of each new tab-separated S1 file in `folder`, written under out/batch=<number>.
 
-    targets are clean records. A batch that is run again after a failure overwrites its own folder, so each record's
+    targets are clean records, indexed once, or an index of them. A batch that is run again after a failure overwrites its own folder, so each record's
     candidates stand once. then: what else to do with a batch's candidates, such as scoring and gating them.
     """
     conf = conf or Blocking()
-    kept = staged(targets)
+    kept = targets if isinstance(targets, Index) else build_index(targets, conf)
 
     def match(batch: DataFrame, number: int) -> None:
         found = retrieve(staged(normalize(batch)), kept, conf)

@@ -2,6 +2,7 @@ import subprocess
 import sys
 from pathlib import Path
 
+import numpy as np
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from kinmatch.config import Blocking, Gate, Training
 from kinmatch.functions import normalize as N
 from kinmatch.functions import strings as S
-from kinmatch.operators import features, gating, model, retrieval, sampling, validation
+from kinmatch.operators import boosting, features, gating, model, retrieval, sampling, validation
 from kinmatch.sources import tables as T
 
 RECORD = "entity_id string, business_name string, business_address string, country string"
@@ -132,6 +133,39 @@ def test_similarities(a, b):
         assert S.partial_ratio(a, b) == 1
 
 
+def slow_jaro(a, b):
+    reach = max(max(len(a), len(b)) // 2 - 1, 0)
+    used, hits = [False] * len(b), []
+    for i, c in enumerate(a):
+        for j in range(max(0, i - reach), min(len(b), i + reach + 1)):
+            if not used[j] and b[j] == c:
+                used[j] = True
+                hits.append(c)
+                break
+    m, other = len(hits), [c for c, u in zip(b, used, strict=True) if u]
+    return (m / len(a) + m / len(b) + (m - sum(x != y for x, y in zip(hits, other, strict=True)) // 2) / m) / 3 if m else 0.0
+
+
+@given(st.text("abc ", min_size=1, max_size=30), st.text("abc ", min_size=1, max_size=30))
+def test_jaro(a, b):
+    want = slow_jaro(a, b)
+    if want > 0.7:
+        prefix = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+        want += 0.1 * min(prefix, 4) * (1 - want)
+    assert S.jaro_winkler(a, b) == pytest.approx(want)
+
+
+@given(st.lists(st.tuples(st.text("abcé ", max_size=14), st.text("abcé ", max_size=90)), max_size=8))
+def test_batches_of_similarities(rows):
+    rows += [("ab c" * 20, "b ca" * 30), ("a" * 64, "a" * 70), ("", ""), ("x", "")]
+    a, b = [x for x, _ in rows], [y for _, y in rows]
+    plain = {"lev_ratio": S.ratio, "partial_ratio": S.partial_ratio, "token_sort": S.token_sort_ratio, "token_set": S.token_set_ratio, "wratio": S.weighted_ratio, "jaro_winkler": S.jaro_winkler}
+    for x, y in ((a, b), (b, a)):
+        got = S.similarities(x, y, list(plain))
+        for name, f in plain.items():
+            assert got[name].tolist() == pytest.approx([f(u, v) for u, v in zip(x, y, strict=True)], abs=1e-12), name
+
+
 def pairs(spark, *rows):
     return spark.createDataFrame(list(rows), "source1_entity_id string, candidate_entity_id string, predicted_prob double")
 
@@ -170,17 +204,57 @@ def test_hard_negatives(spark):
 
 def test_model_round_trip(spark, tmp_path):
     rows = spark.createDataFrame([(f"S1-{k}", f"S2-{j}", int(k % 5 == j), float(k % 5 == j) * 0.8 + 0.01 * j) for k in range(30) for j in range(5)], "source1_entity_id string, candidate_entity_id string, label int, x double")
-    models, scored = model.train(rows, Training(trees=2, depth=2, folds=2), ["x"])
+    models, scored = model.train(rows, Training(trees=30, depth=2, folds=2, least_rows=2, step=0.3), ["x"])
     assert scored.count() == 150 and scored.groupBy("source1_entity_id").agg(F.countDistinct("fold").alias("n")).filter("n > 1").count() == 0
     model.save(models, str(tmp_path / "m"), ["x"])
     loaded, names = model.load(spark, str(tmp_path / "m"))
     assert names == ["x"]
-    a, b = (sorted((r.source1_entity_id, r.candidate_entity_id, round(r.predicted_prob, 9)) for r in model.predict(m, rows).collect()) for m in (models, loaded))
+    a, b = (sorted((r.source1_entity_id, r.candidate_entity_id, round(r.predicted_prob, 9)) for r in model.predict(m, rows, ["x"]).collect()) for m in (models, loaded))
     assert a == b
     good = [p for s, c, p in a if int(s[3:]) % 5 == int(c[3:])]
     assert min(good) > max(p for s, c, p in a if int(s[3:]) % 5 != int(c[3:]))
 
 
+def test_boosting_learns_and_stops():
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((4000, 6))
+    y = ((x[:, 0] > 0.3) & (x[:, 1] * x[:, 2] > 0) ^ (rng.random(4000) < 0.02)).astype(float)
+    entity = np.arange(4000) // 10
+    split = 3000
+    model = boosting.fit(x[:split], y[:split], np.ones(split), x[split:], y[split:], entity[split:] - entity[split], 300, 20, boosting.Growth(), 7)
+    p = model.probabilities(x[split:])
+    assert ((p >= 0.5) == (y[split:] == 1)).mean() > 0.94 and 5 < len(model.trees) < 300
+    again = boosting.Booster.load(model.dump())
+    assert (again.probabilities(x) == model.probabilities(x)).all()
+    for tree in model.trees:
+        assert (tree.feature < 0).sum() <= 63 and len(tree.value) == 2 * (tree.feature < 0).sum() - 1
+    # the prefix that was kept is the best of all tried
+    raw = np.full(1000, model.start)
+    scores = []
+    for tree in model.trees:
+        raw += tree.predict(model.codes(x[split:]))
+        scores.append(boosting.macro_f05(entity[split:] - entity[split], y[split:], (raw >= 0).astype(float)))
+    assert max(scores) == scores[-1]
+    one = boosting.fit(x[:50], np.zeros(50), np.ones(50), x[:5], np.zeros(5), np.zeros(5, int), 5, 2, boosting.Growth(), 1)
+    assert not one.trees and (one.probabilities(x[:3]) < 0.05).all()
+
+
+def test_macro_f05_of_arrays():
+    entity = np.array([0, 0, 0, 2, 3, 4, 4])
+    label, said = np.array([1, 1, 0, 0, 1, 1, 0.0]), np.array([1, 1, 1, 1, 0, 0, 1.0])
+    assert boosting.macro_f05(entity, label, said) == pytest.approx((0.714286 + 1 + 0 + 0 + 0) / 5, abs=1e-6)
+
+
+@pytest.mark.parametrize("few", [10, 100_000])
+def test_exact_percentile(spark, few, monkeypatch):
+    monkeypatch.setattr(model, "FEW", few)
+    rng = np.random.default_rng(2)
+    for values in (rng.random(3000), np.round(rng.random(3000), 1), np.array([1.0, 2, 3, 4]), np.array([5.0])):
+        rows = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(3)
+        assert model.exact_percentile(rows, "v", 0.9) == pytest.approx(np.percentile(values, 90))
+    assert model.exact_percentile(rows.limit(0), "v", 0.9) is None
+
+
 def test_cascade(spark):
     got = [r[0] for r in model.cascade(pairs(spark, ("a", "b", 0.38), ("a", "c", 0.73)), F.lit(0.0)).select("predicted_prob").collect()]
     assert got == pytest.approx([0.44, 0.73])
