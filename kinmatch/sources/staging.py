@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import tempfile
 import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -52,7 +54,11 @@ def drop(*tables: DataFrame) -> None:
 
 def tidy(spark: SparkSession) -> None:
     """Lets go of the shuffle files of jobs that are over: Spark deletes them once the driver has collected its garbage,
-    which it else puts off for as long as its memory lasts."""
+    which it else puts off for as long as its memory lasts. The scheduler and listeners name a job until they have seen
+    another, so a job of nothing is run and waited for first."""
+    spark.range(0, 1, 1, 1).collect()
+    with contextlib.suppress(Py4JJavaError):  # a busy listener: the files go later
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
