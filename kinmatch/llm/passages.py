@@ -412,6 +412,7 @@ def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, simil
     place = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
     cuts = members.select(F.col("rep.d").alias("d"), F.struct("ctx", F.col("rep.c").alias("c"), "pair", place.cast("int").alias("place")).alias("cut"))
     cuts = materialize(cuts, "cuts")
+    tidy(docs.sparkSession)
     width_ = 4 * (2 * least - 1)
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -454,8 +455,10 @@ def link_passages(docs: DataFrame, words: int = WORDS, width: int = WIDTH, simil
     marks = marks.groupBy("ctx").agg(F.max("whole").alias("whole"), F.min("shift").alias("low"), F.max("shift").alias("high"))
     # written first, so that rows of a frequent context can be joined in several tasks
     marks = materialize(marks.join(shared.select("ctx", F.col("rep.d").alias("rep")), "ctx"), "marks")
+    tidy(docs.sparkSession)
     hits = materialize(met.select("d", "c", "ctx", "e").join(marks, "ctx"), "hits")
-    drop(met, live)
+    drop(met, live, marks)
+    tidy(docs.sparkSession)
     edges = hits.select(F.col("d").alias("a"), F.col("rep").alias("b")).union(near.select("xd", "yd")).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     edges = materialize(edges, "links")
     roots = components(edges)
