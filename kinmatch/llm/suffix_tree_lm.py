@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .store import drop, materialize, table
+from .store import drop, materialize, table, tidy
 from .text import Words, ragged, runs, utf8
 
 #: Occurrences that a word and an entry need, and that a context of several words needs.
@@ -271,8 +271,8 @@ def train_and_score(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, blo
     symbols = materialize(numbered(counts.filter(F.col("c") >= least), "word", "id", START + 1), "symbols")
     named = counts.filter(F.col("c") < least).withColumn("id", F.lit(RARE).cast("long")).unionByName(symbols)
     answers = materialize(words.join(named, "word").select("block", "word", "c", F.col("id").cast("int").alias("id")), "answers")
-    drop(asked)
-    drop(counts)
+    drop(asked, counts)
+    tidy(spark)
 
     def encode(texts: pa.Table, answers: pa.Table) -> pa.Table:
         model = root.value
@@ -300,7 +300,7 @@ def train_and_score(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, blo
 
     encoded = materialize(blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(encode, ENCODED), "encoded")
     drop(answers)
-    levels: list[DataFrame] = []
+    tidy(spark)
     small = True  # every level so far is broadcast
     shared: list = []
     states = encoded  # with context and delta once a level isn't
@@ -326,7 +326,7 @@ def train_and_score(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, blo
         freed = F.greatest(1 - F.sum(smooth), F.lit(1e-12)) / F.greatest(1 - F.sum("parent"), F.lit(1e-12))
         weights = entries.groupBy("s").agg(F.log10(freed).alias("value")).select(key_of(F.col("s")).alias("key"), "value", F.lit(0).cast("long").alias("next"))
         facts = materialize(entries.select("key", F.log10(smooth / F.col("p0")).alias("value"), F.when(F.col("n") >= DEEP, F.col("id")).otherwise(0).alias("next")).unionByName(weights), "level")
-        levels.append(facts)
+        tidy(spark)
         small = small and facts.count() <= broadcast_rows and totals_n <= 2 * broadcast_rows
         if small:
             shared.append(spark.sparkContext.broadcast(Level.of(facts.toArrow())))
