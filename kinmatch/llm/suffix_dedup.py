@@ -2,7 +2,8 @@
 
 Each start of a LENGTH-byte string belongs to the least hash of the short windows inside the string (its anchor),
 so that equal strings have equal anchors. Occurrences of an anchor are gathered by hash; equal contexts of an
-anchor are sorted once, with their multiplicity. Anchors that occur once have no repeats and go no further.
+anchor are sorted once, with their multiplicity. Anchors that occur once have no repeats and go no further, and the
+strings of an anchor with very many contexts are counted by 128-bit hashes, which no single place need hold.
 """
 
 from __future__ import annotations
@@ -14,8 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from xxhash import xxh3_128_digest
 
-from .store import drop, materialize, table
+from .store import drop, materialize, table, tidy
 from .text import _power_tables, mix, ragged, runs, utf8
 
 LENGTH = 400
@@ -24,10 +26,8 @@ GRAM = 32
 CHUNK = 1 << 20
 #: Contexts sorted together, in bytes.
 UNIT = 1 << 18
-#: An anchor with more contexts than this is dealt out again by what lies around it.
+#: An anchor with more contexts than this isn't sorted in one place: its strings are dealt out one by one, by hash.
 MANY = 2_000
-#: Ways of dealing starts of a busy anchor out.
-CORES = 8
 _BYTES = np.random.default_rng(20240608).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -227,11 +227,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     groups = contexts.groupBy("g").agg(F.sum("n").alias("n_all"), F.count("*").alias("kinds")).filter("n_all > 1")
     repeated = materialize(contexts.join(groups, "g").select("g", "c", "n", "kinds", "at.*"), "repeated")
     drop(contexts)
+    tidy(docs.sparkSession)
     # a group of equal contexts has one string for each start, of that multiplicity: nothing to sort
     alone = repeated.filter("kinds = 1").select("g", "c", F.lit(0).alias("from"), (F.col("b") - F.col("a") + length).cast("int").alias("to"))
 
-    wanted = repeated.filter("kinds > 1").groupBy("doc_id", "th").agg(F.collect_list(F.struct("g", "c", "n", "kinds", "p", "a", "b")).alias("cuts"))
-    one_each = keyed.join(wanted, keyed.doc_id.eqNullSafe(wanted.doc_id) & (keyed.th == wanted.th)).select("text", "cuts")
+    def with_texts(contexts: DataFrame) -> DataFrame:
+        wanted = contexts.groupBy("doc_id", "th").agg(F.collect_list(F.struct("g", "c", "n", "p", "a", "b")).alias("cuts"))
+        return keyed.join(wanted, keyed.doc_id.eqNullSafe(wanted.doc_id) & (keyed.th == wanted.th)).select("text", "cuts")
 
     def slice_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["u", "g", "c", "n", "skip", "part"]
@@ -241,20 +243,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             cut_lists = batch.column(1)
             for k, value in enumerate(batch.column(0)):
                 data = value.as_buffer().to_pybytes()
-                sums = None
                 for cut in cut_lists[k].as_py():
-                    p, a, b = cut["p"], cut["a"], cut["b"]
-                    if cut["kinds"] <= MANY:
-                        rows.append((cut["g"], cut["g"], cut["c"], cut["n"], 0, data[a : b + length]))
-                    else:
-                        # starts are dealt by their distance from the anchor, then by the bytes that all of them share
-                        width = -(-(length - GRAM + 1) // CORES)
-                        for core in range(CORES):
-                            near, far = max(a, p - (core + 1) * width + 1), min(b, p - core * width)
-                            if near <= far:
-                                shared = data[p - core * width : p - (core + 1) * width + 1 + length]
-                                u = int.from_bytes(hashlib.blake2b(shared, digest_size=8, key=b"%d" % core).digest(), "little", signed=True)
-                                rows.append((u, cut["g"], cut["c"], cut["n"], near - a, data[near : far + length]))
+                    rows.append((cut["g"], cut["g"], cut["c"], cut["n"], 0, data[cut["a"] : cut["b"] + length]))
                     size += len(rows[-1][-1])
                     if size > 8 << 20:
                         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), _PARTS, strict=True)], names=names)
@@ -262,7 +252,31 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), _PARTS, strict=True)], names=names)
 
-    parts = one_each.mapInArrow(slice_out, "u long, g long, c long, n long, skip int, part binary")
+    def strings_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for k, value in enumerate(batch.column(0)):
+                data = memoryview(value.as_buffer())
+                for cut in batch.column(1)[k].as_py():
+                    for at in range(cut["a"], cut["b"] + 1):
+                        rows.append((cut["g"], cut["c"], cut["n"], at - cut["a"], xxh3_128_digest(data[at : at + length])))
+                    if len(rows) > 50_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), _STRINGS, strict=True)], names=["g", "c", "n", "at", "h"])
+                        rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), _STRINGS, strict=True)], names=["g", "c", "n", "at", "h"])
+
+    def covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            out = [(g, c, x, y) for g, c, starts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), lists, strict=True) for x, y in cover(np.sort(starts.values.to_numpy()), length)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [()] * 4, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["g", "c", "from", "to"])
+
+    busy = with_texts(repeated.filter(F.col("kinds") > MANY)).mapInArrow(strings_out, "g long, c long, n long, at int, h binary")
+    busy = materialize(busy.dropDuplicates(["g", "c", "at"]), "strings")
+    again = busy.groupBy("h").agg(F.sum("n").alias("total")).filter("total > 1").select("h")
+    dealt = busy.join(again, "h").groupBy("g", "c").agg(F.collect_list("at").alias("starts")).mapInArrow(covered, "g long, c long, from int, to int")
+    parts = with_texts(repeated.filter((F.col("kinds") > 1) & (F.col("kinds") <= MANY))).mapInArrow(slice_out, "u long, g long, c long, n long, skip int, part binary")
     # repeated rows would bring a context twice
     parts = parts.groupBy("u", "g", "c", "skip").agg(F.first("n").alias("n"), F.first("part").alias("part"))
 
@@ -287,7 +301,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield flush(held)
 
     marks = parts.select("u", "g", "c", "skip", "n", "part").repartition("u").sortWithinPartitions("u").mapInArrow(sort_parts, "g long, c long, from int, to int")
-    marks = materialize(alone.union(marks), "marks")
+    marks = materialize(alone.union(marks).union(dealt), "marks")
+    drop(busy, repeated)
+    tidy(docs.sparkSession)
     spans = found.join(marks, ["g", "c"]).select("doc_id", "th", (F.col("a") + F.col("from")).alias("from"), (F.col("a") + F.col("to")).alias("to"))
     spans = materialize(spans.groupBy("doc_id", "th").agg(F.collect_list(F.struct("from", "to")).alias("spans")), "spans")
 
@@ -315,6 +331,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return joined.mapInArrow(cut_out, RESULT)
 
 
+_STRINGS = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
 _PARTS = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
 
 
