@@ -147,18 +147,22 @@ def mix_sources(docs: DataFrame, seed: int = SEED, weights: tuple[float, ...] =
 
 
 def mixed_documents(docs: DataFrame, seed: int = SEED, weights: tuple[float, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
-    """documents as often as mix_sources() takes them, all columns kept; documents without words, which cost
-    nothing, stay once. Equal rows share evenly what is taken of them."""
+    """documents as often as mix_sources() takes them, all columns kept whatever they are called; documents without
+    words, which cost nothing, stay once. Equal rows share evenly what is taken of them. Texts of any length are counted
+    whole; an empty table gives an empty one."""
     kinds = [c for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))]
-    key = ["_mix_k1", "_mix_k2"]
+    own = "_mix"
+    while any(c.lower().startswith(own) for c in docs.columns):
+        own = f"_{own}"
+    key = [f"{own}_k1", f"{own}_k2"]
     hashed = docs.withColumn(key[0], F.xxhash64(*kinds)).withColumn(key[1], F.hash(*kinds))
     taken = mix_sources(hashed, seed, weights, most, carry=key)
     each = F.when(F.col("size") > 0, (F.col("taken") / F.col("size")).cast("int")).otherwise(1)
-    times = taken.groupBy(*key).agg(F.sum(each).cast("int").alias("_mix_times"), F.count("*").cast("int").alias("_mix_rows"))
+    times = taken.groupBy(*key).agg(F.sum(each).cast("int").alias(f"{own}_times"), F.count("*").cast("int").alias(f"{own}_rows"))
     number = F.row_number().over(Window.partitionBy(*key).orderBy(key[0])) - 1
-    joined = hashed.join(times.filter("_mix_times > 0"), key).withColumn("_mix_number", number)
-    own = F.floor(F.col("_mix_times") / F.col("_mix_rows")) + F.when(F.col("_mix_number") < F.col("_mix_times") % F.col("_mix_rows"), 1).otherwise(0)
-    copies = joined.filter(own > 0).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), own.cast("int"))))
+    joined = hashed.join(times.filter(F.col(f"{own}_times") > 0), key).withColumn(f"{own}_number", number)
+    share = F.floor(F.col(f"{own}_times") / F.col(f"{own}_rows")) + F.when(F.col(f"{own}_number") < F.col(f"{own}_times") % F.col(f"{own}_rows"), 1).otherwise(0)
+    copies = joined.filter(share > 0).withColumn(f"{own}_copy", F.explode(F.sequence(F.lit(1), share.cast("int"))))
     return copies.select(*docs.columns)
 
 

@@ -142,7 +142,9 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """documents with every span replaced by `mark` (overlapping spans by one) and n_chars counted anew. Null text stays null."""
+    """documents with every span replaced by `mark` (overlapping spans by one) and n_chars counted anew; other columns stay
+    whatever they are called. Null text stays null, texts of any length are scanned whole, and an empty table gives an
+    empty one."""
 
     def hide(text: str, data: np.ndarray) -> str:
         spans = scan(text, data)[1]

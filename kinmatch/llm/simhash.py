@@ -402,8 +402,9 @@ def near_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
 
 
 def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """documents without those whose near_groups() component has a smaller doc_id; all columns kept. Of rows that
-    share the smallest doc_id all stay, as do rows with null doc_id. Texts without words are copies of each other."""
+    """documents without those whose near_groups() component has a smaller doc_id; all columns kept whatever they are
+    called. Of rows that share the smallest doc_id all stay, as do rows with null doc_id. Texts without words, null
+    among them, are copies of each other; long ones are compared whole. An empty table gives an empty one."""
     losers = near_groups(docs, width, similarity).filter("doc_id > component_id").select("doc_id").distinct()
     return docs.join(losers, "doc_id", "left_anti").select(*docs.columns)
 
