@@ -685,3 +685,176 @@ def test_cartesian_tree():
         assert min(span) == keys[c] and keys.index(keys[c], a) == c
         assert a == 0 or keys[a - 1] <= keys[c]
         assert b == 6 or keys[b + 1] < keys[c]
+
+
+@pytest.mark.parametrize("block", [64, 16])
+def test_neighbours_over_many_blocks(spark, block, monkeypatch):
+    """Isotropic noise, over so many blocks that windows end between them."""
+    monkeypatch.setattr(curves, "BLOCK", block)
+    rng = np.random.default_rng(6)
+    vectors = rng.standard_normal((1500, 64)).astype(np.float32)
+    rows = [(k, v) for k, v in enumerate(vectors.tolist())]
+    got = curves.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    unit = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1, keepdims=True)
+    hits = 0
+    for q in range(0, 1500, 50):
+        s = unit @ unit[q]
+        s[q] = -2
+        mine = [r.vec_id for r in got if r.query_id == q]
+        assert len(mine) == 5
+        hits += len(set(np.argsort(-s)[:5].tolist()) & set(mine))
+    assert hits >= 0.9 * 5 * 30
+
+
+def brute_near_passages(texts, words=50, similarity=0.8):
+    """Pairs of texts that hold passages of `words` words alike in `similarity` of their five-word shingles: by shared
+    shingles, then every pair of windows around one."""
+    least = words - 4
+    tokens = [WORD.findall(low(t)) for t in texts]
+    shingles = [[" ".join(t[k : k + 5]) for k in range(len(t) - 4)] for t in tokens]
+    number = {x: k for k, x in enumerate(dict.fromkeys(x for s in shingles for x in s))}
+    ids = [np.array([number[x] for x in s], np.int64) for s in shingles]
+    holders = defaultdict(set)
+    for k, s in enumerate(ids):
+        for x in s.tolist():
+            holders[x].add(k)
+    shared = Counter(pair for x in holders.values() if 1 < len(x) for pair in itertools.combinations(sorted(x), 2))
+    found = set()
+    for (a, b), n in shared.items():
+        if n < similarity * least * 0.3 or min(len(ids[a]), len(ids[b])) < least:
+            continue
+        table = ids[a][:, None] == ids[b][None, :]
+        sums = np.cumsum(np.cumsum(np.pad(table, ((1, 0), (1, 0))), axis=0), axis=1)
+        box = sums[least:, least:] - sums[:-least, least:] - sums[least:, :-least] + sums[:-least, :-least]
+        for i, j in np.argwhere(box >= similarity * least * 0.3)[np.argsort(-box[box >= similarity * least * 0.3])][:4000]:
+            u, v = set(ids[a][i : i + least].tolist()), set(ids[b][j : j + least].tolist())
+            if len(u & v) >= similarity * len(u | v):
+                found.add((a, b))
+                break
+            if 2 * box[i, j] < similarity * len(u | v):
+                break
+    return found
+
+
+def test_passages_find_what_all_pairs_hold(spark):
+    """Edited stretches of texts, against a comparison of all windows; unrelated texts stay apart."""
+    rng = random.Random(19)
+    w = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    common = w(30)  # a line in most texts, too short to link them
+    texts = []
+    for k in range(120):
+        passage = w(70)
+        edited = list(passage)
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(70)
+            edited[at : at + rng.randint(0, 2)] = w(rng.randint(0, 2))
+        for p in (passage, edited):
+            texts.append(" ".join(w(rng.randint(0, 60)) + p + (common if rng.random() < 0.6 else []) + w(rng.randint(0, 60))))
+    want = brute_near_passages(texts)
+    got = {r.doc_id: r.class_id for r in passages.link_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    root = roots(range(len(texts)), want)
+    assert len(want) >= 80
+    assert sum(got[a] == got[b] for a, b in want) >= 0.97 * len(want)
+    assert all(root[a] == root[b] for a, b in itertools.combinations(range(len(texts)), 2) if got[a] == got[b])
+
+
+@pytest.mark.parametrize("block", [simhash.BLOCK, 8])
+def test_near_groups_in_blocks(spark, block, monkeypatch):
+    """Copies that each changed a base in their own way are near it, not always each other; large shards go by blocks."""
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    monkeypatch.setattr(simhash, "FEW", 4)
+    rng = random.Random(20)
+    w = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    rows = []
+    for group in range(4):
+        base = w(150)
+        rows.append((group * 100 + 99, " ".join(base)))
+        for k in range(30):
+            t = list(base)
+            for _ in range(2):
+                at = rng.randrange(140)
+                t[at : at + 2] = w(2)
+            rows.append((group * 100 + k, " ".join(t)))
+    rows += [(1000 + k, " ".join(w(150))) for k in range(20)] + [(2000, None), (2001, ""), (2002, " \t "), (2003, "word " * 100_000)]
+    sets = {k: shingle_set(t) if (t or "").split() else set() for k, t in rows}
+    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    want = roots(sets, [(a, b) for a, b in itertools.combinations(sets, 2) if alike(sets[a], sets[b])])
+    df = spark.createDataFrame([(*r, "own", "r") for r in rows], "doc_id long, text string, node string, root string")
+    got = {r.doc_id: r.component_id for r in simhash.near_groups(df).collect()}
+    assert got == want
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == set(want.values())
+
+
+def test_pipeline_end_to_end(spark, hostile, tmp_path):
+    """All stages over hostile rows whose further columns have the stages' own names, against plain forms of each."""
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    rows = [(*r[:5], "own", 0.5, "k", "s") for r in hostile]
+    rows += [(5000 + k, words(rng, 60) + (" vile" * 6 if k % 3 == 0 else "") + (" password=abcdefghijklmnop" if k % 5 == 0 else ""), "en", "a", 1, "own", 0.5, "k", "s") for k in range(90)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, is_toxic string, p_toxic double, _mix_k1 string, size string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(5000 + k, 1, int(k % 3 == 0)) for k in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs, seen = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, str(tmp_path))
+        if k + 1 < len(corpus_pipeline.STAGES):
+            assert out.dtypes == docs.dtypes, name
+        out.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+        seen[name] = docs.collect()
+    clean, one, hidden, mixed, packed = seen.values()
+    assert not [r for r in clean if (r.doc_id or 0) >= 5060 and (r.doc_id - 5000) % 3 == 0]  # held-out toxic ones go
+    assert sum((r.doc_id or 0) >= 5000 for r in clean) >= 58 and {r.is_toxic for r in clean} == {"own"}
+    texts = [(r.doc_id, r.text) for r in clean]
+    sets = [shingle_set(t) if WORD.findall(t or "") else set() for _, t in texts]
+    root = roots(range(len(texts)), [(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+    least = {}
+    for k, r in root.items():
+        if texts[k][0] is not None:
+            least[r] = min(texts[k][0], least.get(r, texts[k][0]))
+    losers = {texts[k][0] for k, r in root.items() if texts[k][0] is not None and texts[k][0] > least[r]}
+    assert Counter(r.doc_id for r in one) == Counter(d for d, _ in texts if d not in losers)
+    assert Counter(r.text for r in hidden) == Counter(None if r.text is None else re.sub(r"password=abcdefghijklmnop|[0-9a-f]{16,}", "[SECRET]", r.text) for r in one)
+    size = lambda t: len(WORD.findall(t or ""))
+    sizes = Counter()
+    for r in hidden:
+        sizes[r.source] += size(r.text)
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    goals = dict(zip(order, mixing.targets([sizes[s] for s in order]), strict=True))
+    took = Counter()
+    for r in mixed:
+        took[r.source] += size(r.text)
+    longest = max(size(r.text) for r in hidden)
+    assert all(abs(took[s] - goals[s]) <= longest for s in order) and {r.size for r in mixed} == {"s"}
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.tokenizer_path())
+    want = Counter((r.doc_id, len(t.encode(r.text or "", add_special_tokens=False).ids) + 1) for r in mixed)
+    pieces = Counter()
+    for r in packed:
+        if r.start + r.length and r.length <= 4096:
+            pieces[r.doc_id] += r.length
+    totals = Counter()
+    for (d, n), times in want.items():
+        totals[d] += n * times
+    assert pieces == totals
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(packed)
+
+
+def test_shared_folder_is_asked_for_where_there_are_other_machines():
+    from types import SimpleNamespace
+
+    from kinmatch.llm.store import shared_dir
+
+    def session(master, conf=None, held=None):
+        holder = SimpleNamespace(isDefined=lambda: held is not None, get=lambda: held)
+        context = SimpleNamespace(master=master, _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: holder)), setCheckpointDir=lambda p: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: conf, set=lambda k, v: None), sparkContext=context)
+
+    assert shared_dir(session("spark://a:7077", "hdfs://x/y/")) == "hdfs://x/y" and shared_dir(session("yarn", None, "hdfs://z")) == "hdfs://z"
+    assert shared_dir(session("local[4]")).startswith("file://")
+    for master in ("yarn", "spark://a:7077", "local-cluster[2,1,512]"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            shared_dir(session(master))
