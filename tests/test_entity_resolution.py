@@ -332,6 +332,135 @@ def test_sampling(spark):
     assert profile == {"entity_id": 0, "business_name": 100, "business_address": 100, "country": 0}
 
 
+def business(spark, tmp_path, n=60):
+    """Files of S1, S2 and S3 records, two of three with a noisy copy, and their truth."""
+    import random
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(rng.randint(4, 8)))
+    rows, truth = {"S1": [], "S2": [], "S3": []}, []
+    for k in range(n):
+        name, street, country = f"{word()} {word()}", f"{k} {word()} St", ("US", "India")[k % 2]
+        rows["S1"].append((f"S1-{k}", f"{name} Inc", f"{street}, {10000 + k}", country))
+        mine = []
+        for s in ("S2", "S3")[: k % 3]:
+            rows[s].append((f"{s}-{k}", name.upper(), f"{street.replace('St', 'Street')} {10000 + k}", country))
+            mine.append(f"{s}-{k}")
+        truth.append((f"S1-{k}", ",".join(mine)))
+        rows["S2"].append((f"S2-{n + k}", f"{word()} {word()}", f"{900 + k} {word()} Rd", country))
+    paths = {}
+    for s, records_ in rows.items():
+        paths[s] = str(tmp_path / f"{s}.tsv")
+        Path(paths[s]).write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\n" + "".join("\t".join(r) + "\n" for r in records_))
+    paths["truth"] = str(tmp_path / "truth.tsv")
+    Path(paths["truth"]).write_text("source1_entity_id\tmatched_entity_ids\n" + "".join("\t".join(r) + "\n" for r in truth))
+    return paths, rows, dict(truth)
+
+
+def test_whole_plan(spark, tmp_path):
+    """Train, tune, match, write and check, from files to files."""
+    from dataclasses import replace
+
+    from kinmatch.config import Settings
+    from kinmatch.plans import pipeline, search
+
+    paths, rows, truth = business(spark, tmp_path)
+    s1, targets = T.read_records(spark, paths["S1"]), T.read_records(spark, paths["S2"]).unionByName(T.read_records(spark, paths["S3"]))
+    pairs_ = T.read_truth(spark, paths["truth"]).select("source1_entity_id", F.explode("matched_ids").alias("matched_id"))
+    conf = Settings(blocking=Blocking(top_k=10, train_top_k=8), training=Training(trees=40, folds=2, least_rows=3, step=0.2))
+    out, index = str(tmp_path / "out"), str(tmp_path / "index")
+    gate, value = pipeline.run((s1, targets, pairs_), (s1, targets), out, conf, index)
+    assert value > 0.9
+    lines = Path(f"{out}/matching_results.tsv").read_text().splitlines()
+    assert lines[0] == "source1_entity_id\tmatched_entity_ids" and [x.split("\t")[0] for x in lines[1:]] == [r[0] for r in rows["S1"]]
+    said = {x.split("\t")[0]: set(filter(None, x.split("\t")[1].split(","))) for x in lines[1:]}
+    assert sum(said[k] == set(filter(None, v.split(","))) for k, v in truth.items()) >= 54
+    report = validation.validate(spark, f"{out}/matching_results.tsv", s1, f"{out}/candidate_pairs.tsv", targets)
+    assert report.ok and not report.warnings, (report.errors, report.warnings)
+    # the index that was kept serves another run, and its candidates are the same
+    clean = N.normalize(s1)
+    again = retrieval.open_index(spark, index, lambda: 1 / 0, conf.blocking)
+    key = lambda x: sorted(map(tuple, retrieval.retrieve(clean, x, conf.blocking).collect()))
+    assert key(again) == key(N.normalize(targets))
+    models, names = model.load(spark, f"{out}/model")
+    assert len(models) == 2 and names == features.NAMES
+    _, scored, candidates = pipeline.scored_candidates(s1, targets, pairs_, replace(conf, blocking=Blocking(top_k=10)))
+    log, trial, best = search.search(scored, pairs_, s1.select(F.col("entity_id").alias("source1_entity_id")))
+    assert best > 0.9 and 1 <= log.count() <= search.TRIALS
+    matches, lists = search.export(scored, candidates, s1, trial)
+    assert matches.count() == lists.count() == 60
+    T.write_single(search.trial_log(log, 2.0).withColumn("_at", F.col("trial")), str(tmp_path / "trials.csv"), "_at", sep=",")
+    assert Path(tmp_path / "trials.csv").read_text().splitlines()[0] == "trial,top_k,tau_singleton,tau_match,delta_margin,macro_f05,macro_precision,macro_recall,singleton_acc,runtime_sec"
+
+
+def test_benchmark_files(spark, tmp_path):
+    from kinmatch.plans.benchmark import write_benchmark
+
+    paths, rows, truth = business(spark, tmp_path)
+    quotas = {("US", True): 4, ("US", False): 10, ("INDIA", True): 4, ("INDIA", False): 7}
+    sample = {r.entity_id: r.split for r in write_benchmark(spark, paths, paths["truth"], str(tmp_path / "b"), quotas, share=1.0, cap=5).collect()}
+    assert len(sample) == 25
+    lines = {s: Path(paths[s]).read_text().splitlines() for s in ("S1", "S2", "S3")}
+    for split in ("train", "val"):
+        got = (tmp_path / "b" / split / f"{split}_source1.tsv").read_text().splitlines()
+        assert got == [lines["S1"][0]] + [x for x in lines["S1"][1:] if sample.get(x.split("\t")[0]) == split]
+        lists = dict(x.split("\t") for x in (tmp_path / "b" / split / f"{split}_ground_truth.tsv").read_text().splitlines()[1:])
+        assert lists == {k: truth[k] for k, v in sample.items() if v == split}
+    needed = {m for k in sample for m in truth[k].split(",") if m}
+    for k in (2, 3):
+        got = (tmp_path / "b" / f"benchmark_source{k}.tsv").read_text().splitlines()
+        assert got[0] == lines[f"S{k}"][0] and [x for x in lines[f"S{k}"] if x in got] == got
+        ids = {x.split("\t")[0] for x in got[1:]}
+        assert {m for m in needed if m.startswith(f"S{k}-")} <= ids and len(ids - needed) <= 5
+
+
+def test_patience(spark):
+    from kinmatch.plans import search
+
+    rows = [(k, 20, 50, 50, 3, v) for k, v in enumerate([0.5, 0.6, 0.60005, 0.6, 0.1, 0.6, 0.6, 0.9])]
+    log, trial, best = search.logged(spark.createDataFrame(rows, "trial int, top_k int, tau_s int, tau_m int, delta int, macro_f05 double"), patience=5)
+    assert (log.count(), best) == (7, 0.60005)
+    drawn = search.draw_trials(20)
+    assert len(set(drawn)) == 20 and drawn == search.draw_trials(20) and all(t.tau_m >= max(50, t.tau_s - 5) for t in drawn)
+
+
+def test_scans(spark, tmp_path):
+    (tmp_path / "ids.tsv").write_text("name of the id\tx\nS1-2\ta\n\n S1-1 \tb\nS1-2\tc\n")
+    assert {r[0] for r in T.read_ids(spark, str(tmp_path / "ids.tsv")).collect()} == {"S1-1", "S1-2"}
+    (tmp_path / "r.tsv").write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\n" + "".join(f"S1-{k}\ta\tb\tUS\n" for k in range(5000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        assert [r.entity_id for r in T.read_records(spark, str(tmp_path / "r.tsv"), rows=2500).collect()] == [f"S1-{k}" for k in range(2500)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    (tmp_path / "bad.tsv").write_bytes(HEAD.encode() + b"S1-1\tS2-\xff\n")
+    assert any("UTF-8" in e for e in validation.validate(spark, str(tmp_path / "bad.tsv"), spark.createDataFrame([("S1-1",)], "entity_id string")).errors)
+    (tmp_path / "twice.tsv").write_text(HEAD + HEAD + "S1-1\t\n")
+    assert any("extra" in e for e in validation.validate(spark, str(tmp_path / "twice.tsv"), spark.createDataFrame([("S1-1",)], "entity_id string")).errors)
+
+
+def test_texts_for_a_second_scorer(spark):
+    side = "entity_id string, clean_text string"
+    got = model.with_texts(pairs(spark, ("S1-1", "S2-1", 0.5), ("S1-1", "S2-9", 0.5)), spark.createDataFrame([("S1-1", "a | b | US")], side), spark.createDataFrame([("S2-1", "c")], side)).collect()
+    assert {(r.candidate_entity_id, r.text_s1, r.text_cand) for r in got} == {("S2-1", "a | b | US", "c"), ("S2-9", "a | b | US", "")}
+
+
+def test_trial_counts_are_those_of_one_setting_at_a_time(spark):
+    import random
+
+    rng = random.Random(8)
+    rows = [(f"S1-{k}", f"S2-{j}", round(rng.random(), 3), j + 1) for k in range(25) for j in range(rng.randint(0, 6))]
+    scored = spark.createDataFrame(rows, "source1_entity_id string, candidate_entity_id string, predicted_prob double, fused_rank int")
+    truth = spark.createDataFrame([(f"S1-{k}", f"S2-{rng.randrange(6)}") for k in range(0, 25, 2)], "source1_entity_id string, matched_id string")
+    entities = spark.createDataFrame([(f"S1-{k}",) for k in range(25)], "source1_entity_id string")
+    settings = [(2, 50, 55, 11), (4, 75, 50, 30), (1000, 60, 70, 5)]
+    got = {(r.trial, r.source1_entity_id): (r.n_true, r.n_pred, r.n_hit) for r in gating.trial_counts(scored, truth, entities, gating.trials(spark, settings)).collect()}
+    for t, (k, s, m, d) in enumerate(settings):
+        kept = gating.accepted(scored.filter(F.col("fused_rank") <= k), Gate(s / 100, m / 100, d / 100))
+        for r in gating.entity_scores(kept, truth, entities).collect():
+            assert got[t, r.source1_entity_id] == (r.n_true, r.n_pred, r.n_hit)
+
+
 def test_entry_without_llm(tmp_path):
     import shutil
 
