@@ -34,7 +34,7 @@ MANY = 16_384
 _PAIRS, _SMALL = 50_000, 64
 #: Documents, about, that show which signatures are frequent: those that so many of them have. Their rows are dealt over
 #: salts, at most so many to each, about.
-SHOWN, FREQUENT, SALTED = 2000, 8, 50_000
+SHOWN, FREQUENT, SALTED = 2000, 8, 2000
 #: Parts in which groups are compared one after the other, so that the disk holds the contexts of one part at a time.
 PARTS = 2
 #: Bits of the maps by which contexts that share too little are told apart.
