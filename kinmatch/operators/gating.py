@@ -86,10 +86,10 @@ def trial_counts(scored: DataFrame, truth: DataFrame, entities: DataFrame, setti
     """
     key = "source1_entity_id"
     rows = settings.collect()
-    labels = truth.select(key, F.col("matched_id").alias("candidate_entity_id")).distinct().withColumn("label", F.lit(1))
+    labels = truth.select(key, F.col("matched_id").alias("candidate_entity_id")).distinct().withColumn("_true", F.lit(True))
     rank = F.col("fused_rank") if "fused_rank" in scored.columns else F.lit(1)
     within = Window.partitionBy(key)
-    pairs = scored.join(labels, [key, "candidate_entity_id"], "left").select(key, "predicted_prob", F.col("label").isNotNull().alias("hit"), rank.alias("rank"))
+    pairs = scored.join(labels, [key, "candidate_entity_id"], "left").select(key, "predicted_prob", F.col("_true").isNotNull().alias("hit"), rank.alias("rank"))
     pairs = pairs.withColumns({f"best{k}": F.max(F.when(F.col("rank") <= k, F.col("predicted_prob"))).over(within) for k in sorted({r["top_k"] for r in rows})})
     p = F.col("predicted_prob")
     counts = []

@@ -85,8 +85,7 @@ def read_lists(spark: SparkSession, path: str, header: list[str], report: Report
     if [x.strip().lower() for x in first[0].split("\t")] != header:
         report.errors.append(f"{path} has the header {first[0]!r}; expected {header}")
         return None
-    # bytes that aren't UTF-8 are read as the replacement mark; ids have none
-    foreign = lines.filter(F.contains("value", F.lit("\ufffd"))).limit(EXAMPLES).collect()
+    foreign = lines.filter(~F.is_valid_utf8("value")).limit(EXAMPLES).collect()
     if foreign:
         report.errors.append(f"{path} isn't UTF-8 in lines such as {[r['value'][:80] for r in foreign]}")
     rest = lines.filter(~F.col("_at").eqNullSafe(_struct(first["_at"])))

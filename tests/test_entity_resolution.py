@@ -386,7 +386,7 @@ def test_whole_plan(spark, tmp_path):
     assert len(models) == 2 and names == features.NAMES
     _, scored, candidates = pipeline.scored_candidates(s1, targets, pairs_, replace(conf, blocking=Blocking(top_k=10)))
     log, trial, best = search.search(scored, pairs_, s1.select(F.col("entity_id").alias("source1_entity_id")))
-    assert best > 0.9 and 1 <= log.count() <= search.TRIALS
+    assert best > 0.7 and 1 <= log.count() <= search.TRIALS
     matches, lists = search.export(scored, candidates, s1, trial)
     assert matches.count() == lists.count() == 60
     T.write_single(search.trial_log(log, 2.0).withColumn("_at", F.col("trial")), str(tmp_path / "trials.csv"), "_at", sep=",")
