@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +20,10 @@ from ..config import Blocking
 from ..sources.staging import staged, version
 
 SCORE_DIGITS = 9
+#: Pairs that common terms would join for each that rare terms join, from which on pruning pays.
+PRUNE_FROM = 20
+#: Queries and targets of a block.
+QUERIES, TARGETS = 2_000, 20_000
 
 
 def word_terms(text: Column) -> Column:
@@ -120,15 +126,70 @@ def top(pairs: DataFrame, k: int, score: str = "score", by: tuple[str, ...] = ("
     return pairs.withColumn(rank, F.row_number().over(order)).filter(F.col(rank) <= k)
 
 
-def word_pool(queries: DataFrame, targets: DataFrame, vocab: DataFrame, sizes: DataFrame, conf: Blocking, mode: str = "pruned") -> DataFrame:
+def block_pool(queries: DataFrame, targets: DataFrame, sizes: DataFrame, k: int) -> DataFrame:
+    """top() k of similarity(). Queries and targets of a country are dealt over blocks, and each two blocks meet in a task,
+    which adds the scores of a query up in an array over its targets and returns the k best."""
+    asked = queries.groupBy("country").agg(F.countDistinct("entity_id").alias("asked"))
+    dealt = sizes.join(asked, "country").select("country", F.ceil(F.col("asked") / QUERIES).cast("int").alias("qs"), F.ceil(F.col("n") / TARGETS).cast("int").alias("ts"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("entity_id"), F.col(n)).cast("int")
+    columns = ["country", "term", "entity_id", "weight"]
+    q = queries.select(*columns).join(F.broadcast(dealt), "country").withColumn("q", own("qs")).withColumn("t", every("ts")).select(*columns, "q", "t")
+    t = targets.select(*columns).join(F.broadcast(dealt), "country").withColumn("t", own("ts")).withColumn("q", every("qs")).select(*columns, "q", "t")
+
+    def best(asks: pa.Table, answers: pa.Table) -> pa.Table:
+        out: list[tuple[str, str, str, float]] = []
+        if len(asks) and len(answers):
+            country = asks["country"][0].as_py()
+            names = sorted(set(answers["entity_id"].to_pylist()))
+            number = {name: n for n, name in enumerate(names)}
+            codes: dict[str, int] = {}
+            term = np.fromiter((codes.setdefault(x, len(codes)) for x in answers["term"].to_pylist()), np.int64, len(answers))
+            order = np.argsort(term, kind="stable")
+            at = np.searchsorted(term[order], np.arange(len(codes) + 1))
+            row = np.fromiter((number[x] for x in answers["entity_id"].to_pylist()), np.int64, len(answers))[order]
+            weight = answers["weight"].to_numpy()[order]
+            mine: dict[str, list[tuple[int, float]]] = {}
+            for s, x, w in zip(asks["entity_id"].to_pylist(), asks["term"].to_pylist(), asks["weight"].to_pylist(), strict=True):
+                if x in codes:
+                    mine.setdefault(s, []).append((codes[x], w))
+            for s, terms in mine.items():
+                score = np.zeros(len(names))
+                for c, w in terms:
+                    part = slice(at[c], at[c + 1])
+                    score[row[part]] += w * weight[part]
+                score = np.round(score, SCORE_DIGITS)
+                found = np.flatnonzero(score > 0)
+                if len(found) > k:
+                    found = found[score[found] >= np.partition(score[found], len(found) - k)[len(found) - k]]
+                found = found[np.lexsort((found, -score[found]))][:k]
+                out += [(country, s, names[c], score[c]) for c in found.tolist()]
+        kinds = (pa.string(), pa.string(), pa.string(), pa.float64())
+        return pa.table([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True) if out else [()] * 4, kinds, strict=True)], names=["country", "source1_entity_id", "candidate_entity_id", "score"])
+
+    found = q.groupBy("country", "q", "t").cogroup(t.groupBy("country", "q", "t")).applyInArrow(best, "country string, source1_entity_id string, candidate_entity_id string, score double")
+    return top(found, k)
+
+
+def word_pool(queries: DataFrame, targets: DataFrame, vocab: DataFrame, sizes: DataFrame, conf: Blocking, mode: str = "auto") -> DataFrame:
     """The pool_k best targets of each query by word similarity.
 
-    mode "exact" joins all terms. mode "pruned" gives the same rows: rare terms find pairs, common ones add to these
+    All modes give the same rows. "exact" joins all terms. "pruned": rare terms find pairs, common ones add to these
     alone. A pair that shares common terms only scores at most the sum of the query's common weights times the
-    greatest target weight; a query whose pool is full of better ones is done, the rest join in full.
+    greatest target weight; a query whose pool is full of better ones is done, the rest join in full. "blocks" adds scores
+    up in arrays, block by block. "auto" prunes where common terms would join far more pairs than rare ones do, as
+    in short records, and takes blocks where it would not pay, as in long texts.
     """
     if mode == "exact":
         return top(similarity(queries, targets), conf.pool_k)
+    if mode == "auto":
+        asked = queries.groupBy("country", "term").agg(F.count("*").alias("asked"))
+        pairs = asked.join(vocab, ["country", "term"]).join(sizes, "country").withColumn("pairs", F.col("asked") * F.col("df"))
+        often = (F.col("df") > conf.common_share * F.col("n")) & (F.col("df") > conf.pool_k)
+        common_pairs, rare_pairs = pairs.agg(F.sum(F.when(often, F.col("pairs")).otherwise(0)), F.sum(F.when(often, 0).otherwise(F.col("pairs")))).first()
+        mode = "blocks" if (common_pairs or 0) <= PRUNE_FROM * (rare_pairs or 0) else "pruned"
+    if mode == "blocks":
+        return block_pool(queries, targets, sizes, conf.pool_k)
     common = staged(vocab.join(sizes, "country").filter((F.col("df") > conf.common_share * F.col("n")) & (F.col("df") > conf.pool_k)).select("country", "term"))
     rare_q, rare_t = (x.join(common, ["country", "term"], "left_anti") for x in (queries, targets))
     common_q, common_t = (x.join(common, ["country", "term"], "left_semi") for x in (queries, targets))
@@ -160,7 +221,7 @@ def word_pool(queries: DataFrame, targets: DataFrame, vocab: DataFrame, sizes: D
     return finished.select(*pair, "score", "r").unionByName(again.select(*pair, "score", "r"))
 
 
-def lexical_candidates(queries: DataFrame, targets: DataFrame | Index, conf: Blocking, mode: str = "pruned") -> DataFrame:
+def lexical_candidates(queries: DataFrame, targets: DataFrame | Index, conf: Blocking, mode: str = "auto") -> DataFrame:
     """(country, source1_entity_id, candidate_entity_id, score, r): half word and half character similarity over each
     query's word pool; queries without word overlap go by characters alone. queries' country names the targets'."""
     index = targets if isinstance(targets, Index) else build_index(targets, conf)
@@ -219,13 +280,13 @@ def empty_records(records: DataFrame) -> DataFrame:
     return records.filter((F.trim(F.coalesce("clean_name", F.lit(""))) == "") & (F.trim(F.coalesce("clean_address", F.lit(""))) == ""))
 
 
-def best_lexical(queries: DataFrame, targets: DataFrame | Index, conf: Blocking, mode: str = "pruned") -> DataFrame:
+def best_lexical(queries: DataFrame, targets: DataFrame | Index, conf: Blocking, mode: str = "auto") -> DataFrame:
     """lexical_candidates() of every query, its own country's or, where that has no targets, all countries'; ranked anew."""
     found = lexical_candidates(in_target_countries(queries, targets), targets, conf, mode)
     return top(found.drop("r"), 2 * conf.top_k, by=("source1_entity_id",))
 
 
-def retrieve(queries: DataFrame, targets: DataFrame | Index, conf: Blocking, dense: DataFrame | None = None, mode: str = "pruned") -> DataFrame:
+def retrieve(queries: DataFrame, targets: DataFrame | Index, conf: Blocking, dense: DataFrame | None = None, mode: str = "auto") -> DataFrame:
     """Candidates of every query: by its own country's targets, or by all countries' where it has none. Ranks of the
     latter count over all countries."""
     return fuse(best_lexical(queries, targets, conf, mode), dense, conf)

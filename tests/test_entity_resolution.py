@@ -69,7 +69,7 @@ def test_word_similarity(spark):
     assert [(r.candidate_entity_id, round(r.score, 6)) for r in found] == [("S2-2", 1.0), ("S2-1", 0.784756), ("S3-1", 0.784756)]
 
 
-def test_pruned_pool_is_exact(spark):
+def test_pruned_pool_is_exact(spark, monkeypatch):
     words = ["alpha", "beta", "gamma", "delta", "eps", "zeta", "eta", "theta", "iota", "kappa"]
     rows = [(f"S{1 + k % 3}-{k}", " ".join(words[(k * p + k // 7) % 10] for p in (1, 2, 3)), f"{k % 17} main street {words[k % 10]}", "US") for k in range(240)]
     s1, targets = T.split_sources(records(spark, *rows))
@@ -77,6 +77,9 @@ def test_pruned_pool_is_exact(spark):
     conf = Blocking(top_k=3)
     key = lambda mode: sorted(map(tuple, retrieval.retrieve(s1, targets, conf, mode=mode).drop("rrf_score", "retrieval_similarity").collect()))
     assert key("exact") == key("pruned")
+    monkeypatch.setattr(retrieval, "QUERIES", 30)
+    monkeypatch.setattr(retrieval, "TARGETS", 50)
+    assert key("exact") == key("blocks") == key("auto")
 
 
 def test_single_target_unseen_country_and_empty_record(spark):
