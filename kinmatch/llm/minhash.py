@@ -69,9 +69,9 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).otherwise(F.greatest(F.lit(0.0), (same / F.lit(float(BINS)) - chance) / (1 - chance)))
 
 
-def with_next(docs: DataFrame, columns: list[str], size: Column) -> DataFrame:
-    """Adds next_<column> for each of columns: that of the next row by (doc_id, text hash), null ids first, and the
-    first row's after the last.
+def with_next(docs: DataFrame, columns: list[str], size: Column, more: dict[str, Column] | None = None) -> DataFrame:
+    """Adds `more` columns, and next_<column> for each of columns: that of the next row by (doc_id, text hash), null ids first,
+    and the first row's after the last.
 
     Rows are dealt to ranges of ids by quantiles, once; of each range the first row also goes to the end of the
     range before it. There are at most MOST_BUCKETS ranges, so that is what the driver sees.
@@ -86,13 +86,14 @@ def with_next(docs: DataFrame, columns: list[str], size: Column) -> DataFrame:
     keyed = keyed.withColumn("_bucket", bucket)
     firsts = sorted(keyed.groupBy("_bucket").agg(F.min(F.struct("_k", "_h")).alias("f")).collect())
     if not firsts:
-        return docs.select("*", *[F.col(c).alias(f"next_{c}") for c in columns])
+        return docs.withColumns(more or {}).select("*", *[F.col(c).alias(f"next_{c}") for c in columns])
     to = spark.createDataFrame([(f["_k"], f["_h"], firsts[k - 1][0]) for k, (_, f) in enumerate(firsts)], "_k long, _h long, _to int")
     heads = keyed.join(F.broadcast(to), ["_k", "_h"]).dropDuplicates(["_to"]).withColumn("_bucket", F.col("_to")).drop("_to")
     names = [*docs.columns, "_k", "_h", "_bucket"]
     rows = keyed.select(*names, F.lit(0).alias("_head")).union(heads.select(*names, F.lit(1).alias("_head")))
+    rows = rows.withColumns(more or {})  # once a row, after the ranges' first ones were found
     order = Window.partitionBy("_bucket").orderBy("_head", "_k", "_h")
-    return rows.select(*docs.columns, "_head", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns]).filter("_head = 0").drop("_head")
+    return rows.select(*docs.columns, *(more or {}), "_head", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns]).filter("_head = 0").drop("_head")
 
 
 def document_fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -104,7 +105,7 @@ def document_fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    sized = with_next(plain.withColumn("fingerprint", fingerprint(F.col("text"), width)), ["text", "fingerprint"], F.octet_length("text"))
+    sized = with_next(plain, ["text", "fingerprint"], F.octet_length("text"), {"fingerprint": fingerprint(F.col("text"), width)})
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = sized.withColumn("n_chars", F.length("text").cast("long")).withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), (F.col("n_chars") - half).cast("int")), F.substring(F.col("next_text"), F.lit(1), half)))
     done = edited.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", fingerprint(F.col("edited"), width).alias("edited_fingerprint"), "next_fingerprint")
