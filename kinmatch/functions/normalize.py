@@ -15,7 +15,7 @@ WORD = r"\p{L}\p{N}_"
 
 # Legal suffixes in order of preference, and address abbreviations in order of application.
 LEGAL_SUFFIXES = [
-    "limited +liability +company", "private +limited", "pvt +ltd", "trading +co",
+    "limited liability company", "private limited", "pvt ltd", "trading co",
     "incorporated", "corporation", "enterprises", "solutions", "services", "industries",
     "limited", "company", "private",
     "selarl", "sarl", "sasu", "eurl", "scop",

@@ -83,10 +83,3 @@ def once(spark: SparkSession, key: tuple, make: Callable[[], DataFrame | tuple[D
     if full not in _known:
         _known[full] = make()
     return _known[full]
-
-
-def forget() -> None:
-    """Lets later queries make their tables anew, as in a new application."""
-    for made in _known.values():
-        drop(*(made if isinstance(made, tuple) else (made,)))
-    _known.clear()
