@@ -24,6 +24,8 @@ SCORE_DIGITS = 9
 PRUNE_FROM = 20
 #: Queries and targets of a block.
 QUERIES, TARGETS = 2_000, 20_000
+#: The same of dense vectors; and what single precision may lack in a product of two of length one.
+DENSE_QUERIES, DENSE_TARGETS, NEAR = 64_000, 128_000, np.float32(2e-5)
 
 
 def word_terms(text: Column) -> Column:
@@ -292,12 +294,69 @@ def retrieve(queries: DataFrame, targets: DataFrame | Index, conf: Blocking, den
     return fuse(best_lexical(queries, targets, conf, mode), dense, conf)
 
 
-def dense_candidates(queries: DataFrame, targets: DataFrame, k: int) -> DataFrame:
+def dense_candidates(queries: DataFrame, targets: DataFrame, k: int, most: tuple[int, int] = (DENSE_QUERIES, DENSE_TARGETS)) -> DataFrame:
     """Nearest by cosine within a country: queries and targets have entity_id, country and embedding. Exhaustive
-    within a country, as the reference order is; vectors without length take no part."""
+    within a country, as the reference order is; vectors without length take no part, and those of different sizes don't meet.
+
+    Queries and targets are dealt over blocks of about `most` rows, and each two blocks meet in a task. Products in single
+    precision say which pairs may be among the k best; these are scored in double precision, component by component."""
     unit = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    scaled = lambda df, name: df.withColumn("_n", unit).filter("_n > 0").select("country", F.col("entity_id").alias(name), F.transform("embedding", lambda x: x.cast("double") / F.col("_n")).alias(f"e_{name}"))
-    pairs = scaled(queries, "source1_entity_id").join(scaled(targets, "candidate_entity_id"), "country")
-    dot = F.aggregate(F.zip_with("e_source1_entity_id", "e_candidate_entity_id", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-    scored = pairs.select("country", "source1_entity_id", "candidate_entity_id", F.round(dot, SCORE_DIGITS).alias("score")).filter("score > 0")
-    return top(scored, k)
+    ready = lambda df: df.select(*[F.col(c).alias(c) for c in ("country", "entity_id", "embedding")], F.size("embedding").alias("size"), unit.alias("n")).filter("n > 0")
+    counted = lambda df, name: ready(df).groupBy("country", "size").agg(F.count("*").alias(name))
+    dealt = counted(queries, "qs").join(counted(targets, "ts"), ["country", "size"])
+    dealt = dealt.select("country", "size", *[F.ceil(F.col(c) / F.lit(n)).cast("int").alias(c) for c, n in zip(("qs", "ts"), most, strict=True)])
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("entity_id"), F.col(n)).cast("int")
+    keys = ["country", "size", "q", "t"]
+    columns = [*keys, "entity_id", "embedding", "n"]
+    q = ready(queries).join(F.broadcast(dealt), ["country", "size"]).withColumn("q", own("qs")).withColumn("t", every("ts")).select(*columns)
+    t = ready(targets).join(F.broadcast(dealt), ["country", "size"]).withColumn("t", own("ts")).withColumn("q", every("qs")).select(*columns)
+
+    def best(asks: pa.Table, answers: pa.Table) -> pa.Table:
+        found = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        if len(asks) and len(answers):
+            found = list(nearest(_scaled(asks), _scaled(answers), k))
+        country = (asks if len(asks) else answers)["country"][0].as_py()
+        names = [asks["entity_id"].take(pa.array(found[0])), answers["entity_id"].take(pa.array(found[1]))]
+        return pa.table([pa.array([country] * len(found[0]), pa.string()), *(x.cast(pa.string()) for x in names), pa.array(found[2])], names=["country", "source1_entity_id", "candidate_entity_id", "score"])
+
+    found = q.groupBy(*keys).cogroup(t.groupBy(*keys)).applyInArrow(best, "country string, source1_entity_id string, candidate_entity_id string, score double")
+    return top(found.withColumn("score", F.round("score", SCORE_DIGITS)).filter("score > 0"), k)
+
+
+def _scaled(rows: pa.Table) -> np.ndarray:
+    """The embeddings in double precision, each divided by its length."""
+    values = rows["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return values.reshape(len(rows), -1) / rows["n"].to_numpy()[:, None]
+
+
+def nearest(queries: np.ndarray, targets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of queries and of targets, and their products: of each query the k largest and any that come near the k-th."""
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    single = targets.astype(np.float32)
+    for i in range(0, len(queries), 512):
+        mine = queries[i : i + 512]
+        low = mine.astype(np.float32)
+        least = np.full(len(mine), -NEAR, np.float32)
+        row, col, value = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
+        for j in range(0, len(targets), 4096):
+            s = low @ single[j : j + 4096].T
+            s[np.isnan(s)] = np.inf  # stands first, as in an ORDER BY
+            if j == 0 and s.shape[1] > k:
+                least = np.maximum(least, np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] - NEAR)
+            r, c = np.nonzero(s >= least[:, None])
+            if not len(r):
+                continue
+            row, col, value = np.concatenate([row, r]), np.concatenate([col, c + j]), np.concatenate([value, s[r, c]])
+            order = np.lexsort((-value, row))
+            row, col, value = row[order], col[order], value[order]
+            first = np.searchsorted(row, np.arange(len(mine)))
+            full = np.flatnonzero(np.diff(np.append(first, len(row))) >= k)
+            least[full] = np.maximum(least[full], value[first[full] + k - 1] - NEAR)
+            kept = value >= least[row]
+            row, col, value = row[kept], col[kept], value[kept]
+        exact = np.zeros(len(row))
+        for d in range(queries.shape[1]):
+            exact += mine[row, d] * targets[col, d]
+        out.append((row + i, col, exact))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))

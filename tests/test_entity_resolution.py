@@ -471,3 +471,24 @@ def test_entry_without_llm(tmp_path):
     shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 25 and not any(n.startswith('op') for n in q); assert set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PATH": "/usr/bin:/bin", "HOME": str(tmp_path)}, check=True)
+
+
+def test_dense_candidates_by_blocks_equal_all_pairs(spark):
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(700, 8)).round(1)
+    vectors[5:40] = vectors[5]  # ties go to the smaller id
+    vectors[50] = 0
+    rows = [(f"{k:03d}", "AB"[k % 2], v.tolist()) for k, v in enumerate(vectors)] + [("short", "A", [1.0]), ("none", "A", None), ("hole", "A", [None] * 8)]
+    df = spark.createDataFrame(rows, "entity_id string, country string, embedding array<double>")
+    queries, targets = df.filter("entity_id < '100' or entity_id > 'a'"), df.filter("entity_id >= '005'")
+    wanted = {}
+    for q in (r for r in rows[:100] if any(r[2])):
+        near = [(-round(float(np.dot(q[2], t[2]) / np.linalg.norm(q[2]) / np.linalg.norm(t[2])), 9), t[0]) for t in rows[5:700] if t[1] == q[1] and any(t[2])]
+        wanted[q[0]] = [i for s, i in sorted(near) if s < 0][:6]
+    for most in ((64_000, 128_000), (20, 90)):
+        found = retrieval.dense_candidates(queries, targets, 6, most).orderBy("source1_entity_id", "r").collect()
+        plan = {}
+        for r in found:
+            plan.setdefault(r.source1_entity_id, []).append(r.candidate_entity_id)
+        assert plan.pop("short") == ["short"]
+        assert plan == wanted
