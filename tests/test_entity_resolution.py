@@ -492,3 +492,10 @@ def test_dense_candidates_by_blocks_equal_all_pairs(spark):
             plan.setdefault(r.source1_entity_id, []).append(r.candidate_entity_id)
         assert plan.pop("short") == ["short"]
         assert plan == wanted
+
+
+def test_dense_candidates_make_no_table_of_all_pairs(spark, capsys):
+    df = spark.createDataFrame([("a", "A", [1.0, 2.0])], "entity_id string, country string, embedding array<double>")
+    retrieval.dense_candidates(df, df, 3).explain()
+    shown = capsys.readouterr().out
+    assert "FlatMapCoGroupsInArrow" in shown and "zip_with" not in shown
