@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from kinmatch.config import Blocking, Gate, Training
 from kinmatch.functions import normalize as N
 from kinmatch.functions import strings as S
-from kinmatch.operators import boosting, features, gating, model, retrieval, sampling, validation
+from kinmatch.operators import boosting, features, gating, model, retrieval, sampling, validation, vectors
 from kinmatch.sources import tables as T
 
 RECORD = "entity_id string, business_name string, business_address string, country string"
@@ -499,3 +499,40 @@ def test_dense_candidates_make_no_table_of_all_pairs(spark, capsys):
     retrieval.dense_candidates(df, df, 3).explain()
     shown = capsys.readouterr().out
     assert "FlatMapCoGroupsInArrow" in shown and "zip_with" not in shown
+
+
+def long_records(spark, n=240):
+    words = [f"w{chr(97 + k % 26)}{k}" for k in range(90)]
+    rng = np.random.default_rng(5)
+    text = lambda k: " ".join(words[int(x)] for x in rng.zipf(1.3, 40 + k % 50) % 90) + " straße ﬁn x " * (k % 3)
+    texts = [text(k) for k in range(n)]
+    rows = [(f"S{1 + k % 3}-{k}", texts[k // 2 if k % 5 == 0 else k][:12], "pad " * 120 + texts[k // 2 if k % 5 == 0 else k] + " echo" * (300 * (k == 7)), "US" if k % 7 else ["France", "India"][k % 2]) for k in range(n)]
+    s1, targets = T.split_sources(records(spark, *rows, ("S1-none", None, None, "Spain"), ("S1-own", "w2", "", "Spain"), ("S1-odd", "zzzq", "zzzq", "Chile")))
+    return N.normalize(s1), N.normalize(targets)
+
+
+def test_vectors_retrieve_what_postings_do(spark, monkeypatch):
+    s1, targets = long_records(spark)
+    conf = Blocking(top_k=5)
+    assert retrieval.are_long(targets)
+    key = lambda mode: sorted(map(tuple, retrieval.lexical_candidates(retrieval.in_target_countries(s1, targets), targets, conf, mode).select("country", "source1_entity_id", "candidate_entity_id", F.round("score", 8), "r").collect()))
+    wanted = key("exact")
+    assert len(wanted) > 500
+    assert key("auto") == wanted
+    monkeypatch.setattr(vectors, "BLOCK", 40)
+    assert key("vectors") == wanted
+
+
+def test_long_texts_leave_no_row_for_each_term(spark, monkeypatch):
+    s1, targets = long_records(spark, 30)
+    monkeypatch.setattr(retrieval, "term_counts", lambda *_: 1 / 0)
+    assert retrieval.retrieve(s1, targets, Blocking()).count()
+
+
+def test_vectors_find_the_terms_that_expressions_do(spark):
+    texts = ["a bb  c_c\tdd", "", "straße ﬁn x² 12 · ّ يا", " | us", "é" * 5, "bb bb " * 300]
+    rows = spark.createDataFrame([(str(k), "US", t) for k, t in enumerate(texts)], "entity_id string, country string, clean_text string")
+    for terms, found in ((retrieval.word_terms, vectors.word_counts(texts, (codes := vectors.Codes()).__getitem__)), (retrieval.char_terms, vectors.char_counts(texts))):
+        name = list(codes).__getitem__ if terms is retrieval.word_terms else vectors.run_text
+        wanted = {(r.entity_id, r.term): r.tf for r in retrieval.term_counts(rows, terms(F.lower("clean_text"))).collect()}
+        assert {(str(k), name(x)): n for k, x, n in zip(*(c.tolist() for c in found), strict=True)} == wanted
