@@ -536,3 +536,11 @@ def test_vectors_find_the_terms_that_expressions_do(spark):
         name = list(codes).__getitem__ if terms is retrieval.word_terms else vectors.run_text
         wanted = {(r.entity_id, r.term): r.tf for r in retrieval.term_counts(rows, terms(F.lower("clean_text"))).collect()}
         assert {(str(k), name(x)): n for k, x, n in zip(*(c.tolist() for c in found), strict=True)} == wanted
+
+
+def test_word_pools_by_vectors_leave_only_their_pairs(spark):
+    s1, targets = long_records(spark, 30)
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = set(folder.iterdir())
+    assert vectors.word_pairs(s1, targets, Blocking()).count()
+    assert [p.name.split("-")[1] for p in set(folder.iterdir()) - before] == ["pairs"]
