@@ -97,10 +97,11 @@ def trial_counts(scored: DataFrame, truth: DataFrame, entities: DataFrame, setti
         best = F.col(f"best{r['top_k']}")
         ok = (F.col("rank") <= r["top_k"]) & (best >= r["tau_s"] / 100.0) & (p >= r["tau_m"] / 100.0) & (F.round(best - p, 9) <= r["delta"] / 100.0)
         counts += [F.count_if(ok).alias(f"p{r['trial']}"), F.count_if(ok & F.col("hit")).alias(f"h{r['trial']}")]
-    counts += [F.count_if(F.col("rank") <= k).alias(f"any{k}") for k in sorted({r["top_k"] for r in rows})]
-    sums = pairs.groupBy(key).agg(*counts)
+    # no setting takes a pair below all thresholds, as most are; settings look at the others only
+    sums = pairs.filter(p >= min(r["tau_m"] for r in rows) / 100.0).groupBy(key).agg(*counts)
+    any_ = pairs.groupBy(key).agg(*[F.count_if(F.col("rank") <= k).alias(f"any{k}") for k in sorted({r["top_k"] for r in rows})])
     n_true = truth.select(key, "matched_id").distinct().groupBy(key).agg(F.count("*").alias("n_true"))
-    every = entities.select(key).distinct().join(n_true, key, "left").join(sums, key, "left")
+    every = entities.select(key).distinct().join(n_true, key, "left").join(any_, key, "left").join(sums, key, "left")
     none = lambda c: F.coalesce(F.col(c), F.lit(0))
     each = [
         F.struct(*[F.lit(r[c]).alias(c) for c in ("trial", "top_k", "tau_s", "tau_m", "delta")], none(f"p{r['trial']}").alias("n_pred"), none(f"h{r['trial']}").alias("n_hit"), none(f"any{r['top_k']}").alias("n_any"))

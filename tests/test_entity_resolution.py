@@ -1,5 +1,8 @@
+import random
+import re
 import subprocess
 import sys
+import unicodedata
 from pathlib import Path
 
 import numpy as np
@@ -544,3 +547,32 @@ def test_word_pools_by_vectors_leave_only_their_pairs(spark):
     before = set(folder.iterdir())
     assert vectors.word_pairs(s1, targets, Blocking()).count()
     assert [p.name.split("-")[1] for p in set(folder.iterdir()) - before] == ["pairs"]
+
+
+@pytest.mark.parametrize("text", ["", " ", "a", "a  b", " \t a\n\nb \r c   d     e f \n", "x" + " \n" * 20 + "y z", "a b c d", "a b c d e\tf", "a b   c"])
+def test_white_space_of_records_and_truth(spark, text):
+    docs = spark.createDataFrame([(3, text, "en", "x", 7), (4, " ".join(re.split("[ \t\n\r]+", text.strip(" \t\n\r"))), "en", "x", 7)], "doc_id long, text string, lang string, source string, n_chars int")
+    words = re.split("[ \t\n\r]+", text.strip(" \t\n\r"))
+    row = T.documents_as_records(docs).filter("entity_id = 'S1-3'").first()
+    assert row.business_name == " ".join(words[:4]) and row.business_address == f"7 {' '.join(words[4:])} 10007"
+    assert T.documents_truth(docs).count() == 1
+
+
+def test_addresses_in_one_pass(spark):
+    """Addresses as rule after rule over the whole text leaves them; a plan has no pattern over every letter of it."""
+    rng = random.Random(5)
+    parts = ["st", "St.", "opp", "opposite", "to", " ", "\n", "#", "/", "r", "bd", "pl", "12", "1234567", "é", "½", "٣", "_", "ß", "fl", "nr-", "ﬁ", "1a", "’", "É12", "²", "12.5"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " ", " "]) for _ in range(rng.randrange(1, 12))) for _ in range(400)] + [None, "", "opposite \t to #5 /x"]
+
+    def rules(text, country):
+        plain = "".join(c for c in unicodedata.normalize("NFKD", text or "") if not unicodedata.combining(c))
+        t = plain.lower().replace("#", " unit ").replace("/", " ")
+        for word, full in N.ENGLISH_RULES + (N.FRENCH_RULES if country == "FRANCE" else []):
+            t = re.sub(rf"(?<!\w)(?:{word.replace(r'\s', '[ \t\n\v\f\r]')})(?!\w)", full, t)
+        return re.sub(r"\W+", " ", t).strip(" "), list(dict.fromkeys(re.findall(r"(?<!\w)\d{1,6}(?!\w)", text or "")))
+
+    rows = [(str(k), "n", text, "France" if k % 2 else "US") for k, text in enumerate(texts)]
+    found = N.normalize(spark.createDataFrame(rows, RECORD))
+    for r in found.collect():
+        assert (r.clean_address, r.extracted_numbers) == rules(r.business_address, r.country), r.business_address
+    assert "street" not in found._jdf.queryExecution().executedPlan().toString()
