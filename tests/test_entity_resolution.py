@@ -15,6 +15,7 @@ from kinmatch.config import Blocking, Gate, Training
 from kinmatch.functions import normalize as N
 from kinmatch.functions import strings as S
 from kinmatch.operators import boosting, features, gating, model, retrieval, sampling, validation, vectors
+from kinmatch.plans import queries
 from kinmatch.sources import tables as T
 
 RECORD = "entity_id string, business_name string, business_address string, country string"
@@ -576,3 +577,19 @@ def test_addresses_in_one_pass(spark):
     for r in found.collect():
         assert (r.clean_address, r.extracted_numbers) == rules(r.business_address, r.country), r.business_address
     assert "street" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_candidates_leave_no_other_table(spark, monkeypatch, tmp_path):
+    """Of a search among long texts its result and the clean records stay, and vectors are written once."""
+    written = []
+    before = vectors.staged
+    monkeypatch.setattr(vectors, "staged", lambda df, name="stage": written.append(name) or before(df, name))
+    folder = Path(queries.staged.__globals__["shared_dir"](spark).removeprefix("file://"))
+    had = set(folder.glob("kinmatch-*"))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    queries.QUERIES["label_pairs"](spark, str(tmp_path)).count()
+    queries.QUERIES["cascade_blend"](spark, str(tmp_path)).count()
+    left = [p for p in folder.glob("kinmatch-*") if p not in had]
+    assert len(left) == 3 and not any("pairs" in p.name for p in left)  # S1, targets, candidates
+    assert written.count("vectors") == 2  # targets and queries
