@@ -593,3 +593,18 @@ def test_candidates_leave_no_other_table(spark, monkeypatch, tmp_path):
     left = [p for p in folder.glob("kinmatch-*") if p not in had]
     assert len(left) == 3 and not any("pairs" in p.name for p in left)  # S1, targets, candidates
     assert written.count("vectors") == 2  # targets and queries
+
+
+def test_jaro_of_long_texts(monkeypatch):
+    """As letter by letter, and without going letter by letter where letters stand in reach."""
+    rng = random.Random(3)
+    text = lambda n, letters: "".join(rng.choice(letters) for _ in range(n))
+    pairs = [(text(rng.randrange(1, 900), x), text(rng.randrange(1, 900), y)) for x in ("ab", "abcdefgh ", "aé日😀z") for y in ("ba", "abcdefgh ", "xyz") for _ in range(20)]
+    pairs += [("z" + "a" * 300, "a" * 300 + "z"), ("a" * 100, "b" * 100), ("", "a" * 99), ("ab" * 200, "ab" * 200), ("b" * 90 + "a" * 200, "a" * 200 + "b" * 90)]
+    want = [S.jaro_winkler(x, y) for x, y in pairs]
+    assert S.jaro_winkler_of(*map(list, zip(*pairs, strict=True))).tolist() == want
+    monkeypatch.setattr(S, "KEPT", 2)
+    assert S.jaro_winkler_of(*map(list, zip(*pairs, strict=True))).tolist() == want
+    monkeypatch.setattr(S, "jaro_winkler", None)
+    a, b = text(3000, "abcdefgh "), text(2500, "abcdefgh ")
+    assert 0.5 < S.similarities([a], [b], ["jaro_winkler"])["jaro_winkler"][0] < 1
