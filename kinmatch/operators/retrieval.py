@@ -360,19 +360,24 @@ def nearest(queries: np.ndarray, targets: np.ndarray, k: int) -> tuple[np.ndarra
     """Rows of queries and of targets, and their products: of each query the k largest and any that come near the k-th."""
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     single = targets.astype(np.float32)
+    finite = bool(np.isfinite(single).all())
     for i in range(0, len(queries), 512):
         mine = queries[i : i + 512]
         low = mine.astype(np.float32)
+        # lengths are one, so that other products are numbers
+        odd = not (finite and np.isfinite(low).all())
         least = np.full(len(mine), -NEAR, np.float32)
         row, col, value = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
         for j in range(0, len(targets), 4096):
             s = low @ single[j : j + 4096].T
-            s[np.isnan(s)] = np.inf  # stands first, as in an ORDER BY
+            if odd:
+                s[np.isnan(s)] = np.inf  # stands first, as in an ORDER BY
             if j == 0 and s.shape[1] > k:
                 least = np.maximum(least, np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k] - NEAR)
-            r, c = np.nonzero(s >= least[:, None])
-            if not len(r):
+            at = np.flatnonzero(s >= least[:, None])
+            if not len(at):
                 continue
+            r, c = np.divmod(at, s.shape[1])
             row, col, value = np.concatenate([row, r]), np.concatenate([col, c + j]), np.concatenate([value, s[r, c]])
             order = np.lexsort((-value, row))
             row, col, value = row[order], col[order], value[order]

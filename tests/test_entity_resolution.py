@@ -608,3 +608,18 @@ def test_jaro_of_long_texts(monkeypatch):
     monkeypatch.setattr(S, "jaro_winkler", None)
     a, b = text(3000, "abcdefgh "), text(2500, "abcdefgh ")
     assert 0.5 < S.similarities([a], [b], ["jaro_winkler"])["jaro_winkler"][0] < 1
+
+
+def test_products_are_searched_for_nan_only_where_vectors_hold_any(monkeypatch):
+    rng = np.random.default_rng(2)
+    q, t = rng.normal(size=(600, 8)), rng.normal(size=(5000, 8))
+    q, t = q / np.linalg.norm(q, axis=1)[:, None], t / np.linalg.norm(t, axis=1)[:, None]
+    with monkeypatch.context() as m:
+        m.setattr(np, "isnan", None)
+        row, col, _ = retrieval.nearest(q, t, 5)
+    best = np.argsort(-(q @ t.T), axis=1)[:, :5]
+    found = set(zip(row.tolist(), col.tolist(), strict=True))
+    assert all((k, c) in found for k in range(len(q)) for c in best[k].tolist()) and len(found) < 6 * len(q)
+    t[7] = np.nan
+    row, col, _ = retrieval.nearest(q, t, 5)
+    assert sorted(row[col == 7].tolist()) == list(range(len(q)))
