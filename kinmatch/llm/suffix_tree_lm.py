@@ -4,7 +4,8 @@ Counts cover every training document. The tree grows level by level: a context i
 below it, an entry is retained if its count diverges from what the longest proper suffix predicts by more than naming
 it costs, and growth ends where nothing is retained. There is no floor but a few occurrences, so what is gathered
 grows with the corpus: words, pairs and longer grams are counted by shuffle, and the tree is broadcast only while it
-is small; beyond that each block of documents asks for the entries it needs.
+is small; beyond that each block of documents asks for the entries it needs, a share of the blocks at a time, and
+what no later level changes is added up at once.
 
 Root probabilities share out all mass: known words have theirs by count, and unseen words that of the words seen
 once, spread by a model of spelling over bytes. A context's entries are discounted, and what is freed goes to all
@@ -15,14 +16,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .store import drop, materialize, table, tidy
-from .text import Words, ragged, runs, utf8
+from .text import Words, mix, ragged, runs, utf8
 
 #: Occurrences that a word and an entry need, and that a context of several words needs.
 LEAST, DEEP = 2, 4
@@ -32,8 +35,12 @@ DISCOUNT = 0.5
 BLOCK_BYTES = 6 << 20
 #: Rows of one level of the tree that are broadcast at most, of 24 bytes each; contexts may be twice as many, of 8 bytes.
 BROADCAST_ROWS = 4_000_000
-#: Grams that are counted together before they are shuffled.
-_FLUSH = 3_000_000
+#: Rounds at most in which blocks ask for a level that isn't broadcast, and blocks that one has at least.
+ROUNDS, ROUND_BLOCKS = 8, 16
+#: Bits of a sieve and of a slice of it at most, as powers of two.
+SIEVE_BITS, SLICE_BITS = 29, 20
+#: Grams that are counted together in Python, in some 60 bytes each; Spark adds those of a task before it shuffles them.
+_FLUSH = 1_000_000
 #: Rows that are numbered in one task, about.
 _NUMBERED = 1_000_000
 #: The end of a text as a word hash.
@@ -45,7 +52,7 @@ _WORD = (1 << 32) - 1
 SPELLING = -1
 EDGE = 256
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-ENCODED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, root_score double, score_known double, ids binary"
+ENCODED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, root_score double, score_known double, block int, ids binary"
 STATES = ENCODED + ", context binary, delta binary"
 
 
@@ -123,18 +130,22 @@ class Level:
 
     @classmethod
     def of(cls, rows: pa.Table) -> Level:
-        key, value, following = (rows[x].to_numpy() for x in ("key", "value", "next"))
-        order = np.argsort(key)
-        weight = order[(key[order] & _WORD) == 0]
-        entry = order[(key[order] & _WORD) != 0]
-        return cls(key[entry], value[entry], following[entry], key[weight] >> 32, value[weight])
+        key, order = np.unique(rows["key"].to_numpy(), return_index=True)
+        value, following = rows["value"].to_numpy()[order], rows["next"].to_numpy()[order]
+        weight = (key & _WORD) == 0
+        entry = ~weight
+        return cls(key[entry], value[entry], following[entry].astype(np.int32), key[weight] >> 32, value[weight])
 
     def prepare(self) -> None:
-        """A table by context, and a hashed table of entries, at most half full."""
+        """A table by context, unless few have weights, and a hashed table of entries, at most half full."""
         if hasattr(self, "table"):
             return
-        self.table = np.full(int(self.contexts[-1]) + 2 if len(self.contexts) else 2, np.nan)
-        self.table[self.contexts] = self.weights
+        last = int(self.contexts[-1]) if len(self.contexts) else 0
+        self.table = None
+        if last <= 8 * len(self.contexts) + 1024:
+            self.table = np.full(last + 2, np.nan)
+            self.table[self.contexts] = self.weights
+            self.contexts = self.weights = None
         bits = max(10, (2 * len(self.keys)).bit_length())
         self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
         self.slots = np.full(1 << bits, -1, np.int32)
@@ -146,6 +157,14 @@ class Level:
             missed = self.slots[slot] != left
             left, slot = left[missed], (slot[missed] + 1) & self.last
 
+    def weight(self, context: np.ndarray) -> np.ndarray:
+        """The weight of each context, or NaN."""
+        if self.table is None:
+            k = lookup(self.contexts, context)
+            return np.where(k >= 0, self.weights[k], np.nan)
+        # the table's last place is no context's, as aren't 0 and those below
+        return self.table[np.minimum(context, len(self.table) - 1)]
+
     def slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
 
@@ -163,6 +182,49 @@ class Level:
         return out
 
 
+@dataclass
+class Sieve:
+    """Tells of a key whether a level may have it, by two bits of one slice; none that it has is ever missed."""
+
+    slices: np.ndarray
+
+    @staticmethod
+    def places(keys: np.ndarray, slices: int) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]:
+        """The slice of each key, and the places of its bits there."""
+        h = mix(keys.view(np.uint64))
+        last = np.uint64((1 << SLICE_BITS) - 1)
+        bits = tuple(((h >> np.uint64(k)) & last).astype(np.int64) for k in (0, SLICE_BITS))
+        return ((h >> np.uint64(2 * SLICE_BITS)) & np.uint64(slices - 1)).astype(np.int64), bits
+
+    @classmethod
+    def of(cls, keys: DataFrame, n: int) -> Sieve:
+        """Of n keys: 8 to 16 bits each while that stays within SIEVE_BITS."""
+        slices = 1 << min(max((8 * n).bit_length() - SLICE_BITS, 0), SIEVE_BITS - SLICE_BITS)
+
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array(cls.places(batch.column(0).to_numpy(), slices)[0]), batch.column(0)], names=["slice", "key"])
+
+        def mark(group: pa.Table) -> pa.Table:
+            marked = np.zeros(1 << SLICE_BITS, bool)
+            for place in cls.places(group["key"].to_numpy(), slices)[1]:
+                marked[place] = True
+            return pa.table({"slice": group["slice"][:1], "bits": pa.array([np.packbits(marked).tobytes()], pa.binary())})
+
+        found = keys.select("key").mapInArrow(deal, "slice long, key long").groupBy("slice").applyInArrow(mark, "slice long, bits binary").toArrow()
+        out = np.zeros((slices, 1 << SLICE_BITS >> 3), np.uint8)
+        for k, bits in zip(found["slice"].to_pylist(), found["bits"], strict=True):
+            out[k] = np.frombuffer(bits.as_buffer(), np.uint8)
+        return cls(out)
+
+    def keeps(self, keys: np.ndarray) -> np.ndarray:
+        at, bits = self.places(keys, len(self.slices))
+        out = np.ones(len(keys), bool)
+        for place in bits:
+            out &= (self.slices[at, place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 != 0
+        return out
+
+
 def first_contexts(ids: np.ndarray) -> np.ndarray:
     """The context of one word before each place of texts that begin with START; 0 at those."""
     out = np.zeros(len(ids), np.int64)
@@ -174,8 +236,7 @@ def first_contexts(ids: np.ndarray) -> np.ndarray:
 def step(ids: np.ndarray, context: np.ndarray, delta: np.ndarray, level: Level) -> tuple[np.ndarray, np.ndarray]:
     """Contexts of the next level, and log10 probabilities over the root's after this one."""
     level.prepare()
-    # the table's last place is no context's, as aren't 0 and those below
-    weight = level.table[np.minimum(context, len(level.table) - 1)]
+    weight = level.weight(context)
     at = np.flatnonzero(weight == weight)
     new = delta.copy()
     new[at] += weight[at]
@@ -190,6 +251,14 @@ def step(ids: np.ndarray, context: np.ndarray, delta: np.ndarray, level: Level)
     return following, new
 
 
+def settled(context: np.ndarray, left: int) -> np.ndarray:
+    """Places that none of the `left` further levels can change: no context there, nor where one could grow from."""
+    open_ = context > 0 if left else np.zeros(len(context), bool)
+    for _ in range(left - 1):
+        open_[1:] |= open_[:-1].copy()
+    return ~open_
+
+
 def numbered(rows: DataFrame, key: str, name: str, first: int) -> DataFrame:
     """Adds `name`: numbers without gaps from `first`. rows are materialised; key is unique."""
     n = rows.count()
@@ -296,14 +365,16 @@ def train_and_score(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, blo
             start = first + np.arange(len(first))
             ids += [number[a:b].tobytes() for a, b in zip(start[:-1], start[1:], strict=True)]
         columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0)] * 5
-        return pa.table([texts["doc_id"], texts["held_out"], *(pa.array(x.astype(np.int64)) for x in columns[:2]), *(pa.array(x.astype(float)) for x in columns[2:]), pa.array(ids, pa.binary())], names=[x.split()[0] for x in ENCODED.split(", ")])
+        return pa.table([texts["doc_id"], texts["held_out"], *(pa.array(x.astype(np.int64)) for x in columns[:2]), *(pa.array(x.astype(float)) for x in columns[2:]), texts["block"], pa.array(ids, pa.binary())], names=[x.split()[0] for x in ENCODED.split(", ")])
 
     encoded = materialize(blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(encode, ENCODED), "encoded")
     drop(answers)
     tidy(spark)
     small = True  # every level so far is broadcast
     shared: list = []
-    states = encoded  # with context and delta once a level isn't
+    states = [encoded]  # with context and delta, by rounds, once a level isn't
+    rounds = max(1, min(ROUNDS, blocks // ROUND_BLOCKS))
+    before: DataFrame | None = None
     totals = symbols.select(F.col("id").alias("s"), F.col("c").alias("total")).union(spark.createDataFrame([(START, int(starts or 0))], "s long, total long"))
     share = (1 - unknown) / max(n, 1)
     totals_n = symbols.count()
@@ -319,6 +390,8 @@ def train_and_score(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, blo
         if not entries_n:
             drop(entries)
             break
+        if before:
+            drop(before)
         entries_id = materialize(numbered(entries, "key", "id", START + 1), "entries")
         drop(entries)
         entries = entries_id
@@ -327,12 +400,17 @@ def train_and_score(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, blo
         weights = entries.groupBy("s").agg(F.log10(freed).alias("value")).select(key_of(F.col("s")).alias("key"), "value", F.lit(0).cast("long").alias("next"))
         facts = materialize(entries.select("key", F.log10(smooth / F.col("p0")).alias("value"), F.when(F.col("n") >= DEEP, F.col("id")).otherwise(0).alias("next")).unionByName(weights), "level")
         tidy(spark)
-        small = small and facts.count() <= broadcast_rows and totals_n <= 2 * broadcast_rows
+        facts_n = facts.count()
+        small = small and facts_n <= broadcast_rows and totals_n <= 2 * broadcast_rows
         if small:
             shared.append(spark.sparkContext.broadcast(Level.of(facts.toArrow())))
         else:
-            states = materialize(_advance(_with_states(states, shared), facts, max(1, -(-(size or 0) // block_bytes))), "states")
+            states = _advance(states, shared, facts, facts_n, rounds, depth - number)
+            for level in shared:
+                level.destroy()
             shared = []
+        drop(facts)
+        before = entries
         totals, totals_n = entries.select(F.col("id").alias("s"), F.col("n").alias("total")), entries_n
     return _finish(states, shared, n)
 
@@ -343,7 +421,11 @@ def _rows(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data.tobytes(), kind), at // np.dtype(kind).itemsize
 
 
-def _walked(batch: pa.RecordBatch, shared: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _union(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
+
+
+def _walked(batch: pa.RecordBatch | pa.Table, shared: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """ids, offsets, contexts and deltas of a batch of ENCODED or STATES rows, after the broadcast levels."""
     names = batch.schema.names
     ids, at = _rows(batch.column(names.index("ids")), np.int32)
@@ -364,9 +446,9 @@ def _parts(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.R
             yield batch.slice(k, rows)
 
 
-def _grams(states: DataFrame, shared: list, number: int) -> DataFrame:
+def _grams(states: list[DataFrame], shared: list, number: int) -> DataFrame:
     """(code, n, delta): context << 32 | word of all training tokens whose context is in the tree."""
-    columns = [c for c in states.columns if c in ("ids", "context", "delta")]
+    columns = [c for c in states[0].columns if c in ("ids", "context", "delta")]
     names = ["code", "n"] if number == 1 else ["code", "n", "delta"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -391,7 +473,7 @@ def _grams(states: DataFrame, shared: list, number: int) -> DataFrame:
         if held:
             yield flush()
 
-    return states.filter("not held_out").select(*columns).mapInArrow(count, "code long, n int" + ", delta double" * (number > 1))
+    return _union(states).filter("not held_out").select(*columns).mapInArrow(count, "code long, n int" + ", delta double" * (number > 1))
 
 
 def _map(states: DataFrame, shared: list, make: Callable[[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, np.ndarray], list], schema: str) -> DataFrame:
@@ -408,39 +490,64 @@ def _binaries(values: np.ndarray, at: np.ndarray) -> pa.Array:
 
 def _with_states(states: DataFrame, shared: list) -> DataFrame:
     """STATES rows after the levels that are broadcast."""
-    if "context" in states.columns and not shared:
-        return states
     kept = len(ENCODED.split(", "))
     return _map(states, shared, lambda batch, ids, at, context, delta: [*batch.columns[:kept], _binaries(context.astype(np.int32), at), _binaries(delta, at)], STATES)
 
 
-def _advance(states: DataFrame, facts: DataFrame, blocks: int) -> DataFrame:
-    """STATES rows after a level that isn't broadcast: blocks of documents ask for the keys they have, once each."""
-    blocked = states.withColumn("block", F.pmod(F.xxhash64("doc_id", "ids"), F.lit(blocks)).cast("int"))
+def _advance(states: list[DataFrame], shared: list, facts: DataFrame, n: int, rounds: int, left: int) -> list[DataFrame]:
+    """STATES rows, by rounds, after a level of n facts that isn't broadcast; `left` further ones follow. The tables read go
+    as soon as what follows them is written."""
+    spark = facts.sparkSession
+    sieve = spark.sparkContext.broadcast(Sieve.of(facts, n))
+    dealt = len(states) == rounds
+    out = []
+    for k in range(rounds):
+        mine = states[k] if dealt else states[0].filter(F.pmod(F.col("block"), F.lit(rounds)) == k)
+        out.append(materialize(_answered(_with_states(mine, shared) if shared else mine, facts, sieve, left), "states"))
+        if dealt:
+            drop(mine)
+        tidy(spark)
+    if not dealt:
+        drop(*states)
+    sieve.destroy()
+    return out
+
+
+def _answered(states: DataFrame, facts: DataFrame, sieve: Broadcast, left: int) -> DataFrame:
+    """STATES rows after a level: blocks of documents ask for the keys they have."""
 
-    def ask(group: pa.Table) -> pa.Table:
-        block = group["block"][0].as_py()
-        ids, _ = _rows(group["ids"], np.int32)
-        context, _ = _rows(group["context"], np.int32)
-        at = np.flatnonzero(context > 0)
-        context, ids = context[at].astype(np.int64) << 32, ids[at].astype(np.int64)
-        key = np.unique(np.concatenate([context, context | np.where(ids > START, ids, 0)]))
-        return pa.table({"block": np.full(len(key), block, np.int32), "key": key})
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _parts(batches):
+            ids, at, context, _ = _walked(batch, [])
+            block = np.repeat(batch.column(batch.schema.names.index("block")).to_numpy(), np.diff(at))
+            for k in np.unique(block):
+                on = np.flatnonzero((context > 0) & (block == k))
+                one = context[on] << 32
+                key = np.unique(np.concatenate([one, one | np.where(ids[on] > START, ids[on], 0)]))
+                key = key[sieve.value.keeps(key)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), k, np.int32)), pa.array(key)], names=["block", "key"])
 
     def answer(texts: pa.Table, answers: pa.Table) -> pa.Table:
         texts = texts.combine_chunks()
-        level = Level.of(answers) if len(answers) else Level(*(np.zeros(0, kind) for kind in (np.int64, float, np.int64, np.int64, float)))
-        ids, at = _rows(texts["ids"], np.int32)
-        context, delta = step(ids.astype(np.int64), _rows(texts["context"], np.int32)[0].astype(np.int64), _rows(texts["delta"], np.float64)[0], level)
-        kept = [texts[c] for c in [x.split()[0] for x in ENCODED.split(", ")]]
-        return pa.table([*kept, _binaries(context.astype(np.int32), at), _binaries(delta, at)], names=[x.split()[0] for x in STATES.split(", ")])
-
-    asks = blocked.select("block", "ids", "context").groupBy("block").applyInArrow(ask, "block int, key long")
+        level = Level.of(answers) if len(answers) else Level(*(np.zeros(0, kind) for kind in (np.int64, float, np.int32, np.int64, float)))
+        ids, at, context, delta = _walked(texts, [])
+        context, delta = step(ids, context, delta, level)
+        done = settled(context, left)
+        more = np.add.reduceat(np.where(done, delta, 0.0), at[:-1])
+        known = np.add.reduceat(np.where(done & (ids != UNKNOWN), delta, 0.0), at[:-1])
+        delta[done] = 0
+        ids[done & (ids != START)] = UNKNOWN
+        new = {"root_score": texts["root_score"].to_numpy() + more, "score_known": texts["score_known"].to_numpy() + known, "ids": _binaries(ids.astype(np.int32), at)}
+        new |= {"context": _binaries(context.astype(np.int32), at), "delta": _binaries(delta, at)}
+        return pa.table({c: new[c] if c in new else texts[c] for c in [x.split()[0] for x in STATES.split(", ")]})
+
+    columns = [c for c in states.columns if c in ("block", "ids", "context", "delta")]
+    asks = states.select(*columns).mapInArrow(ask, "block int, key long")
     answers = asks.join(facts, "key").select("block", "key", "value", "next")
-    return blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(answer, STATES)
+    return states.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(answer, STATES)
 
 
-def _finish(states: DataFrame, shared: list, n: int) -> DataFrame:
+def _finish(states: list[DataFrame], shared: list, n: int) -> DataFrame:
     def make(batch: pa.RecordBatch, ids: np.ndarray, at: np.ndarray, context: np.ndarray, delta: np.ndarray) -> list:
         more = np.add.reduceat(delta, at[:-1]) if len(at) > 1 else np.zeros(0)
         known = np.add.reduceat(np.where(ids != UNKNOWN, delta, 0.0), at[:-1]) if len(at) > 1 else np.zeros(0)
@@ -448,7 +555,7 @@ def _finish(states: DataFrame, shared: list, n: int) -> DataFrame:
         total = pa.array(np.full(len(more), n, np.int64))
         return [doc_id, held_out, n_tokens, n_known, total, base, pa.array(root.to_numpy() + more), pa.array(root_known.to_numpy() + known)]
 
-    return _map(states, shared, make, SCORES + ", score_known double")
+    return _map(_union(states), shared, make, SCORES + ", score_known double")
 
 
 def op2_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,8 +6,10 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -247,6 +249,53 @@ def test_lm_learns_what_base_does_not(spark):
     assert (got.score - got.base_score).sum() / got.n_tokens.sum() > 0.8
 
 
+def test_lm_levels_beyond_broadcast_leave_one_state_of_each_block(spark, monkeypatch):
+    """Rounds of blocks replace what they read; what no later level changes is added up and no longer kept."""
+    rng = random.Random(6)
+    rows = [(k, " ".join(rng.choice(["a b c", "d b e", "h a b g", words(rng, 1)]) for _ in range(40))) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    written = []
+    materialize = suffix_tree_lm.materialize
+
+    def noted(df, name):
+        out = materialize(df, name)
+        written.append((name, Path(out._kinmatch_path.removeprefix("file://"))))
+        return out
+
+    monkeypatch.setattr(suffix_tree_lm, "materialize", noted)
+    score = lambda **how: sorted((r.doc_id, r.n_known, round(r.score, 6), round(r.score_known, 6)) for r in suffix_tree_lm.train_and_score(docs, **how).collect())
+    want = score(block_bytes=1500)
+    written.clear()
+    assert score(broadcast_rows=0, block_bytes=1500) == want
+    states = [path for name, path in written if name == "states"]
+    left = [path for name, path in written if path.exists() and name in ("encoded", "states", "level", "answers")]
+    assert 2 <= len(left) < len(states) and left == states[-len(left) :]
+    columns = spark.read.parquet(*map(str, left)).select("ids", "context", "delta").toPandas()
+    delta, context = (np.frombuffer(b"".join(columns[c]), kind) for c, kind in (("delta", float), ("context", np.int32)))
+    assert len(delta) and (delta != 0).sum() <= 4 * (context > 0).sum()
+
+
+def test_lm_sieve_misses_no_key(spark):
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(1, 1 << 50, 300_000))
+    table = spark.createDataFrame(pd.DataFrame({"key": keys}))
+    sieve = suffix_tree_lm.Sieve.of(table, len(keys))
+    assert len(sieve.slices) > 1 and sieve.keeps(keys).all()
+    assert sieve.keeps(rng.integers(1 << 51, 1 << 52, 100_000)).mean() < 0.1
+
+
+def test_lm_level_takes_few_bytes_an_entry():
+    """Each Python worker holds every level that is broadcast."""
+    n = 60_000
+    one = np.arange(2, n + 2, dtype=np.int64) << 32
+    rows = pa.table({"key": np.concatenate([one | 5, one]), "value": np.linspace(-3, -1, 2 * n), "next": np.concatenate([np.arange(n), np.zeros(n, np.int64)])})
+    level = suffix_tree_lm.Level.of(rows)
+    level.prepare()
+    assert sum(x.nbytes for x in vars(level).values() if isinstance(x, np.ndarray)) / n < 40
+    context = np.array([0, 1, 2, 77, n + 1, n + 2])
+    assert np.isnan(level.weight(context)).tolist() == [True, True, False, False, False, True]
+
+
 def shingle_set(text):
     w = WORD.findall(low(text))
     return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)}
