@@ -439,11 +439,14 @@ def _walked(batch: pa.RecordBatch | pa.Table, shared: list) -> tuple[np.ndarray,
     return ids, at, context, delta
 
 
-def _parts(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
-    """Batches of fewer rows, so that arrays of one number a token stay small."""
+def _parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches of fewer rows, so that arrays of one number a token stay small. What Arrow keeps of batches that are done is
+    given back."""
     for batch in batches:
         for k in range(0, batch.num_rows, rows):
             yield batch.slice(k, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
 
 
 def _grams(states: list[DataFrame], shared: list, number: int) -> DataFrame:
@@ -517,7 +520,7 @@ def _answered(states: DataFrame, facts: DataFrame, sieve: Broadcast, left: int)
     """STATES rows after a level: blocks of documents ask for the keys they have."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _parts(batches):
+        for batch in _parts(batches, 1024):
             ids, at, context, _ = _walked(batch, [])
             block = np.repeat(batch.column(batch.schema.names.index("block")).to_numpy(), np.diff(at))
             for k in np.unique(block):
