@@ -140,6 +140,33 @@ def test_similarities(a, b):
         assert S.partial_ratio(a, b) == 1
 
 
+def test_long_texts_are_compared_in_blocks(monkeypatch):
+    rnd = random.Random(5)
+    word = lambda letters: "".join(rnd.choices(letters, k=rnd.randint(1, 9)))
+    for letters in ("ab", "abcdefghijklmnopqrstuvwxyz0123456789", "日本語\U0001f600xyzä"):
+        words = [word(letters) for _ in range(300)]
+        long_ = [" ".join(rnd.choices(words, k=1500)) for _ in range(2)]
+        short = [" ".join([*rnd.choices(words, k=rnd.randint(20, 90)), f"q{k}", word("%&§")]) for k in range(30)]
+        a, b = zip(*[(x, y) if k % 2 else (y, x) for k, x in enumerate(short) for y in long_], strict=True)
+        expected = [(S.token_sort_ratio(x, y), S.token_set_ratio(x, y)) for x, y in zip(a, b, strict=True)]
+        alone = []
+        with monkeypatch.context() as m:
+            m.setattr(S, "lcs", lambda x, y: alone.append((x, y)) or slow_lcs(x, y))
+            common = S._common
+            m.setattr(S, "_common", lambda *x: alone.append(x) or common(*x))
+            sort, set_, _ = S.token_similarities(list(a), list(b))
+        assert list(zip(sort.tolist(), set_.tolist(), strict=True)) == expected
+        assert len(alone) < S.FEW  # pair by pair only where few are left
+
+
+def test_long_texts_of_any_lengths():
+    rnd = random.Random(6)
+    for letters in ("a", "abc", "abcdefghijklmnopqrstuvwxyz ", "é\U0001f600\ud800x"):
+        texts = ["".join(rnd.choices(letters, k=k)) for k in (0, 1, 64, 65, 70, 90, 150, 300, 700, 1500, 2500)] + ["%" * 80, "%" * 70 + "a"]
+        pairs = [(x, y) for x in texts for y in texts if len(x) * len(y) < 150_000]
+        assert S.lcs_of([x for x, _ in pairs], [y for _, y in pairs]).tolist() == [slow_lcs(x, y) for x, y in pairs]
+
+
 def slow_jaro(a, b):
     reach = max(max(len(a), len(b)) // 2 - 1, 0)
     used, hits = [False] * len(b), []
