@@ -249,6 +249,20 @@ def test_model_round_trip(spark, tmp_path):
     assert min(good) > max(p for s, c, p in a if int(s[3:]) % 5 != int(c[3:]))
 
 
+def test_models_see_every_pair(spark):
+    """More pairs than a task of trees was once given: the rate that a model starts from is that of all the other folds' pairs."""
+    rows = spark.range(500_000, numPartitions=4).select(
+        F.concat(F.lit("S1-"), (F.col("id") / 40).cast("int").cast("string")).alias("source1_entity_id"), F.concat(F.lit("S2-"), F.col("id").cast("string")).alias("candidate_entity_id"),
+        (F.pmod(F.xxhash64("id"), F.lit(37)) == 0).cast("int").alias("label"), (F.col("id") % 7).cast("float").alias("x"),
+    )
+    models, scored = model.train(rows, Training(trees=1, rounds=1), ["x"])
+    counts = {r.fold: (r.n, r.y) for r in scored.groupBy("fold").agg(F.count("*").alias("n"), F.sum("label").alias("y")).collect()}
+    assert sum(n for n, _ in counts.values()) == 500_000
+    for fold, one in enumerate(models):
+        n, y = (sum(c[k] for f, c in counts.items() if f != fold) for k in (0, 1))
+        assert one.start == pytest.approx(np.log(y / (n - y)), abs=1e-12)
+
+
 def test_boosting_learns_and_stops():
     rng = np.random.default_rng(1)
     x = rng.standard_normal((4000, 6))
