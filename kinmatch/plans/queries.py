@@ -332,6 +332,8 @@ _WEIGHTS = """SELECT source1_entity_id, candidate_entity_id, CASE WHEN label = 0
 def hard_negative_weights(spark, sf_dir):
     _, scored = _scored(spark, sf_dir)
     labelled = model.label_pairs(scored, _truth(spark, sf_dir)).withColumn("weight", F.lit(1.0)).withColumn("score", F.col("predicted_prob"))
+    # the percentile takes several passes
+    labelled = staged(labelled.select("source1_entity_id", "candidate_entity_id", "label", "weight", "score"), "labelled")
     return model.hard_negative_weights(labelled, Training()).select("source1_entity_id", "candidate_entity_id", "weight")
 
 

@@ -236,6 +236,22 @@ def test_hard_negatives(spark):
     assert {r.score: r.weight for r in again.collect()}[4.0] == 10.0
 
 
+def test_hard_negatives_label_pairs_once(spark, monkeypatch):
+    """The percentile's passes read labelled pairs that are staged; each once looked up the truth anew."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(x):
+        seen.add(1)
+        return x
+
+    truth = spark.createDataFrame([("S1-1", "S2-1")], "source1_entity_id string, matched_id string").withColumn("matched_id", F.udf(noted, "string").asNondeterministic()("matched_id"))
+    scored = spark.createDataFrame([("S1-1", f"S2-{k}", 1 - k / 20) for k in range(1, 20)], "source1_entity_id string, candidate_entity_id string, predicted_prob double")
+    monkeypatch.setattr(queries, "_scored", lambda *_: (None, scored))
+    monkeypatch.setattr(queries, "_truth", lambda *_: truth)
+    got = {r.candidate_entity_id for r in queries.hard_negative_weights(spark, "").collect() if r.weight > 1}
+    assert got == {"S2-2", "S2-3"} and seen.value == 1
+
+
 def test_model_round_trip(spark, tmp_path):
     rows = spark.createDataFrame([(f"S1-{k}", f"S2-{j}", int(k % 5 == j), float(k % 5 == j) * 0.8 + 0.01 * j) for k in range(30) for j in range(5)], "source1_entity_id string, candidate_entity_id string, label int, x double")
     models, scored = model.train(rows, Training(trees=30, depth=2, folds=2, least_rows=2, step=0.3), ["x"])
