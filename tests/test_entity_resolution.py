@@ -252,6 +252,20 @@ def test_hard_negatives_label_pairs_once(spark, monkeypatch):
     assert got == {"S2-2", "S2-3"} and seen.value == 1
 
 
+def test_word_search_leaves_characters_alone(spark, monkeypatch):
+    """What is asked by words has no vocabulary and no vectors of characters; its pairs are those of the search by both."""
+    rng = random.Random(3)
+    side = lambda name, n: spark.createDataFrame([(f"{name}-{k}", "US", " ".join(rng.choice(["oak", "elm", "fir", "ash", "bay", "yew"]) + str(rng.randint(0, 9)) for _ in range(40))) for k in range(n)], "entity_id string, country string, clean_text string")
+    asked, targets = side("S1", 12), side("S2", 70)
+    kept = []
+    monkeypatch.setattr(vectors, "staged", lambda df, name="stage", make=vectors.staged: (kept.append((name, [r.asDict() for r in df.collect()] if name in ("vocabulary", "vectors") else [])), make(df, name))[1])
+    columns = ["source1_entity_id", "candidate_entity_id", "word", "r"]
+    words = sorted(map(tuple, vectors.word_pairs(asked, targets, Blocking()).select(*columns).collect()))
+    assert {r["kind"] for name, rows in kept if name == "vocabulary" for r in rows} == {"words"}
+    assert all(r["chars"] is None and r["words"] for name, rows in kept if name == "vectors" for r in rows)
+    assert words == sorted(map(tuple, vectors.hybrid_pairs(asked, targets, Blocking())[0].select(*columns).collect())) and words
+
+
 def test_model_round_trip(spark, tmp_path):
     rows = spark.createDataFrame([(f"S1-{k}", f"S2-{j}", int(k % 5 == j), float(k % 5 == j) * 0.8 + 0.01 * j) for k in range(30) for j in range(5)], "source1_entity_id string, candidate_entity_id string, label int, x double")
     models, scored = model.train(rows, Training(trees=30, depth=2, folds=2, least_rows=2, step=0.3), ["x"])
