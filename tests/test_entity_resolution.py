@@ -279,6 +279,34 @@ def test_model_round_trip(spark, tmp_path):
     assert min(good) > max(p for s, c, p in a if int(s[3:]) % 5 != int(c[3:]))
 
 
+def test_long_addresses_are_compared_by_blocks(spark, monkeypatch):
+    """The same features as from texts in each pair's row, which long addresses leave: copies, parts that begin and end within
+    words, empty texts, records that are absent or come twice, pairs that come twice, letters beyond ASCII."""
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcé日😀", k=rng.randint(1, 5))) for _ in range(300)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(1, 500))) for _ in range(24)]
+    texts += [texts[0], texts[1][7:-9], texts[2][3:], texts[3][:-4], "", "abc", texts[4][5:9], " ".join(texts[5].split()[::-1]), None, "a b c d", "xa b c dx"]
+    row = "entity_id string, clean_name string, legal_suffix string, clean_address string, extracted_numbers array<string>, country string"
+    side = lambda name: spark.createDataFrame([(f"{name}-{k}", f"n{k}", "", x, ["1", str(k % 3)], "US") for k, x in enumerate([*texts, *texts[:2]])] + [(f"{name}-1", "again", "", "other text", [], "US")], row).coalesce(1)
+    s1, targets = side("S1"), side("S2")
+    pairs = spark.createDataFrame([(f"S1-{i}", f"S2-{j}") for i in range(len(texts) + 1) for j in range(i % 3, len(texts) + 4, 3)] + [("S1-x", "S2-1"), ("S1-x", "S2-x"), ("S1-28", "S2-x"), ("S1-2", "S2-2"), ("S1-2", "S2-2")], "source1_entity_id string, candidate_entity_id string")
+    wanted = {*features.ADDRESSES, "name_lev_ratio"}
+    key = lambda found: sorted(tuple(r) for r in found.select(*features.addresses.KEYS, *[F.round(c, 9) for c in sorted(wanted)]).collect())
+    with monkeypatch.context() as m:
+        m.setattr(features, "LONG", 1e9)
+        plain = features.with_comparisons(pairs, s1, targets, wanted)
+        assert "clean_address_s1" in plain.columns
+        expected = key(plain)
+    monkeypatch.setattr(features, "LONG", 100)
+    for block, chunk, step in ((48_000_000, 1024, 1024), (6_000, 4, 3)):
+        for name, value in (("BLOCK", block), ("CHUNK", chunk), ("STEP", step)):
+            monkeypatch.setattr(features.addresses, name, value)
+        found = features.with_comparisons(pairs, s1, targets, wanted)
+        assert not [c for c in found.columns if c.startswith("clean_address")]
+        assert key(found) == expected
+    assert len(expected) == pairs.count() and sum(r[2] for r in expected) > 20
+
+
 def test_models_see_every_pair(spark):
     """More pairs than a task of trees was once given: the rate that a model starts from is that of all the other folds' pairs."""
     rows = spark.range(500_000, numPartitions=4).select(
