@@ -709,6 +709,20 @@ def test_jaro_of_long_texts(monkeypatch):
     assert 0.5 < S.similarities([a], [b], ["jaro_winkler"])["jaro_winkler"][0] < 1
 
 
+def test_jaro_of_a_short_text_and_a_long_one(monkeypatch):
+    """The long one's letters are placed once for all pairs, not anew for each that is with a short text."""
+    rng = random.Random(4)
+    text = lambda n: "".join(rng.choices("abcdé ", k=n))
+    long_ = text(5000)
+    pairs = [(text(n), long_) if n % 2 else (long_, text(n)) for n in range(1, 70)]
+    want = [S.jaro_winkler(x, y) for x, y in pairs]
+    monkeypatch.setattr(S, "jaro_winkler", None)
+    made = []
+    monkeypatch.setattr(S, "Spelt", lambda text, make=S.Spelt: made.append(len(text)) or make(text))
+    assert S.jaro_winkler_of(*map(list, zip(*pairs, strict=True))).tolist() == want
+    assert made.count(5000) == 1
+
+
 def test_products_are_searched_for_nan_only_where_vectors_hold_any(monkeypatch):
     rng = np.random.default_rng(2)
     q, t = rng.normal(size=(600, 8)), rng.normal(size=(5000, 8))
